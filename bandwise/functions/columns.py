@@ -90,7 +90,7 @@ def band(value, low: float, high: float, labels, strict: bool = False) -> Column
 
 def rounded(c, digits: int = 6) -> Column:
     """Reports are rounded so float-sum order never changes a value."""
-    return F.round(col_of(c).cast("double"), digits)
+    return F.round(col_of(c).cast("double"), digits) + F.lit(0.0)
 
 
 def as_double(c) -> Column:

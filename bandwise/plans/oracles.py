@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from bandwise.plans.sql_common import avg_rank, corr, log1p, r6, split3
+from bandwise.plans.sql_common import avg_rank, corr, ln, log1p, r6, split2, split3
 
 ALPHA = "0.05::DOUBLE"
+INSIDE = "CASE WHEN y_real >= lower AND y_real <= upper THEN 1.0 ELSE 0.0 END"
 
-# events -> group Gaussian on train -> temperature on val -> conformal q_hat on val
-EVENTS_CALIBRATED = f"""
+
+def cov_verdict(cov: str) -> str:
+    return (f"CASE WHEN {cov} < 0.90 THEN 'over-confident' WHEN {cov} > 0.99 THEN 'under-confident' "
+            f"WHEN {cov} IS NOT NULL THEN 'well calibrated' END")
+
+
+def events_calibrated(group: str = "segment") -> str:
+    """CTEs base, g, p, t, c (calibrated rows), sc, kk, q (global conformal q_hat)."""
+    return f"""
 base AS (
-  SELECT event_id AS key, event_type AS segment, value, {log1p('value')} AS y,
+  SELECT event_id AS key, event_type AS segment, user_id, value, {log1p('value')} AS y,
          {split3('event_id')} AS split
   FROM events),
 g AS (
-  SELECT segment, avg(y) AS mu, ln(greatest(var_pop(y), 1e-12)) AS log_var
-  FROM base WHERE split = 'train' GROUP BY segment),
-p AS (SELECT base.*, g.mu, g.log_var FROM base LEFT JOIN g USING (segment)),
+  SELECT {group}, avg(y) AS mu, ln(greatest(var_pop(y), 1e-12)) AS log_var
+  FROM base WHERE split = 'train' GROUP BY {group}),
+p AS (SELECT base.*, g.mu, g.log_var FROM base LEFT JOIN g USING ({group})),
 t AS (
   SELECT ln(avg(pow(y - mu, 2) * exp(-log_var))) AS bias,
          sqrt(avg(pow(y - mu, 2) * exp(-log_var))) AS temperature
@@ -31,27 +39,27 @@ sc AS (
   FROM c WHERE split = 'val' AND abs(y - mu) / sigma IS NOT NULL),
 kk AS (SELECT DISTINCT n, ceil((n + 1) * (1.0::DOUBLE - {ALPHA})) AS k FROM sc),
 q AS (
-  SELECT sc.score AS q_hat, sc.n AS n_cal FROM sc CROSS JOIN kk
-  WHERE sc.rn = CASE WHEN kk.k < kk.n THEN kk.k + 1 ELSE kk.n END)
-"""
+  SELECT sc.score AS q_hat, sc.n AS n_cal,
+         (CASE WHEN kk.k < kk.n THEN kk.k + 1 ELSE kk.n END)::BIGINT AS rank
+  FROM sc CROSS JOIN kk
+  WHERE sc.rn = CASE WHEN kk.k < kk.n THEN kk.k + 1 ELSE kk.n END),
+te AS (
+  SELECT c.key, c.segment, c.user_id, exp(c.y) - 1 AS y_real, exp(c.mu) - 1 AS point,
+         exp(c.mu - q.q_hat * c.sigma) - 1 AS lower, exp(c.mu + q.q_hat * c.sigma) - 1 AS upper,
+         (exp(c.mu + q.q_hat * c.sigma) - 1) - (exp(c.mu - q.q_hat * c.sigma) - 1) AS width,
+         c.temperature, q.q_hat, q.n_cal, q.rank
+  FROM c CROSS JOIN q WHERE c.split = 'test')"""
 
 
 def calibration_chain() -> str:
     return f"""
-WITH {EVENTS_CALIBRATED},
-te AS (
-  SELECT c.segment, exp(c.y) - 1 AS y_real, exp(c.mu) - 1 AS point,
-         exp(c.mu - q.q_hat * c.sigma) - 1 AS lower, exp(c.mu + q.q_hat * c.sigma) - 1 AS upper,
-         c.temperature, q.q_hat
-  FROM c CROSS JOIN q WHERE c.split = 'test'),
-w AS (SELECT segment, y_real, upper - lower AS width, abs(y_real - point) AS abs_error,
+WITH {events_calibrated('segment')},
+w AS (SELECT segment, y_real, width, abs(y_real - point) AS abs_error,
              lower, upper, temperature, q_hat FROM te),
 rk AS (SELECT *, {avg_rank('width', 'segment')} AS rw, {avg_rank('abs_error', 'segment')} AS re FROM w)
 SELECT segment, count(y_real) AS n,
-  {r6('avg(CASE WHEN y_real >= lower AND y_real <= upper THEN 1.0 ELSE 0.0 END)')} AS coverage,
-  CASE WHEN avg(CASE WHEN y_real >= lower AND y_real <= upper THEN 1.0 ELSE 0.0 END) < 0.90 THEN 'over-confident'
-       WHEN avg(CASE WHEN y_real >= lower AND y_real <= upper THEN 1.0 ELSE 0.0 END) > 0.99 THEN 'under-confident'
-       ELSE 'well calibrated' END AS verdict,
+  {r6(f'avg({INSIDE})')} AS coverage,
+  {cov_verdict(f'avg({INSIDE})')} AS verdict,
   {r6('avg(width)')} AS mean_width,
   {r6('100.0 * avg(width) / nullif(max(y_real) - min(y_real), 0)')} AS width_pct_range,
   {r6('stddev_pop(width)')} AS width_std,
@@ -62,7 +70,352 @@ FROM rk GROUP BY segment
 """
 
 
+EV = events_calibrated("user_id")
+
+
+def gaussian_interval_rows() -> str:
+    return f"""
+WITH {EV}
+SELECT key, {r6('exp(y) - 1')} AS truth, {r6('exp(mu) - 1')} AS point,
+  {r6('exp(mu - 1.96 * sigma) - 1')} AS lower, {r6('exp(mu + 1.96 * sigma) - 1')} AS upper,
+  {r6('(exp(mu + 1.96 * sigma) - 1) - (exp(mu - 1.96 * sigma) - 1)')} AS width
+FROM c WHERE split = 'test'
+"""
+
+
+def nll_before_after_report() -> str:
+    nll_raw = "avg(0.5 * (log_var + pow(y - mu, 2) * exp(-log_var)))"
+    nll_cal = "avg(0.5 * (log_var_cal + pow(y - mu, 2) * exp(-log_var_cal)))"
+    hit = "avg(CASE WHEN y >= mu - 1.96 * sigma AND y <= mu + 1.96 * sigma THEN 1.0 ELSE 0.0 END)"
+    return f"""
+WITH {EV}
+SELECT count(y) AS n, {r6(nll_raw)} AS nll_raw, {r6(nll_cal)} AS nll_cal,
+  {r6(f'{nll_raw} - {nll_cal}')} AS improvement, {r6(hit)} AS coverage_model_scale
+FROM c WHERE split = 'test'
+"""
+
+
+def temperature_scale() -> str:
+    z2 = "avg(pow(y - mu, 2) * exp(-log_var))"
+    return f"""
+WITH {EV}
+SELECT segment, {r6(f'ln({z2})')} AS bias, {r6(f'sqrt({z2})')} AS temperature, count(*) AS n_cal
+FROM p WHERE split = 'val' GROUP BY segment
+"""
+
+
+def temperature_batched() -> str:
+    return f"""
+WITH {EV},
+v AS (SELECT pow(y - mu, 2) * exp(-log_var) AS z2, row_number() OVER (ORDER BY key) AS rn
+      FROM p WHERE split = 'val'),
+bm AS (SELECT floor((rn - 1) / 256) AS b, avg(z2) AS m, count(*) AS nb FROM v GROUP BY 1)
+SELECT {r6('ln(avg(m))')} AS bias, {r6('sqrt(avg(m))')} AS temperature, sum(nb)::BIGINT AS n_cal FROM bm
+"""
+
+
+def conformal_interval() -> str:
+    cov = f"avg({INSIDE})"
+    return f"""
+WITH {EV}
+SELECT count(y_real) AS n, {r6(cov)} AS coverage, {cov_verdict(cov)} AS verdict,
+  {r6('any_value(q_hat)')} AS q_hat, any_value(n_cal) AS n_cal, any_value(rank) AS rank,
+  {r6('avg(width)')} AS mean_width
+FROM te
+"""
+
+
+def conformal_by_segment() -> str:
+    cov = f"avg({INSIDE})"
+    return f"""
+WITH {EV},
+ss AS (
+  SELECT segment, abs(y - mu) / sigma AS score,
+         row_number() OVER (PARTITION BY segment ORDER BY abs(y - mu) / sigma) AS rn,
+         count(*) OVER (PARTITION BY segment) AS n
+  FROM c WHERE split = 'val' AND abs(y - mu) / sigma IS NOT NULL),
+sk AS (SELECT DISTINCT segment, n, ceil((n + 1) * (1.0::DOUBLE - {ALPHA})) AS k FROM ss),
+sq AS (
+  SELECT ss.segment, ss.score AS q_hat, ss.n AS n_cal,
+         (CASE WHEN sk.k < sk.n THEN sk.k + 1 ELSE sk.n END)::BIGINT AS rank
+  FROM ss JOIN sk USING (segment)
+  WHERE ss.rn = CASE WHEN sk.k < sk.n THEN sk.k + 1 ELSE sk.n END),
+st AS (
+  SELECT c.segment, exp(c.y) - 1 AS y_real,
+         exp(c.mu - sq.q_hat * c.sigma) - 1 AS lower, exp(c.mu + sq.q_hat * c.sigma) - 1 AS upper,
+         sq.q_hat, sq.n_cal, sq.rank
+  FROM c JOIN sq USING (segment) WHERE c.split = 'test')
+SELECT segment, count(y_real) AS n, {r6(cov)} AS coverage, {cov_verdict(cov)} AS verdict,
+  {r6('any_value(q_hat)')} AS q_hat, any_value(n_cal) AS n_cal, any_value(rank) AS rank
+FROM st GROUP BY segment
+"""
+
+
+def asymmetric_bars_rows() -> str:
+    return f"""
+WITH {EV}
+SELECT key, {r6('point - lower')} AS err_low, {r6('upper - point')} AS err_high FROM te
+"""
+
+
+def coverage_verdicts() -> str:
+    def one(stage: str, sig: str) -> str:
+        inside = (f"CASE WHEN exp(y) - 1 >= exp(mu - 1.96 * {sig}) - 1 AND "
+                  f"exp(y) - 1 <= exp(mu + 1.96 * {sig}) - 1 THEN 1.0 ELSE 0.0 END")
+        return (f"SELECT split, '{stage}' AS stage, count(y) AS n, {r6(f'avg({inside})')} AS coverage, "
+                f"{cov_verdict(f'avg({inside})')} AS verdict FROM c WHERE split <> 'train' GROUP BY split")
+    return f"""
+WITH {EV}
+{one('raw', 'exp(0.5 * log_var)')}
+UNION ALL
+{one('calibrated', 'sigma')}
+"""
+
+
+def sharpness_report() -> str:
+    return f"""
+WITH {EV},
+w AS (SELECT y_real, width, abs(y_real - point) AS abs_error FROM te),
+rk AS (SELECT *, {avg_rank('width')} AS rw, {avg_rank('abs_error')} AS re FROM w)
+SELECT count(y_real) AS n, {r6('avg(width)')} AS mean_width,
+  {r6('100.0 * avg(width) / nullif(max(y_real) - min(y_real), 0)')} AS width_pct_range,
+  {r6('stddev_pop(width)')} AS width_std, {r6(corr('rw', 're'))} AS error_width_spearman
+FROM rk
+"""
+
+
+def spearman_width_error() -> str:
+    return f"""
+WITH {EV},
+w AS (SELECT segment, width, abs(y_real - point) AS abs_error FROM te),
+per AS (SELECT segment, {avg_rank('width', 'segment')} AS rw, {avg_rank('abs_error', 'segment')} AS re FROM w),
+al AS (SELECT {avg_rank('width')} AS rw, {avg_rank('abs_error')} AS re FROM w)
+SELECT segment, {r6(corr('rw', 're'))} AS spearman FROM per GROUP BY segment
+UNION ALL
+SELECT 'ALL' AS segment, {r6(corr('rw', 're'))} AS spearman FROM al
+"""
+
+
+def row_verdicts() -> str:
+    inside = "(y_real >= lower AND y_real <= upper)"
+    return f"""
+WITH {EV}
+SELECT key, {r6('y_real')} AS truth, {r6('point')} AS prediction, {r6('lower')} AS range_low,
+  {r6('upper')} AS range_high, {inside} AS inside, {r6('upper - lower')} AS width,
+  CASE WHEN {inside} THEN 'SUCCESS' ELSE 'FAILURE' END AS verdict
+FROM te
+"""
+
+
+def top_by_truth() -> str:
+    return f"""
+WITH {EV},
+top AS (SELECT * FROM te ORDER BY y_real, key LIMIT 100)
+SELECT row_number() OVER (ORDER BY y_real, key) AS position, key, {r6('y_real')} AS truth,
+  {r6('point')} AS point, {r6('point - lower')} AS err_low, {r6('upper - point')} AS err_high
+FROM top
+"""
+
+
+def sample_sorted_band() -> str:
+    return f"""
+WITH {EV},
+s AS (SELECT * FROM te ORDER BY md5('42:' || key::VARCHAR), key LIMIT 200)
+SELECT row_number() OVER (ORDER BY y_real, key) AS position, key, {r6('y_real')} AS truth,
+  {r6('point')} AS point, {r6('lower')} AS lower, {r6('upper')} AS upper
+FROM s
+"""
+
+
+# ---- preparation and statistics -----------------------------------------------
+
+LINEITEM_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
+LI_KEY = ("concat_ws('-', l_orderkey::VARCHAR, l_linenumber::VARCHAR, "
+          "l_partkey::VARCHAR, l_suppkey::VARCHAR)")
+LINEITEM_FRAME = f"""
+lp AS (
+  SELECT {LI_KEY} AS key, p_type AS segment,
+         {', '.join(f'{c}::DOUBLE AS {c}' for c in LINEITEM_FEATURES)},
+         l_extendedprice::DOUBLE AS y, {split3(LI_KEY)} AS split
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+
+def positive_filter_rows() -> str:
+    return "SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey > 0 AND c_acctbal > 0"
+
+
+def ordinal_encode_rows() -> str:
+    return """
+SELECT o_orderkey, o_orderpriority,
+  (CASE WHEN o_orderpriority = '1-URGENT' THEN 1 WHEN o_orderpriority = '2-HIGH' THEN 2
+        WHEN o_orderpriority = '3-MEDIUM' THEN 3 WHEN o_orderpriority = '5-LOW' THEN 4
+        ELSE 0 END)::INTEGER AS o_orderpriority_score
+FROM orders
+"""
+
+
+def hash_split_counts() -> str:
+    return f"""
+SELECT 'orders' AS table_name, {split3('o_orderkey')} AS split, count(*) AS n FROM orders GROUP BY 2
+UNION ALL
+SELECT 'documents' AS table_name, {split2('doc_id')} AS split, count(*) AS n FROM documents GROUP BY 2
+"""
+
+
+def standardize_train_stats_rows() -> str:
+    parts = [f"SELECT '{c}' AS feature, {r6(f'avg({c})')} AS mean, {r6(f'stddev_pop({c})')} AS std, "
+             f"count(*) AS n FROM lp WHERE split = 'train'" for c in LINEITEM_FEATURES]
+    return f"WITH {LINEITEM_FRAME}\n" + "\nUNION ALL\n".join(parts)
+
+
+def standardized_check() -> str:
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in LINEITEM_FEATURES)
+    parts = []
+    for c in LINEITEM_FEATURES:
+        z = f"(({c} - m_{c}) / (CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END))"
+        parts.append(f"SELECT split, '{c}' AS feature, round(avg({z}), 6) + 0.0 AS mean, "
+                     f"round(stddev_pop({z}), 6) + 0.0 AS std, count(*) AS n "
+                     f"FROM lp CROSS JOIN st GROUP BY split")
+    return f"WITH {LINEITEM_FRAME},\nst AS (SELECT {stats} FROM lp WHERE split = 'train')\n" + \
+        "\nUNION ALL\n".join(parts)
+
+
+def target_transform_rows() -> str:
+    return f"""
+SELECT event_id, {r6(log1p('value'), 9)} AS y_log1p, {r6(ln('value'), 9)} AS y_log,
+  {r6(f"exp({log1p('value')}) - 1", 9)} AS back_log1p, {r6(f"exp({ln('value')})", 9)} AS back_log
+FROM events
+"""
+
+
+def drop_select_rows() -> str:
+    return f"WITH {LINEITEM_FRAME}\nSELECT key, {', '.join(LINEITEM_FEATURES)}, y, split FROM lp"
+
+
+def skew_audit_rows() -> str:
+    return f"""
+WITH s AS (
+  SELECT 'identity' AS transform, value::DOUBLE AS x FROM events
+  UNION ALL SELECT 'log1p', {log1p('value')} FROM events
+  UNION ALL SELECT 'log', {ln('value')} FROM events),
+m AS (SELECT transform, avg(x) AS mean FROM s GROUP BY transform),
+a AS (
+  SELECT transform, count(x) AS n,
+         avg(pow(x - mean, 3)) / nullif(pow(var_pop(x), 1.5), 0) AS skewness,
+         any_value(mean) AS mean, quantile_cont(x, 0.5) AS median
+  FROM s JOIN m USING (transform) GROUP BY transform)
+SELECT transform, n, {r6('skewness')} AS skewness, {r6('mean')} AS mean, {r6('median')} AS median,
+  CASE WHEN skewness < -1.0 THEN 'skewed left' WHEN skewness > 1.0 THEN 'skewed right, log-transform advised'
+       WHEN skewness IS NOT NULL THEN 'symmetric' END AS verdict
+FROM a
+"""
+
+
+def _histogram(source_cte: str, value: str) -> str:
+    return f"""
+WITH {source_cte},
+hv AS (SELECT {value} AS x FROM hsrc WHERE {value} IS NOT NULL),
+r0 AS (SELECT min(x) AS lo0, max(x) AS hi0 FROM hv),
+r AS (SELECT CASE WHEN hi0 > lo0 THEN lo0 ELSE lo0 - 0.5 END AS lo,
+             CASE WHEN hi0 > lo0 THEN hi0 ELSE hi0 + 0.5 END AS hi FROM r0),
+cnt AS (SELECT least(floor((x - lo) / ((hi - lo) / 30.0))::INTEGER, 29) AS bin, count(*) AS n
+        FROM hv CROSS JOIN r GROUP BY 1),
+edges AS (SELECT range::INTEGER AS bin, lo + range * ((hi - lo) / 30.0) AS bin_lo,
+                 lo + (range + 1) * ((hi - lo) / 30.0) AS bin_hi FROM range(30) CROSS JOIN r)
+SELECT edges.bin, {r6('bin_lo')} AS bin_lo, {r6('bin_hi')} AS bin_hi, coalesce(n, 0)::BIGINT AS count
+FROM edges LEFT JOIN cnt USING (bin)
+"""
+
+
+def width_histogram() -> str:
+    return _histogram(f"{EV},\nhsrc AS (SELECT width FROM te)", "width")
+
+
+def target_histogram() -> str:
+    return _histogram(f"hsrc AS (SELECT {log1p('value')} AS y FROM events)", "y")
+
+
+def density_curve_rows() -> str:
+    return f"""
+WITH dv AS (SELECT {log1p('value')} AS x FROM events WHERE {log1p('value')} IS NOT NULL),
+st AS (SELECT count(x) AS n, stddev_samp(x) * pow(count(x)::DOUBLE, -0.2) AS h,
+              min(x) AS mn, max(x) AS mx FROM dv),
+gr AS (SELECT range::INTEGER AS point,
+              (mn - 0.0 * h) + range * ((mx - mn + 0.0 * h) / 199.0) AS g FROM range(200) CROSS JOIN st),
+k AS (SELECT point, any_value(g) AS g, sum(exp(-0.5 * pow((g - x) / h, 2))) AS s
+      FROM gr CROSS JOIN dv CROSS JOIN st GROUP BY point)
+SELECT point, {r6('g', 9)} AS x, {r6('s / (n * h * sqrt(2 * pi()))', 9)} AS density,
+  {r6('s / (n * h * sqrt(2 * pi())) * n * ((mx - mn) / 30.0)')} AS count_scale
+FROM k CROSS JOIN st
+"""
+
+
+def order_stat_quantile() -> str:
+    def one(part: str, label: str) -> str:
+        pby = f"PARTITION BY {part}" if part else ""
+        return f"""
+SELECT {label} AS o_orderstatus, q_value, n, r FROM (
+  SELECT {part + ',' if part else ''} o_totalprice AS q_value, n,
+         (CASE WHEN k < n THEN k + 1 ELSE n END)::BIGINT AS r, rn
+  FROM (SELECT *, row_number() OVER ({pby} ORDER BY o_totalprice) AS rn,
+               count(*) OVER ({pby}) AS n,
+               ceil((count(*) OVER ({pby}) + 1) * (1.0::DOUBLE - {ALPHA})) AS k
+        FROM orders)) WHERE rn = r"""
+    return one("o_orderstatus", "o_orderstatus") + "\nUNION ALL" + one("", "'ALL'")
+
+
+GROUP_BOUNDS = """
+gb AS (SELECT segment, quantile_cont(y, 0.05) AS q_lower, quantile_cont(y, 0.95) AS q_upper,
+              count(y) AS n_train FROM lp WHERE split = 'train' GROUP BY segment)"""
+
+
+def group_quantile_interval() -> str:
+    return f"""
+WITH {LINEITEM_FRAME},{GROUP_BOUNDS}
+SELECT segment, {r6('q_lower')} AS q_lower, {r6('q_upper')} AS q_upper, n_train FROM gb
+"""
+
+
+def report_card_rows() -> str:
+    cov = "avg(CASE WHEN y >= q_lower AND y <= q_upper THEN 1.0 ELSE 0.0 END)"
+    return f"""
+WITH {LINEITEM_FRAME},{GROUP_BOUNDS}
+SELECT segment, count(y) AS n, {r6(cov)} AS coverage, {r6('avg(q_upper - q_lower)')} AS mean_width,
+  {r6('avg(y)')} AS mean_target,
+  {r6('100.0 * avg(q_upper - q_lower) / nullif(avg(y), 0)')} AS relative_width_pct,
+  CASE WHEN abs({cov} - 0.9) < 0.05 THEN 'good' ELSE 'needs calibration' END AS verdict
+FROM lp JOIN gb USING (segment) WHERE split = 'test' GROUP BY segment
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "calibration_chain": calibration_chain(),
+        "positive_filter": positive_filter_rows(),
+        "ordinal_encode": ordinal_encode_rows(),
+        "hash_split_counts": hash_split_counts(),
+        "standardize_train_stats": standardize_train_stats_rows(),
+        "standardized_check": standardized_check(),
+        "target_transform": target_transform_rows(),
+        "drop_select": drop_select_rows(),
+        "skew_audit": skew_audit_rows(),
+        "width_histogram": width_histogram(),
+        "target_histogram": target_histogram(),
+        "density_curve": density_curve_rows(),
+        "spearman_width_error": spearman_width_error(),
+        "order_stat_quantile": order_stat_quantile(),
+        "top_by_truth": top_by_truth(),
+        "sample_sorted_band": sample_sorted_band(),
+        "gaussian_interval": gaussian_interval_rows(),
+        "group_quantile_interval": group_quantile_interval(),
+        "nll_before_after": nll_before_after_report(),
+        "temperature_scale": temperature_scale(),
+        "temperature_batched": temperature_batched(),
+        "conformal_interval": conformal_interval(),
+        "conformal_by_segment": conformal_by_segment(),
+        "asymmetric_bars": asymmetric_bars_rows(),
+        "coverage_verdict": coverage_verdicts(),
+        "sharpness_audit": sharpness_report(),
+        "report_card": report_card_rows(),
+        "row_verdict": row_verdicts(),
     }

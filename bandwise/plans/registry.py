@@ -2,10 +2,42 @@
 
 from __future__ import annotations
 
-from bandwise.plans import calibration
+from bandwise.plans import calibration as cal
+from bandwise.plans import preparation as prep
 
 
 def all_queries() -> dict:
     return {
-        "calibration_chain": calibration.calibration_chain,
+        "calibration_chain": cal.calibration_chain,
+        # phase 2: preparation
+        "positive_filter": prep.positive_filter_rows,
+        "ordinal_encode": prep.ordinal_encode_rows,
+        "hash_split_counts": prep.hash_split_counts,
+        "standardize_train_stats": prep.standardize_train_stats_rows,
+        "standardized_check": prep.standardized_check,
+        "target_transform": prep.target_transform_rows,
+        "drop_select": prep.drop_select_rows,
+        # phase 3: statistics and plot tables
+        "skew_audit": prep.skew_audit_rows,
+        "width_histogram": prep.width_histogram,
+        "target_histogram": prep.target_histogram,
+        "density_curve": prep.density_curve_rows,
+        "spearman_width_error": cal.spearman_width_error,
+        "order_stat_quantile": prep.order_stat_quantile,
+        "top_by_truth": cal.top_by_truth,
+        "sample_sorted_band": cal.sample_sorted_band,
+        # phase 4: intervals and calibration
+        "gaussian_interval": cal.gaussian_interval_rows,
+        "group_quantile_interval": prep.group_quantile_interval,
+        "nll_before_after": cal.nll_before_after_report,
+        "temperature_scale": cal.temperature_scale,
+        "temperature_batched": cal.temperature_batched,
+        "conformal_interval": cal.conformal_interval,
+        "conformal_by_segment": cal.conformal_by_segment,
+        "asymmetric_bars": cal.asymmetric_bars_rows,
+        # phase 5: audits
+        "coverage_verdict": cal.coverage_verdicts,
+        "sharpness_audit": cal.sharpness_report,
+        "report_card": prep.report_card_rows,
+        "row_verdict": cal.row_verdicts,
     }

@@ -23,7 +23,8 @@ def ln(x: str) -> str:
 
 
 def r6(x: str, digits: int = 6) -> str:
-    return f"round(({x})::DOUBLE, {digits})"
+    # "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's rounding gives.
+    return f"(round(({x})::DOUBLE, {digits}) + 0.0)"
 
 
 def avg_rank(value: str, by: str = "") -> str:

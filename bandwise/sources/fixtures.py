@@ -14,8 +14,8 @@ from bandwise.sources.tables import read_table
 
 def events_frame(spark: SparkSession, folder: str, transform: str = "log1p") -> DataFrame:
     """y = transform(value), segment = event_type, hash split on event_id (60/20/20)."""
-    ev = read_table(spark, folder, "events", ["event_id", "event_type", "value"])
-    return ev.select(F.col("event_id").alias("key"), F.col("event_type").alias("segment"),
+    ev = read_table(spark, folder, "events", ["event_id", "user_id", "event_type", "value"])
+    return ev.select(F.col("event_id").alias("key"), F.col("event_type").alias("segment"), "user_id",
                      F.col("value").cast("double").alias("value"),
                      forward("value", transform).alias("y"),
                      split_label("event_id").alias("split"))
