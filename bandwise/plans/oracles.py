@@ -388,6 +388,97 @@ FROM lp JOIN gb USING (segment) WHERE split = 'test' GROUP BY segment
 """
 
 
+# ---- phase 6: linear variational model on documents ---------------------------
+
+def _hash_u(parts: str) -> str:
+    return f"((('0x' || substr(md5(concat_ws(':', {parts})), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0)"
+
+
+DOCS_POSTERIOR = f"""
+d0 AS (
+  SELECT doc_id AS key, lang AS segment,
+         ln(len(string_split_regex(text, '\\s+'))::DOUBLE + 1.0) AS xw,
+         {ln('n_chars')} AS y, {split3('doc_id')} AS split
+  FROM documents),
+sx AS (SELECT avg(xw) AS m, stddev_pop(xw) AS s FROM d0 WHERE split = 'train'),
+d AS (SELECT d0.*, (xw - m) / (CASE WHEN s = 0 THEN 1.0 ELSE s END) AS x FROM d0 CROSS JOIN sx),
+agg AS (
+  SELECT count(*) AS n, sum(x * x) AS a00, sum(x) AS a01, count(*)::DOUBLE AS a11,
+         sum(x * y) AS c0, sum(y) AS c1
+  FROM d WHERE split = 'train' AND y IS NOT NULL),
+sol AS (
+  SELECT n, 1.0 / n AS lam, a00, a11,
+         ((a11 + 0.5 / n) * c0 - a01 * c1) / ((a00 + 0.5 / n) * (a11 + 0.5 / n) - a01 * a01) AS mu0,
+         ((a00 + 0.5 / n) * c1 - a01 * c0) / ((a00 + 0.5 / n) * (a11 + 0.5 / n) - a01 * a01) AS mu1
+  FROM agg),
+post AS (
+  SELECT 0 AS col, 'weight' AS kind, 'x_words' AS name, mu0 AS mu,
+         sqrt(lam / (lam + 2 * a00)) AS sigma FROM sol
+  UNION ALL
+  SELECT 1, 'bias', 'bias', mu1, sqrt(lam / (lam + 2 * a11)) FROM sol),
+dr AS (
+  SELECT range AS draw, col, mu + sigma * (
+           sqrt(-2.0 * ln({_hash_u("'42', range::VARCHAR, col::VARCHAR, 'a'")})) *
+           cos(6.283185307179586 * {_hash_u("'42', range::VARCHAR, col::VARCHAR, 'b'")})) AS w
+  FROM post CROSS JOIN range(100)),
+wd AS (SELECT draw, max(CASE WHEN col = 0 THEN w END) AS w0, max(CASE WHEN col = 1 THEN w END) AS w1
+       FROM dr GROUP BY draw),
+mc AS (
+  SELECT d.key, d.segment, any_value(d.y) AS y, avg(d.x * w0 + w1) AS mc_mean,
+         stddev_pop(d.x * w0 + w1) AS mc_std
+  FROM d CROSS JOIN wd WHERE d.split = 'test' GROUP BY d.key, d.segment)"""
+
+
+def linear_posterior() -> str:
+    return f"""
+WITH {DOCS_POSTERIOR}
+SELECT 0 AS layer, 0 AS row, col, kind, name, {r6('mu')} AS mu, {r6('sigma', 9)} AS sigma,
+  {r6('ln(exp(sigma) - 1)')} AS rho
+FROM post
+"""
+
+
+def posterior_kl_report() -> str:
+    return f"""
+WITH {DOCS_POSTERIOR}
+SELECT count(*) AS n_weights,
+  {r6('0.5 * sum(mu * mu + sigma * sigma - 2 * ln(sigma) - 1)', 4)} AS kl
+FROM post
+"""
+
+
+def mc_predictive_linear() -> str:
+    return f"WITH {DOCS_POSTERIOR}\nSELECT key, {r6('mc_mean')} AS mc_mean, {r6('mc_std', 9)} AS mc_std FROM mc"
+
+
+def credible_interval_rows() -> str:
+    return f"""
+WITH {DOCS_POSTERIOR}
+SELECT key, {r6('exp(y)')} AS truth, {r6('exp(mc_mean)')} AS point,
+  {r6('exp(mc_mean - 2.0 * mc_std)')} AS lower, {r6('exp(mc_mean + 2.0 * mc_std)')} AS upper
+FROM mc
+"""
+
+
+def spread_diagnosis_report() -> str:
+    return f"""
+WITH {DOCS_POSTERIOR}
+SELECT segment AS lang, count(mc_std) AS n, {r6('avg(mc_std)', 9)} AS mean_std,
+  CASE WHEN avg(mc_std) < 0.01 THEN 'collapsed' WHEN avg(mc_std) > 1.0 THEN 'exploding'
+       WHEN avg(mc_std) IS NOT NULL THEN 'healthy' END AS verdict
+FROM mc GROUP BY segment
+"""
+
+
+ORACLES_PHASE6 = {
+    "linear_posterior": linear_posterior,
+    "posterior_kl": posterior_kl_report,
+    "mc_predictive_linear": mc_predictive_linear,
+    "credible_interval": credible_interval_rows,
+    "spread_diagnosis": spread_diagnosis_report,
+}
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "calibration_chain": calibration_chain(),
@@ -418,4 +509,5 @@ def all_oracles() -> dict[str, str]:
         "sharpness_audit": sharpness_report(),
         "report_card": report_card_rows(),
         "row_verdict": row_verdicts(),
+        **{k: f() for k, f in ORACLES_PHASE6.items()},
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bandwise.plans import bayes
 from bandwise.plans import calibration as cal
 from bandwise.plans import preparation as prep
 
@@ -40,4 +41,10 @@ def all_queries() -> dict:
         "sharpness_audit": cal.sharpness_report,
         "report_card": prep.report_card_rows,
         "row_verdict": cal.row_verdicts,
+        "spread_diagnosis": bayes.spread_diagnosis_report,
+        # phase 6: linear variational model
+        "linear_posterior": bayes.linear_posterior,
+        "posterior_kl": bayes.posterior_kl_report,
+        "mc_predictive_linear": bayes.mc_predictive_linear,
+        "credible_interval": bayes.credible_interval_rows,
     }
