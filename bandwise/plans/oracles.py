@@ -479,6 +479,28 @@ ORACLES_PHASE6 = {
 }
 
 
+# ---- phase 7: nearest centre on the embeddings ---------------------------------
+
+def nearest_center_rows() -> str:
+    return f"""
+WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS emb,
+                  {split3('vec_id')} AS split FROM embeddings),
+u AS (SELECT label, unnest(emb) AS v, generate_subscripts(emb, 1) AS i FROM e WHERE split = 'train'),
+cd AS (SELECT label, i, avg(v) AS m FROM u GROUP BY label, i),
+ce AS (SELECT label AS center, list(m ORDER BY i) AS c FROM cd GROUP BY label),
+dd AS (SELECT e.vec_id, e.label, ce.center,
+              list_reduce(list_transform(list_zip(e.emb, ce.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])),
+                          lambda a, b: a + b) AS d
+       FROM e CROSS JOIN ce),
+best AS (SELECT vec_id, label, arg_min(center, (d, center)) AS center, min(d) AS d
+         FROM dd GROUP BY vec_id, label)
+SELECT vec_id, label, center, {r6('d')} AS distance FROM best
+"""
+
+
+ORACLES_PHASE7 = {"nearest_center": nearest_center_rows}
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "calibration_chain": calibration_chain(),
@@ -510,4 +532,5 @@ def all_oracles() -> dict[str, str]:
         "report_card": report_card_rows(),
         "row_verdict": row_verdicts(),
         **{k: f() for k, f in ORACLES_PHASE6.items()},
+        **{k: f() for k, f in ORACLES_PHASE7.items()},
     }

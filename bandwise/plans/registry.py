@@ -5,6 +5,7 @@ from __future__ import annotations
 from bandwise.plans import bayes
 from bandwise.plans import calibration as cal
 from bandwise.plans import preparation as prep
+from bandwise.plans import spatial
 
 
 def all_queries() -> dict:
@@ -47,4 +48,7 @@ def all_queries() -> dict:
         "posterior_kl": bayes.posterior_kl_report,
         "mc_predictive_linear": bayes.mc_predictive_linear,
         "credible_interval": bayes.credible_interval_rows,
+        # phase 7: spatial feature
+        "nearest_center": spatial.nearest_center_rows,
+        "kmeans_feature": spatial.kmeans_feature,
     }
