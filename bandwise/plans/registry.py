@@ -5,7 +5,7 @@ from __future__ import annotations
 from bandwise.plans import bayes
 from bandwise.plans import calibration as cal
 from bandwise.plans import preparation as prep
-from bandwise.plans import spatial
+from bandwise.plans import spatial, trees
 
 
 def all_queries() -> dict:
@@ -51,4 +51,11 @@ def all_queries() -> dict:
         # phase 7: spatial feature
         "nearest_center": spatial.nearest_center_rows,
         "kmeans_feature": spatial.kmeans_feature,
+        # phase 8: trees
+        "gbt_mean": trees.gbt_mean,
+        "quantile_boost": trees.quantile_boost,
+        "quantile_report_card": trees.quantile_report_card,
+        # phase 9: anomaly
+        "isolation_scores": trees.isolation_scores,
+        "combined_scan": trees.combined_scan,
     }

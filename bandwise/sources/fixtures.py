@@ -32,6 +32,8 @@ def documents_frame(spark: SparkSession, folder: str) -> DataFrame:
     d = read_table(spark, folder, "documents", ["doc_id", "text", "lang", "n_chars"])
     return d.select(F.col("doc_id").alias("key"), F.col("lang").alias("segment"),
                     F.log(word_count("text").cast("double") + 1.0).alias("x_words"),
+                    F.log(F.size(F.split(F.col("text"), "\n")).cast("double") + 1.0).alias("x_lines"),
+                    F.col("n_chars").cast("double").alias("n_chars"),
                     forward("n_chars", "log").alias("y"),
                     split_label("doc_id").alias("split"))
 
