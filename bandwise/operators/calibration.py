@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bandwise.functions.columns import inverse
 from bandwise.functions.constants import CONFORMAL_ALPHA, TEMPERATURE_BATCH
-from bandwise.operators.params import attach
+from bandwise.operators.params import attach, small_frame
 from bandwise.operators.ranks import average_ranks, order_statistic
 
 
@@ -39,7 +39,7 @@ def fit_temperature(df: DataFrame, y: str = "y", mu: str = "mu", log_var: str =
     m = F.avg(_z2(y, mu, log_var))
     params = src.groupBy(*by).agg(F.log(m).alias("bias"), F.sqrt(m).alias("temperature"),
                                   F.count(F.lit(1)).alias("n_cal"))
-    return Temperature(params, list(by))
+    return Temperature(small_frame(params), list(by))
 
 
 def fit_temperature_batched(df: DataFrame, key: str, y: str = "y", mu: str = "mu",
@@ -59,7 +59,7 @@ def fit_temperature_batched(df: DataFrame, key: str, y: str = "y", mu: str = "mu
     m = F.avg("_m")
     params = batched.agg(F.log(m).alias("bias"), F.sqrt(m).alias("temperature"),
                          F.sum("_n").alias("n_cal"))
-    return Temperature(params, [])
+    return Temperature(small_frame(params), [])
 
 
 def conformal_rank(n: Column, alpha: float, rank: str = "higher") -> Column:
@@ -111,7 +111,7 @@ def fit_conformal(df: DataFrame, y: str = "y", mu: str = "mu", sigma: str = "sig
     q = order_statistic(scored, "_score", lambda n: conformal_rank(n, alpha, rank), by,
                         parts=parts, out="q_hat")
     params = q.select(*by, "q_hat", F.col("n").alias("n_cal"), F.col("r").alias("rank"))
-    return Conformal(params, list(by))
+    return Conformal(small_frame(params), list(by))
 
 
 def quantile_interval(df: DataFrame, lower: str, upper: str, repair: bool = False) -> DataFrame:

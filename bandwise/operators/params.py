@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def small_frame(df: DataFrame, limit: int = 10000) -> DataFrame:
+    """Fitted parameters as a local relation, computed once.
+
+    At most ``limit`` rows are read to the driver; a larger result stays a
+    (lazy) DataFrame, so the size of what is pulled in is always checked.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def attach(df: DataFrame, params: DataFrame, by=(), how: str = "left") -> DataFrame:
     """Add the parameter columns to every row.
 

@@ -16,6 +16,7 @@ from bandwise.operators.calibration import (
 from bandwise.operators.gaussian import fit_group_gaussian, gaussian_interval
 from bandwise.operators.params import attach
 from bandwise.operators.stats import hash_sample, sorted_positions, spearman, top_by
+from bandwise.session import cut_lineage
 from bandwise.sources.fixtures import events_frame
 
 
@@ -26,8 +27,10 @@ def calibrated_predictions(spark: SparkSession, folder: str, group: str = "segme
     model = fit_group_gaussian(frame, by=[group])
     pred = model.transform(frame)
     temp = fit_temperature(pred)
-    pred = temp.transform(pred)
-    return pred.withColumn("sigma", F.exp(F.lit(0.5) * F.col("log_var_cal"))), temp
+    pred = temp.transform(pred).withColumn("sigma", F.exp(F.lit(0.5) * F.col("log_var_cal")))
+    # Every later step (conformal ranks, reports) reads these rows: cut the
+    # lineage once into the shared checkpoint folder instead of rescanning.
+    return cut_lineage(pred), temp
 
 
 def conformal_test(spark: SparkSession, folder: str, group: str = "segment"):
