@@ -27,13 +27,14 @@ def median(df: DataFrame, value: str, by=()) -> DataFrame:
     return exact_percentile(df, value, 0.5, by, out="median").select(*by, "median")
 
 
-def spearman(df: DataFrame, x: str, y: str, by=(), out: str = "spearman") -> DataFrame:
+def spearman(df: DataFrame, x: str, y: str, by=(), out: str = "spearman",
+             parts: int | None = None) -> DataFrame:
     """Rank correlation with tie-averaged ranks; null when a side is constant."""
     by = list(by)
     rows = df.select(*by, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y))
     rows = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    rx = average_ranks(rows, x, by, out="_rx")
-    ry = average_ranks(rows, y, by, out="_ry")
+    rx = average_ranks(rows, x, by, parts=parts, out="_rx")
+    ry = average_ranks(rows, y, by, parts=parts, out="_ry")
     ranked = rows.join(rx, on=[*by, x], how="inner").join(ry, on=[*by, y], how="inner")
     return ranked.groupBy(*by).agg(safe_corr("_rx", "_ry").alias(out))
 
