@@ -5,7 +5,7 @@ from __future__ import annotations
 from bandwise.plans import bayes
 from bandwise.plans import calibration as cal
 from bandwise.plans import preparation as prep
-from bandwise.plans import spatial, trees
+from bandwise.plans import nets, spatial, trees
 
 
 def all_queries() -> dict:
@@ -58,4 +58,8 @@ def all_queries() -> dict:
         # phase 9: anomaly
         "isolation_scores": trees.isolation_scores,
         "combined_scan": trees.combined_scan,
+        # phase 10: nets, data-parallel
+        "variational_net": nets.variational_net,
+        "net_training_log": nets.net_training_log,
+        "mean_logvar_net": nets.mean_logvar_net,
     }
