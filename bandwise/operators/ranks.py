@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwise.functions.columns import col_of
+from bandwise.session import cut_lineage
 
 BUCKET = "_bw_bucket"
 
@@ -48,60 +49,80 @@ def _with_value(df: DataFrame, value, by) -> tuple[DataFrame, str]:
     return d.where(F.col(name).isNotNull() & ~F.isnan(F.col(name))), name
 
 
-def order_statistic(df: DataFrame, value, rank, by=(), parts: int | None = None,
-                    out: str = "value") -> DataFrame:
-    """The ``rank``-th smallest value (1-based) per ``by`` group.
+def order_statistics(df: DataFrame, value, ranks: dict, by=(), parts: int | None = None,
+                     materialize: bool = True) -> DataFrame:
+    """Several exact order statistics in one go, per ``by`` group.
 
-    ``rank`` is an int or a function from the group's row count (Column) to
-    the wanted rank (Column). Returns columns ``by + [out, n, r]``.
+    ``ranks`` maps a name to an int or to a function from the group's row
+    count (Column) to the wanted 1-based rank (Column). The narrow (by, value)
+    projection is checkpointed once; cut points, bucket counts and the final
+    pick all read it. Returns long rows ``by + [which, value, n, r]``.
     """
     by = list(by)
     d, name = _with_value(df, value, by)
+    if materialize:
+        d = cut_lineage(d)
     cuts = cut_points(d, name, _parts_for(df, parts))
     b = bucketize(d, name, cuts)
 
     counts = b.groupBy(*by, BUCKET).agg(F.count(F.lit(1)).alias("_c"))
     seg = Window.partitionBy(*by) if by else Window.partitionBy()
     run = seg.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    n = F.sum("_c").over(seg)
-    r = F.lit(rank) if isinstance(rank, int) else rank(n)
-    located = (
-        counts.withColumn("n", n).withColumn("r", r.cast("bigint"))
-        .withColumn("_cum", F.sum("_c").over(run))
-        .where((F.col("_cum") - F.col("_c") < F.col("r")) & (F.col("r") <= F.col("_cum")))
-        .select(*by, BUCKET, "n", "r", (F.col("r") - F.col("_cum") + F.col("_c")).alias("_rl"))
-    )
-    # Rows of the located bucket only; collapse ties before the window.
+    counts = counts.withColumn("n", F.sum("_c").over(seg)).withColumn("_cum", F.sum("_c").over(run))
+    located = None
+    for which, rank in ranks.items():
+        r = F.lit(rank) if isinstance(rank, int) else rank(F.col("n"))
+        one = (counts.withColumn("r", r.cast("bigint"))
+               .where((F.col("_cum") - F.col("_c") < F.col("r")) & (F.col("r") <= F.col("_cum")))
+               .select(*by, BUCKET, F.lit(which).alias("which"), "n", "r",
+                       (F.col("r") - F.col("_cum") + F.col("_c")).alias("_rl")))
+        located = one if located is None else located.unionByName(one)
+    # Rows of the located buckets only; collapse ties before the window.
     dist = (b.join(located, on=[*by, BUCKET], how="inner")
-            .groupBy(*by, name, "n", "r", "_rl").agg(F.count(F.lit(1)).alias("_c")))
-    run2 = seg.orderBy(name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            .groupBy(*by, "which", name, "n", "r", "_rl").agg(F.count(F.lit(1)).alias("_c")))
+    pick = Window.partitionBy(*by, "which").orderBy(name).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     return (
-        dist.withColumn("_cum", F.sum("_c").over(run2))
+        dist.withColumn("_cum", F.sum("_c").over(pick))
         .where((F.col("_cum") - F.col("_c") < F.col("_rl")) & (F.col("_rl") <= F.col("_cum")))
-        .select(*by, F.col(name).alias(out), "n", "r")
+        .select(*by, "which", F.col(name).alias("value"), "n", "r")
     )
 
 
-def exact_percentile(df: DataFrame, value, q: float, by=(), parts: int | None = None,
-                     out: str = "value") -> DataFrame:
-    """Linear-interpolated percentile (numpy's default) per group, exactly."""
-    by = list(by)
+def order_statistic(df: DataFrame, value, rank, by=(), parts: int | None = None,
+                    out: str = "value", materialize: bool = True) -> DataFrame:
+    """The ``rank``-th smallest value (1-based) per ``by`` group: ``by + [out, n, r]``."""
+    res = order_statistics(df, value, {"k": rank}, by, parts, materialize)
+    return res.select(*by, F.col("value").alias(out), "n", "r")
 
-    def lo_rank(n: Column) -> Column:
-        return F.floor((n - 1).cast("double") * F.lit(q)) + 1
 
-    def hi_rank(n: Column) -> Column:
-        return F.ceil((n - 1).cast("double") * F.lit(q)) + 1
+def exact_percentiles(df: DataFrame, value, qs: dict, by=(), parts: int | None = None,
+                      materialize: bool = True) -> DataFrame:
+    """Linear-interpolated percentiles (numpy's default), exactly, several at once.
 
-    keys = by or ["_bw_one"]
-    lo = order_statistic(df, value, lo_rank, by, parts, "_lo").select(
-        *by, F.lit(1).alias("_bw_one"), "_lo", "n")
-    hi = order_statistic(df, value, hi_rank, by, parts, "_hi").select(
-        *by, F.lit(1).alias("_bw_one"), "_hi")
-    j = lo.join(hi, on=keys, how="inner")
-    h = (F.col("n") - 1).cast("double") * F.lit(q)
-    frac = h - F.floor(h)
-    return j.select(*by, (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).alias(out), "n")
+    ``qs`` maps an output column name to a fraction in [0, 1]. Returns
+    ``by + [names..., n]``, one row per group.
+    """
+    by = list(by)
+    ranks = {}
+    for nm, q in qs.items():
+        ranks[f"{nm}__lo"] = (lambda qq: lambda n: F.floor((n - 1).cast("double") * F.lit(qq)) + 1)(q)
+        ranks[f"{nm}__hi"] = (lambda qq: lambda n: F.ceil((n - 1).cast("double") * F.lit(qq)) + 1)(q)
+    long = order_statistics(df, value, ranks, by, parts, materialize)
+    aggs = [F.max("n").alias("n")]
+    for nm, q in qs.items():
+        lo = F.max(F.when(F.col("which") == f"{nm}__lo", F.col("value")))
+        hi = F.max(F.when(F.col("which") == f"{nm}__hi", F.col("value")))
+        h = (F.max("n") - 1).cast("double") * F.lit(q)
+        aggs.append((lo + (h - F.floor(h)) * (hi - lo)).alias(nm))
+    return long.groupBy(*by).agg(*aggs)
+
+
+def exact_percentile(df: DataFrame, value, q: float, by=(), parts: int | None = None,
+                     out: str = "value", materialize: bool = True) -> DataFrame:
+    """Linear-interpolated percentile (numpy's default) per group, exactly."""
+    res = exact_percentiles(df, value, {out: q}, by, parts, materialize)
+    return res.select(*by, out, "n")
 
 
 def average_ranks(df: DataFrame, value, by=(), parts: int | None = None,
@@ -112,7 +133,9 @@ def average_ranks(df: DataFrame, value, by=(), parts: int | None = None,
     """
     by = list(by)
     d, name = _with_value(df, value, by)
-    distinct = d.groupBy(*by, name).agg(F.count(F.lit(1)).alias("_c"))
+    # distinct values with their counts, written once: cut points, bucket
+    # totals and the local running counts all read it
+    distinct = cut_lineage(d.groupBy(*by, name).agg(F.count(F.lit(1)).alias("_c")))
     cuts = cut_points(distinct, name, _parts_for(df, parts))
     b = bucketize(distinct, name, cuts)
 

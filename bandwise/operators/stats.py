@@ -13,6 +13,7 @@ from bandwise.functions.columns import col_of, safe_corr
 from bandwise.functions.constants import HIST_BINS, KDE_GRID
 from bandwise.operators.params import attach
 from bandwise.operators.ranks import average_ranks, exact_percentile
+from bandwise.session import cut_lineage
 
 
 def moments(df: DataFrame, value: str, by=()) -> DataFrame:
@@ -32,7 +33,7 @@ def spearman(df: DataFrame, x: str, y: str, by=(), out: str = "spearman",
     """Rank correlation with tie-averaged ranks; null when a side is constant."""
     by = list(by)
     rows = df.select(*by, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y))
-    rows = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    rows = cut_lineage(rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()))
     rx = average_ranks(rows, x, by, parts=parts, out="_rx")
     ry = average_ranks(rows, y, by, parts=parts, out="_ry")
     ranked = rows.join(rx, on=[*by, x], how="inner").join(ry, on=[*by, y], how="inner")

@@ -12,7 +12,7 @@ from bandwise.operators.calibration import conformal_rank
 from bandwise.operators.prep import (
     fit_standardizer, hash_split, ordinal_encode, positive_filter, standardize_train_stats,
 )
-from bandwise.operators.ranks import exact_percentile, order_statistic
+from bandwise.operators.ranks import exact_percentiles, order_statistic
 from bandwise.operators.stats import density_curve, histogram
 from bandwise.plans.calibration import conformal_test
 from bandwise.sources.fixtures import LINEITEM_FEATURES, events_frame, lineitem_part_frame
@@ -127,9 +127,8 @@ def order_stat_quantile(spark: SparkSession, folder: str) -> DataFrame:
 
 def _group_quantile_bounds(frame: DataFrame) -> DataFrame:
     train = frame.where(F.col("split") == "train")
-    lo = exact_percentile(train, "y", QUANTILE_ALPHAS[0], by=["segment"], out="q_lower")
-    hi = exact_percentile(train, "y", QUANTILE_ALPHAS[1], by=["segment"], out="q_upper")
-    return lo.join(hi.drop("n"), on="segment", how="inner")
+    return exact_percentiles(train, "y", {"q_lower": QUANTILE_ALPHAS[0], "q_upper": QUANTILE_ALPHAS[1]},
+                             by=["segment"])
 
 
 def group_quantile_interval(spark: SparkSession, folder: str) -> DataFrame:
