@@ -6,6 +6,8 @@ raw target n_chars (the quantile notebook keeps its target raw).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from bandwise.operators.boosting import fit_gbt_mean, fit_quantile_booster
 from bandwise.operators.calibration import quantile_interval
 from bandwise.operators.isolation import fit_isolation_forest, scan
 from bandwise.operators.prep import assemble, fit_standardizer
+from bandwise.session import cut_lineage
 from bandwise.sources.fixtures import documents_frame
 
 FEATURES = ["x_words", "x_lines"]
@@ -28,6 +31,13 @@ def tree_frame(spark: SparkSession, folder: str) -> DataFrame:
     return assemble(frame.withColumn("y", F.col("n_chars")), FEATURES)
 
 
+def fit_together(*fits):
+    """Run independent model fits as concurrent Spark jobs (driver threads)."""
+    with ThreadPoolExecutor(max_workers=len(fits)) as pool:
+        futures = [pool.submit(f) for f in fits]
+        return [f.result() for f in futures]
+
+
 def gbt_mean(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> DataFrame:
     frame = tree_frame(spark, folder)
     model = fit_gbt_mean(frame, "features", rounds=rounds)
@@ -37,9 +47,10 @@ def gbt_mean(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> Da
 
 def quantile_boost(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> DataFrame:
     """5% and 95% boosted quantile models; bounds and crossing flag per test row."""
-    frame = tree_frame(spark, folder)
-    lo = fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds)
-    hi = fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds)
+    frame = cut_lineage(tree_frame(spark, folder))
+    lo, hi = fit_together(
+        lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),
+        lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds))
     test = frame.where(F.col("split") == "test")
     test = hi.transform(lo.transform(test, "q_lower"), "q_upper")
     return quantile_interval(test, "q_lower", "q_upper").select(
@@ -61,9 +72,10 @@ def isolation_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def combined_scan(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> DataFrame:
     """Mean, quantile pair and anomaly flag together for every test row (the scan)."""
-    frame = tree_frame(spark, folder)
-    mean = fit_gbt_mean(frame, "features", rounds=rounds)
-    lo = fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds)
-    hi = fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds)
-    forest = fit_isolation_forest(frame, FEATURES, "key")
+    frame = cut_lineage(tree_frame(spark, folder))
+    mean, lo, hi, forest = fit_together(
+        lambda: fit_gbt_mean(frame, "features", rounds=rounds),
+        lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),
+        lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds),
+        lambda: fit_isolation_forest(frame, FEATURES, "key"))
     return scan(frame.where(F.col("split") == "test"), "key", "features", mean, lo, hi, forest)
