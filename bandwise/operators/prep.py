@@ -29,6 +29,27 @@ def ordinal_encode(df: DataFrame, levels: dict[str, list[str]], suffix: str = "_
     return out
 
 
+def ordinal_sql(levels: dict[str, list[str]], suffix: str = "_score") -> str:
+    """The same encoding as SQL over ``__THIS__`` (for an ML SQLTransformer stage)."""
+    cases = []
+    for name, order in levels.items():
+        whens = " ".join(f"WHEN {name} = '{lv}' THEN {i}" for i, lv in enumerate(order, start=1))
+        cases.append(f"CAST(CASE {whens} ELSE 0 END AS INT) AS {name}{suffix}")
+    return "SELECT *, " + ", ".join(cases) + " FROM __THIS__"
+
+
+def feature_pipeline(levels: dict[str, list[str]], numeric, out: str = "features",
+                     handle_invalid: str = "error"):
+    """Staged ML pipeline (P6): ordinal SQL stage, then the vector assembler."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import SQLTransformer
+
+    cols = [*numeric, *[f"{n}_score" for n in levels]]
+    return Pipeline(stages=[SQLTransformer(statement=ordinal_sql(levels)),
+                            VectorAssembler(inputCols=cols, outputCol=out,
+                                            handleInvalid=handle_invalid)])
+
+
 def assemble(df: DataFrame, cols, out: str = "features", handle_invalid: str = "error") -> DataFrame:
     """Feature vector column (P5); ``handle_invalid`` in error | skip | keep."""
     return VectorAssembler(inputCols=list(cols), outputCol=out,

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from bandwise.functions.columns import rounded
 from bandwise.operators.audits import spread_diagnosis
+from bandwise.operators.calibration import asymmetric_bars
+from bandwise.operators.stats import hash_sample
 from bandwise.operators.prep import fit_standardizer
 from bandwise.operators.variational import (
     credible_interval, fit_linear_posterior, posterior_kl,
@@ -62,3 +64,12 @@ def spread_diagnosis_report(spark: SparkSession, folder: str) -> DataFrame:
     pred = post.predictive(frame.where(F.col("split") == "test"))
     rep = spread_diagnosis(pred, "mc_std", by=["segment"])
     return rep.select(F.col("segment").alias("lang"), "n", rounded("mean_std", 9).alias("mean_std"), "verdict")
+
+
+def mc_sample_bars(spark: SparkSession, folder: str, n: int = 20) -> DataFrame:
+    """20 hash-chosen test documents: truth, MC point and asymmetric bars (V6)."""
+    frame, post = fitted(spark, folder)
+    pred = post.predictive(hash_sample(frame.where(F.col("split") == "test"), "key", n))
+    ci = asymmetric_bars(credible_interval(pred, transform="log"))
+    return ci.select("key", rounded(F.exp("y")).alias("truth"), rounded("point").alias("point"),
+                     rounded("err_low").alias("err_low"), rounded("err_high").alias("err_high"))

@@ -172,6 +172,23 @@ def top_by_truth(spark: SparkSession, folder: str) -> DataFrame:
                       rounded("err_high").alias("err_high"))
 
 
+def error_width_points(spark: SparkSession, folder: str, n: int = 200) -> DataFrame:
+    """(width, absolute error) of a hash-chosen sample of test rows (V3)."""
+    test, _, _ = conformal_test(spark, folder, "user_id")
+    s = hash_sample(test, "key", n)
+    return s.select("key", rounded("cp_width").alias("width"),
+                    rounded(F.abs(F.col("y_real") - F.col("cp_point"))).alias("abs_error"))
+
+
+def single_row_verdict(spark: SparkSession, folder: str) -> DataFrame:
+    """One hash-chosen test row: truth, point, range, inside, width, verdict (L4 + A8)."""
+    test, _, _ = conformal_test(spark, folder, "user_id")
+    rv = row_verdict(hash_sample(test, "key", 1), "key", "y_real", "cp_point", "cp_lower", "cp_upper")
+    return rv.select("key", *[rounded(c).alias(c) for c in
+                              ("truth", "prediction", "range_low", "range_high")],
+                     "inside", rounded("width").alias("width"), "verdict")
+
+
 def sample_sorted_band(spark: SparkSession, folder: str, n: int = 200) -> DataFrame:
     """A hash-chosen sample of test rows re-sorted by truth, with the band (V5)."""
     test, _, _ = conformal_test(spark, folder, "user_id")

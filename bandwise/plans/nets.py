@@ -58,3 +58,11 @@ def mean_logvar_net(spark: SparkSession, folder: str, steps: int = NET_QUERY_STE
 def mean_logvar_coverage(spark: SparkSession, folder: str, steps: int = NET_QUERY_STEPS) -> DataFrame:
     t = mean_logvar_net(spark, folder, steps).withColumn("y_real", F.exp("y"))
     return coverage_verdict(t, "y_real", "cp_lower", "cp_upper")
+
+
+def mean_logvar_linear(spark: SparkSession, folder: str, steps: int = NET_QUERY_STEPS) -> DataFrame:
+    """Linear mean and linear log-variance heads (no hidden layer), same trainer."""
+    frame = scaled(spark, folder)
+    net = fit_meanvar_net(frame, FEATURES, hidden=(), steps=steps)
+    pred = net.transform(frame.where(F.col("split") == "test").select("key", "y", *FEATURES))
+    return pred.select("key", "y", "mu", "log_var")

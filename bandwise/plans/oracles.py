@@ -501,6 +501,46 @@ SELECT vec_id, label, center, {r6('d')} AS distance FROM best
 ORACLES_PHASE7 = {"nearest_center": nearest_center_rows}
 
 
+# ---- added plot tables and the single-row verdict -------------------------------
+
+def error_width_points() -> str:
+    return f"""
+WITH {EV}
+SELECT key, {r6('width')} AS width, {r6('abs(y_real - point)')} AS abs_error
+FROM te ORDER BY md5('42:' || key::VARCHAR), key LIMIT 200
+"""
+
+
+def single_row_verdict() -> str:
+    inside = "(y_real >= lower AND y_real <= upper)"
+    return f"""
+WITH {EV},
+one AS (SELECT * FROM te ORDER BY md5('42:' || key::VARCHAR), key LIMIT 1)
+SELECT key, {r6('y_real')} AS truth, {r6('point')} AS prediction, {r6('lower')} AS range_low,
+  {r6('upper')} AS range_high, {inside} AS inside, {r6('upper - lower')} AS width,
+  CASE WHEN {inside} THEN 'SUCCESS' ELSE 'FAILURE' END AS verdict
+FROM one
+"""
+
+
+def mc_sample_bars() -> str:
+    return f"""
+WITH {DOCS_POSTERIOR},
+s AS (SELECT * FROM mc ORDER BY md5('42:' || key::VARCHAR), key LIMIT 20)
+SELECT key, {r6('exp(y)')} AS truth, {r6('exp(mc_mean)')} AS point,
+  {r6('exp(mc_mean) - exp(mc_mean - 2.0 * mc_std)')} AS err_low,
+  {r6('exp(mc_mean + 2.0 * mc_std) - exp(mc_mean)')} AS err_high
+FROM s
+"""
+
+
+ORACLES_EXTRA = {
+    "error_width_points": error_width_points,
+    "single_row_verdict": single_row_verdict,
+    "mc_sample_bars": mc_sample_bars,
+}
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "calibration_chain": calibration_chain(),
@@ -533,4 +573,5 @@ def all_oracles() -> dict[str, str]:
         "row_verdict": row_verdicts(),
         **{k: f() for k, f in ORACLES_PHASE6.items()},
         **{k: f() for k, f in ORACLES_PHASE7.items()},
+        **{k: f() for k, f in ORACLES_EXTRA.items()},
     }

@@ -28,6 +28,8 @@ def all_queries() -> dict:
         "order_stat_quantile": prep.order_stat_quantile,
         "top_by_truth": cal.top_by_truth,
         "sample_sorted_band": cal.sample_sorted_band,
+        "error_width_points": cal.error_width_points,
+        "mc_sample_bars": bayes.mc_sample_bars,
         # phase 4: intervals and calibration
         "gaussian_interval": cal.gaussian_interval_rows,
         "group_quantile_interval": prep.group_quantile_interval,
@@ -42,6 +44,7 @@ def all_queries() -> dict:
         "sharpness_audit": cal.sharpness_report,
         "report_card": prep.report_card_rows,
         "row_verdict": cal.row_verdicts,
+        "single_row_verdict": cal.single_row_verdict,
         "spread_diagnosis": bayes.spread_diagnosis_report,
         # phase 6: linear variational model
         "linear_posterior": bayes.linear_posterior,
@@ -62,4 +65,5 @@ def all_queries() -> dict:
         "variational_net": nets.variational_net,
         "net_training_log": nets.net_training_log,
         "mean_logvar_net": nets.mean_logvar_net,
+        "mean_logvar_linear": nets.mean_logvar_linear,
     }
