@@ -21,16 +21,24 @@ from bandwise.session import cut_lineage
 BUCKET = "_bw_bucket"
 
 
+ROWS_PER_BUCKET = 1_000_000
+MAX_PARTS = 65_536
+
+
 def _parts_for(df: DataFrame, parts: int | None) -> int:
+    """Buckets sized so that one bucket (the only thing an exact step sorts in a
+    single task) holds about ROWS_PER_BUCKET rows; the count is one cheap pass
+    over the narrow, already written projection."""
     if parts:
         return parts
-    # Enough buckets that one bucket's distinct values fit a task easily.
-    return max(16, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    n = df.count()
+    return int(min(MAX_PARTS, max(16, -(-n // ROWS_PER_BUCKET))))
 
 
 def cut_points(df: DataFrame, value: str, parts: int) -> list[float]:
+    """parts - 1 approximate quantile cuts (the only numbers that reach the driver)."""
     probs = [i / parts for i in range(1, parts)]
-    cuts = df.approxQuantile(value, probs, 1.0 / (4 * parts)) if probs else []
+    cuts = df.approxQuantile(value, probs, max(1e-5, 1.0 / (4 * parts))) if probs else []
     out = sorted({c for c in cuts if c is not None and not math.isnan(c) and not math.isinf(c)})
     return out
 
@@ -62,7 +70,7 @@ def order_statistics(df: DataFrame, value, ranks: dict, by=(), parts: int | None
     d, name = _with_value(df, value, by)
     if materialize:
         d = cut_lineage(d)
-    cuts = cut_points(d, name, _parts_for(df, parts))
+    cuts = cut_points(d, name, _parts_for(d, parts))
     b = bucketize(d, name, cuts)
 
     counts = b.groupBy(*by, BUCKET).agg(F.count(F.lit(1)).alias("_c"))
@@ -136,7 +144,7 @@ def average_ranks(df: DataFrame, value, by=(), parts: int | None = None,
     # distinct values with their counts, written once: cut points, bucket
     # totals and the local running counts all read it
     distinct = cut_lineage(d.groupBy(*by, name).agg(F.count(F.lit(1)).alias("_c")))
-    cuts = cut_points(distinct, name, _parts_for(df, parts))
+    cuts = cut_points(distinct, name, _parts_for(distinct, parts))
     b = bucketize(distinct, name, cuts)
 
     totals = b.groupBy(*by, BUCKET).agg(F.sum("_c").alias("_t"))
