@@ -126,4 +126,4 @@ def sorted_positions(df: DataFrame, order_cols, out: str = "position") -> DataFr
     """1-based position in a stated order (W2). Use after a limit or sample:
     an unpartitioned window is one task, so it must only see bounded input."""
     w = Window.orderBy(*[col_of(c) for c in order_cols])
-    return df.withColumn(out, F.row_number().over(w))
+    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
