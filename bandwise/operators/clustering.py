@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -66,7 +67,7 @@ class KMeansFeature:
 def fit_kmeans_feature(df: DataFrame, features_col: str, k: int = KMEANS_K,
                        starts: int = KMEANS_STARTS, seed: int = SEED, max_iter: int = 50,
                        tol: float = 1e-4, split_col: str | None = "split",
-                       fit_on: str = "train") -> KMeansFeature:
+                       fit_on: str = "train", parallel: int = 4) -> KMeansFeature:
     """Best of ``starts`` k-means fits (seeds seed..seed+starts-1) by within-cluster cost.
 
     Each fit is Spark's distributed k-means (k-means|| start). The training
@@ -74,14 +75,16 @@ def fit_kmeans_feature(df: DataFrame, features_col: str, k: int = KMEANS_K,
     """
     src = df.where(F.col(split_col) == fit_on) if split_col else df
     src = src.select(features_col).persist()
+
+    def one(s: int) -> KMeansFeature:
+        km = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol=features_col)
+        model = km.fit(src)
+        return KMeansFeature(model, model.summary.trainingCost, s, features_col)
+
     try:
-        best = None
-        for s in range(seed, seed + starts):
-            km = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol=features_col)
-            model = km.fit(src)
-            cost = model.summary.trainingCost
-            if best is None or cost < best.cost:
-                best = KMeansFeature(model, cost, s, features_col)
-        return best
+        # independent starts run as concurrent Spark jobs; ties go to the lower seed
+        with ThreadPoolExecutor(max_workers=min(starts, parallel)) as pool:
+            fits = list(pool.map(one, range(seed, seed + starts)))
+        return min(fits, key=lambda f: (f.cost, f.seed))
     finally:
         src.unpersist()

@@ -18,7 +18,7 @@ from bandwise.operators.calibration import quantile_interval
 from bandwise.operators.isolation import fit_isolation_forest, scan
 from bandwise.operators.prep import assemble, fit_standardizer
 from bandwise.session import cut_lineage
-from bandwise.sources.fixtures import documents_frame
+from bandwise.sources.fixtures import LINEITEM_FEATURES, documents_frame, lineitem_part_frame
 
 FEATURES = ["x_words", "x_lines"]
 # Registered queries run fewer rounds than the API default of 100 (stated in README).
@@ -31,6 +31,32 @@ def tree_frame(spark: SparkSession, folder: str) -> DataFrame:
     return assemble(frame.withColumn("y", F.col("n_chars")), FEATURES)
 
 
+def lineitem_tree_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """lineitem x part, five features, target l_extendedprice (the volume fixture)."""
+    frame = lineitem_part_frame(spark, folder)
+    frame = fit_standardizer(frame, LINEITEM_FEATURES).transform(frame)
+    return assemble(frame, LINEITEM_FEATURES)
+
+
+def lineitem_quantile_pair(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> DataFrame:
+    """5% / 95% boosted pair on lineitem x part; report card on the test rows."""
+    frame = cut_lineage(lineitem_tree_frame(spark, folder).select("key", "split", "features", "y"))
+    lo, hi = fit_together(
+        lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),
+        lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds))
+    test = frame.where(F.col("split") == "test")
+    test = quantile_interval(hi.transform(lo.transform(test, "q_lower"), "q_upper"), "q_lower", "q_upper")
+    return report_card(test, "y", "lower", "upper")
+
+
+def lineitem_gbt_mean(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> DataFrame:
+    frame = cut_lineage(lineitem_tree_frame(spark, folder).select("key", "split", "features", "y"))
+    model = fit_gbt_mean(frame, "features", rounds=rounds)
+    test = model.setPredictionCol("predicted").transform(frame.where(F.col("split") == "test"))
+    return test.agg(F.count("y").alias("n"),
+                    F.sqrt(F.avg(F.pow(F.col("y") - F.col("predicted"), 2))).alias("rmse"))
+
+
 def fit_together(*fits):
     """Run independent model fits as concurrent Spark jobs (driver threads)."""
     with ThreadPoolExecutor(max_workers=len(fits)) as pool:
