@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from bandwise.session import spread
 from bandwise.functions.constants import (
     ADAM_RATE, MC_DRAWS, MEANVAR_LAYERS, MEANVAR_STEPS, MU_INIT, RHO_INIT, SEED,
     VARIATIONAL_LAYERS, VARIATIONAL_STEPS,
@@ -132,8 +133,9 @@ def _sigmoid(r):
 
 def _train_rows(df, features, y, split_col, fit_on):
     src = df.where(F.col(split_col) == fit_on) if split_col else df
-    return src.select(*[F.col(c).cast("double").alias(c) for c in features],
-                      F.col(y).cast("double").alias(y)).where(F.col(y).isNotNull()).persist()
+    rows = src.select(*[F.col(c).cast("double").alias(c) for c in features],
+                      F.col(y).cast("double").alias(y)).where(F.col(y).isNotNull())
+    return spread(rows).persist()
 
 
 # ---- variational net (M3b) -------------------------------------------------------

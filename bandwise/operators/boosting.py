@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bandwise.functions.constants import BOOST_DEPTH, BOOST_RATE, BOOST_ROUNDS, SEED
 from bandwise.operators.ranks import exact_percentile
-from bandwise.session import cut_lineage
+from bandwise.session import cut_lineage, spread
 
 LEAF = "_bw_leaf"
 
@@ -70,7 +70,7 @@ def fit_quantile_booster(df: DataFrame, features_col: str, y: str = "y", alpha:
     src = src.select(features_col, F.col(y).cast("double").alias("_y")).where(F.col("_y").isNotNull())
     init = exact_percentile(src, "_y", alpha, out="q").first()["q"]
     model = QuantileBooster(alpha, float(init), rate, features_col)
-    cur = src.withColumn("_F", F.lit(float(init))).persist()
+    cur = spread(src).withColumn("_F", F.lit(float(init))).persist()
     grad = F.when(F.col("_y") > F.col("_F"), F.lit(alpha)).otherwise(F.lit(alpha - 1.0))
     try:
         for r in range(rounds):

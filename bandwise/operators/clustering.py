@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.functions.constants import KMEANS_K, KMEANS_STARTS, SEED
+from bandwise.session import spread
 
 
 def squared_distance(vec: Column, center: list[float]) -> Column:
@@ -74,7 +75,7 @@ def fit_kmeans_feature(df: DataFrame, features_col: str, k: int = KMEANS_K,
     rows are cached once and reused by every start.
     """
     src = df.where(F.col(split_col) == fit_on) if split_col else df
-    src = src.select(features_col).persist()
+    src = spread(src.select(features_col)).persist()
 
     def one(s: int) -> KMeansFeature:
         km = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol=features_col)

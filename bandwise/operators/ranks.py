@@ -25,22 +25,35 @@ ROWS_PER_BUCKET = 1_000_000
 MAX_PARTS = 65_536
 
 
-def _parts_for(df: DataFrame, parts: int | None) -> int:
-    """Buckets sized so that one bucket (the only thing an exact step sorts in a
-    single task) holds about ROWS_PER_BUCKET rows; the count is one cheap pass
-    over the narrow, already written projection."""
+BASE_PARTS = 64
+
+
+def _clean(cuts) -> list[float]:
+    return sorted({c for c in cuts if c is not None and not math.isnan(c) and not math.isinf(c)})
+
+
+def auto_cut_points(df: DataFrame, value: str, parts: int | None = None) -> list[float]:
+    """Cut points sized so one bucket holds about ROWS_PER_BUCKET rows.
+
+    The row count and a coarse sketch come from one aggregate; a finer sketch
+    pass runs only when the data needs more than BASE_PARTS buckets.
+    """
     if parts:
-        return parts
-    n = df.count()
-    return int(min(MAX_PARTS, max(16, -(-n // ROWS_PER_BUCKET))))
+        return cut_points(df, value, parts)
+    probs = [i / BASE_PARTS for i in range(1, BASE_PARTS)]
+    row = df.agg(F.count(F.col(value)).alias("n"),
+                 F.percentile_approx(value, probs, 4 * BASE_PARTS * 16).alias("q")).first()
+    need = -(-int(row["n"]) // ROWS_PER_BUCKET)
+    if need <= BASE_PARTS:
+        return _clean(row["q"] or [])
+    return cut_points(df, value, min(MAX_PARTS, need))
 
 
 def cut_points(df: DataFrame, value: str, parts: int) -> list[float]:
     """parts - 1 approximate quantile cuts (the only numbers that reach the driver)."""
     probs = [i / parts for i in range(1, parts)]
     cuts = df.approxQuantile(value, probs, max(1e-5, 1.0 / (4 * parts))) if probs else []
-    out = sorted({c for c in cuts if c is not None and not math.isnan(c) and not math.isinf(c)})
-    return out
+    return _clean(cuts)
 
 
 def bucketize(df: DataFrame, value: str, cuts: list[float], out: str = BUCKET) -> DataFrame:
@@ -70,7 +83,7 @@ def order_statistics(df: DataFrame, value, ranks: dict, by=(), parts: int | None
     d, name = _with_value(df, value, by)
     if materialize:
         d = cut_lineage(d)
-    cuts = cut_points(d, name, _parts_for(d, parts))
+    cuts = auto_cut_points(d, name, parts)
     b = bucketize(d, name, cuts)
 
     counts = b.groupBy(*by, BUCKET).agg(F.count(F.lit(1)).alias("_c"))
@@ -144,7 +157,7 @@ def average_ranks(df: DataFrame, value, by=(), parts: int | None = None,
     # distinct values with their counts, written once: cut points, bucket
     # totals and the local running counts all read it
     distinct = cut_lineage(d.groupBy(*by, name).agg(F.count(F.lit(1)).alias("_c")))
-    cuts = cut_points(distinct, name, _parts_for(distinct, parts))
+    cuts = auto_cut_points(distinct, name, parts)
     b = bucketize(distinct, name, cuts)
 
     totals = b.groupBy(*by, BUCKET).agg(F.sum("_c").alias("_t"))

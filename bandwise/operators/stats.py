@@ -37,8 +37,13 @@ def spearman(df: DataFrame, x: str, y: str, by=(), out: str = "spearman",
     by = list(by)
     rows = df.select(*by, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y))
     rows = cut_lineage(rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()))
-    rx = average_ranks(rows, x, by, parts=parts, out="_rx")
-    ry = average_ranks(rows, y, by, parts=parts, out="_ry")
+    # both columns ranked in one pass: stacked as (side, value), ranked per side
+    stacked = rows.select(*by, F.explode(F.array(
+        F.struct(F.lit(0).alias("_side"), F.col(x).alias("_v")),
+        F.struct(F.lit(1).alias("_side"), F.col(y).alias("_v")))).alias("_s")).select(*by, "_s.*")
+    ranks = average_ranks(stacked, "_v", [*by, "_side"], parts=parts, out="_r")
+    rx = ranks.where(F.col("_side") == 0).select(*by, F.col("_v").alias(x), F.col("_r").alias("_rx"))
+    ry = ranks.where(F.col("_side") == 1).select(*by, F.col("_v").alias(y), F.col("_r").alias("_ry"))
     ranked = rows.join(rx, on=[*by, x], how="inner").join(ry, on=[*by, y], how="inner")
     return ranked.groupBy(*by).agg(safe_corr("_rx", "_ry").alias(out))
 

@@ -48,7 +48,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for a frame that many passes will read.
+
+    A small table in one file scans as one partition per row group; every
+    later pass over it would then run on a single core. Frames that already
+    have that many partitions (any large input) are left alone: no shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def cut_lineage(df: DataFrame, spread_out: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (spread(df) if spread_out else df).checkpoint(eager=True)

@@ -78,3 +78,17 @@ def test_empty_and_single_row(spark):
     assert order_statistic(one, "x", 1).first()["value"] == 3.5
     empty = spark.createDataFrame([], "x double")
     assert order_statistic(empty, "x", 1).count() == 0
+
+
+def test_fine_cut_path_for_large_inputs(frame, monkeypatch):
+    """When buckets would exceed ROWS_PER_BUCKET, a finer sketch is taken; answers stay exact."""
+    import bandwise.operators.ranks as ranks
+    pdf, df = frame
+    monkeypatch.setattr(ranks, "ROWS_PER_BUCKET", 10)
+    cuts = ranks.auto_cut_points(df, "x")
+    assert len(cuts) > ranks.BASE_PARTS                     # finer than the coarse pass
+    for r in [1, 1500, 3000]:
+        assert order_statistic(df, "x", r).first()["value"] == np.sort(pdf.x.to_numpy())[r - 1]
+    got = average_ranks(df, "x").toPandas().set_index("x")["avg_rank"].sort_index()
+    want = pd.Series(_avg_rank(pdf.x), index=pdf.x).groupby(level=0).first().sort_index()
+    assert np.allclose(got.to_numpy(), want.to_numpy())
