@@ -30,7 +30,7 @@ def calibrated_predictions(spark: SparkSession, folder: str, group: str = "segme
     pred = temp.transform(pred).withColumn("sigma", F.exp(F.lit(0.5) * F.col("log_var_cal")))
     # Every later step (conformal ranks, reports) reads these rows: cut the
     # lineage once into the shared checkpoint folder instead of rescanning.
-    return cut_lineage(pred), temp
+    return cut_lineage(pred, spread_out=True), temp
 
 
 def conformal_test(spark: SparkSession, folder: str, group: str = "segment"):

@@ -40,7 +40,7 @@ def lineitem_tree_frame(spark: SparkSession, folder: str) -> DataFrame:
 
 def lineitem_quantile_pair(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> DataFrame:
     """5% / 95% boosted pair on lineitem x part; report card on the test rows."""
-    frame = cut_lineage(lineitem_tree_frame(spark, folder).select("key", "split", "features", "y"))
+    frame = cut_lineage(lineitem_tree_frame(spark, folder).select("key", "split", "features", "y"), spread_out=True)
     lo, hi = fit_together(
         lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),
         lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds))
@@ -50,7 +50,7 @@ def lineitem_quantile_pair(spark: SparkSession, folder: str, rounds: int = QUERY
 
 
 def lineitem_gbt_mean(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> DataFrame:
-    frame = cut_lineage(lineitem_tree_frame(spark, folder).select("key", "split", "features", "y"))
+    frame = cut_lineage(lineitem_tree_frame(spark, folder).select("key", "split", "features", "y"), spread_out=True)
     model = fit_gbt_mean(frame, "features", rounds=rounds)
     test = model.setPredictionCol("predicted").transform(frame.where(F.col("split") == "test"))
     return test.agg(F.count("y").alias("n"),
@@ -73,7 +73,7 @@ def gbt_mean(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> Da
 
 def quantile_boost(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> DataFrame:
     """5% and 95% boosted quantile models; bounds and crossing flag per test row."""
-    frame = cut_lineage(tree_frame(spark, folder))
+    frame = cut_lineage(tree_frame(spark, folder), spread_out=True)
     lo, hi = fit_together(
         lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),
         lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds))
@@ -98,7 +98,7 @@ def isolation_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def combined_scan(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS) -> DataFrame:
     """Mean, quantile pair and anomaly flag together for every test row (the scan)."""
-    frame = cut_lineage(tree_frame(spark, folder))
+    frame = cut_lineage(tree_frame(spark, folder), spread_out=True)
     mean, lo, hi, forest = fit_together(
         lambda: fit_gbt_mean(frame, "features", rounds=rounds),
         lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),

@@ -59,7 +59,7 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
-def cut_lineage(df: DataFrame, spread_out: bool = True) -> DataFrame:
+def cut_lineage(df: DataFrame, spread_out: bool = False) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return (spread(df) if spread_out else df).checkpoint(eager=True)
