@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_of", "hash_bucket", "split_label", "forward", "inverse", "safe_div",
     "softplus", "relu", "band", "rounded", "as_double", "safe_corr",
-    "hash_uniform", "hash_normal",
+    "hash_uniform", "hash_normal", "money", "percent",
 ]
 
 TRANSFORMS = ("identity", "log", "log1p")
@@ -115,3 +115,13 @@ def hash_normal(*parts) -> Column:
     u1 = hash_uniform(*parts, F.lit("a"))
     u2 = hash_uniform(*parts, F.lit("b"))
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(6.283185307179586) * u2)
+
+
+def money(c, digits: int = 2, scale: float = 1.0) -> Column:
+    """Display text such as $1,234.50 (reports keep numbers; this is for show only)."""
+    return F.concat(F.lit("$"), F.format_number(col_of(c) * F.lit(float(scale)), digits))
+
+
+def percent(c, digits: int = 1) -> Column:
+    """Display text of a share, e.g. 0.9512 -> 95.1%."""
+    return F.concat(F.format_number(col_of(c) * F.lit(100.0), digits), F.lit("%"))

@@ -81,3 +81,25 @@ def test_nearest_center_ties_to_smallest_id(spark):
     df = spark.createDataFrame([([0.0, 0.0],), ([2.0, 2.0],)], "v array<double>")
     out = nearest_center(df, "v", {1: [1.0, 1.0], 0: [1.0, 1.0], 5: [2.0, 2.0]}).collect()
     assert [r.center for r in out] == [0, 5] and out[1].distance == 0.0
+
+
+def test_kmeans_best_of_starts_and_onehot(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from bandwise.operators.clustering import fit_kmeans_feature
+    rng = np.random.default_rng(12)
+    centers = np.array([[0, 0], [5, 5], [0, 5]])
+    pts = np.vstack([c + rng.normal(0, 0.3, (100, 2)) for c in centers])
+    pdf = pd.DataFrame({"v": list(pts), "split": "train"})
+    df = spark.createDataFrame(pdf).withColumn("features", array_to_vector("v"))
+    feat = fit_kmeans_feature(df, "features", k=3, starts=4)
+    out = feat.transform(df, onehot=True).toPandas()
+    assert out.cluster.nunique() == 3 and len(out.cluster_onehot.iloc[0]) == 3
+    assert feat.cost == pytest.approx(((pts - pts.reshape(3, 100, 2).mean(axis=1).repeat(100, axis=0)) ** 2).sum(), rel=1e-6)
+
+
+def test_money_and_percent(spark):
+    from bandwise.functions.columns import money, percent
+    r = spark.createDataFrame([(12.3456, 0.95123)], "a double, b double").select(
+        money("a", scale=100000.0).alias("m"), percent("b").alias("p")).first()
+    assert r.m == "$1,234,560.00" and r.p == "95.1%"
