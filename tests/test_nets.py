@@ -53,3 +53,19 @@ def test_meanvar_net_reaches_group_moments(spark):
         assert sub.mu.iloc[0] == pytest.approx(ys.mean(), abs=0.05)
         assert sub.log_var.iloc[0] == pytest.approx(np.log(ys.var()), abs=0.1)
     assert net.history[-1][1] < net.history[0][1]
+
+
+def test_variational_net_without_hidden_layer_reaches_closed_form(spark):
+    """No hidden layer: the variational net is the linear model, whose optimum is known."""
+    from bandwise.operators.blocks import _softplus, fit_variational_net
+    from bandwise.operators.variational import fit_linear_posterior
+    rng = np.random.default_rng(11)
+    n = 800
+    x1, x2 = rng.normal(size=n), rng.normal(size=n)
+    y = 0.7 * x1 - 0.3 * x2 + 1.2 + rng.normal(0, 0.1, n)
+    df = spark.createDataFrame(pd.DataFrame({"x1": x1, "x2": x2, "y": y, "split": "train"}))
+    post = fit_linear_posterior(df, ["x1", "x2"])
+    net = fit_variational_net(df, ["x1", "x2"], hidden=(), steps=120, rate=0.05)
+    assert net.mu == pytest.approx(post.mu, abs=0.03)
+    assert (_softplus(net.rho) < _softplus(-3.0)).all()      # spread shrinks toward the optimum
+    assert net.history[-1][2] < net.history[0][2]              # mse falls
