@@ -1,7 +1,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from bandwise.operators.boosting import fit_gbt_mean, fit_quantile_booster
 from bandwise.operators.prep import assemble

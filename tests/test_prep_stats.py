@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from bandwise.functions.constants import CLARITY_LEVELS, COLOR_LEVELS, CUT_LEVELS
 from bandwise.operators.audits import skew_audit
 from bandwise.operators.prep import (
-    fit_standardizer, hash_split, ordinal_encode, positive_filter,
+    fit_standardizer, ordinal_encode, positive_filter,
 )
 from bandwise.operators.stats import density_curve, histogram, moments, spearman
 from bandwise.sources.fixtures import orders_frame
