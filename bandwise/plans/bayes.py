@@ -13,13 +13,16 @@ from bandwise.operators.prep import fit_standardizer
 from bandwise.operators.variational import (
     credible_interval, fit_linear_posterior, posterior_kl,
 )
+from bandwise.session import cut_lineage
 from bandwise.sources.fixtures import documents_frame
 
 FEATURES = ["x_words"]
 
 
 def scaled_documents(spark: SparkSession, folder: str):
-    frame = documents_frame(spark, folder)
+    # features come from whole texts: derive them once, write the narrow frame
+    frame = cut_lineage(documents_frame(spark, folder).select(
+        "key", "segment", "split", "y", *FEATURES), spread_out=True)
     scaler = fit_standardizer(frame, FEATURES)
     return scaler.transform(frame)
 

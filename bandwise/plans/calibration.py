@@ -25,12 +25,12 @@ def calibrated_predictions(spark: SparkSession, folder: str, group: str = "segme
     fitted on val, calibrated log_var_cal and sigma, all on the log1p scale."""
     frame = events_frame(spark, folder)
     model = fit_group_gaussian(frame, by=[group])
-    pred = model.transform(frame)
+    # Every later step (temperature, conformal ranks, reports) reads these rows:
+    # write them once to the shared checkpoint folder instead of rescanning events.
+    pred = cut_lineage(model.transform(frame), spread_out=True)
     temp = fit_temperature(pred)
     pred = temp.transform(pred).withColumn("sigma", F.exp(F.lit(0.5) * F.col("log_var_cal")))
-    # Every later step (conformal ranks, reports) reads these rows: cut the
-    # lineage once into the shared checkpoint folder instead of rescanning.
-    return cut_lineage(pred, spread_out=True), temp
+    return pred, temp
 
 
 def conformal_test(spark: SparkSession, folder: str, group: str = "segment"):

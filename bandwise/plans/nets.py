@@ -14,6 +14,7 @@ from bandwise.operators.blocks import fit_meanvar_net, fit_variational_net
 from bandwise.operators.calibration import fit_conformal, fit_temperature
 from bandwise.operators.prep import fit_standardizer
 from bandwise.operators.variational import credible_interval
+from bandwise.session import cut_lineage
 from bandwise.sources.fixtures import documents_frame
 
 FEATURES = ["x_words", "x_lines"]
@@ -21,7 +22,9 @@ NET_QUERY_STEPS = 60
 
 
 def scaled(spark: SparkSession, folder: str) -> DataFrame:
-    frame = documents_frame(spark, folder)
+    # features come from whole texts: derive them once, write the narrow frame
+    frame = cut_lineage(documents_frame(spark, folder).select(
+        "key", "segment", "split", "y", *FEATURES), spread_out=True)
     return fit_standardizer(frame, FEATURES).transform(frame)
 
 
@@ -46,7 +49,8 @@ def mean_logvar_net(spark: SparkSession, folder: str, steps: int = NET_QUERY_STE
     conformal bounds (real scale) for every test document."""
     frame = scaled(spark, folder)
     net = fit_meanvar_net(frame, FEATURES, steps=steps)
-    pred = net.transform(frame.select("key", "split", "y", *FEATURES))
+    # the forward pass is read by the temperature, conformal and output passes: write it once
+    pred = cut_lineage(net.transform(frame.select("key", "split", "y", *FEATURES)))
     temp = fit_temperature(pred)
     pred = temp.transform(pred).withColumn("sigma", F.exp(0.5 * F.col("log_var_cal")))
     conf = fit_conformal(pred)
