@@ -92,3 +92,19 @@ def test_fine_cut_path_for_large_inputs(frame, monkeypatch):
     got = average_ranks(df, "x").toPandas().set_index("x")["avg_rank"].sort_index()
     want = pd.Series(_avg_rank(pdf.x), index=pdf.x).groupby(level=0).first().sort_index()
     assert np.allclose(got.to_numpy(), want.to_numpy())
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.integers(-5, 5), min_size=1, max_size=60),
+       parts=st.integers(1, 9), pick=st.floats(0.0, 1.0), q=st.floats(0.0, 1.0))
+def test_order_statistic_property(spark, values, parts, pick, q):
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    srt = np.sort(np.array(values, dtype=float))
+    r = 1 + int(pick * (len(values) - 1))
+    assert order_statistic(df, "x", r, parts=parts, materialize=False).first()["value"] == srt[r - 1]
+    got = exact_percentile(df, "x", q, parts=parts, materialize=False).first()["value"]
+    assert got == pytest.approx(np.percentile(srt, q * 100), abs=1e-9)
