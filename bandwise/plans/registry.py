@@ -61,6 +61,7 @@ def all_queries() -> dict:
         # phase 9: anomaly
         "isolation_scores": trees.isolation_scores,
         "combined_scan": trees.combined_scan,
+        "enhanced_scan": trees.enhanced_scan,
         # phase 10: nets, data-parallel
         "variational_net": nets.variational_net,
         "net_training_log": nets.net_training_log,

@@ -15,6 +15,7 @@ from bandwise.functions.constants import QUANTILE_ALPHAS
 from bandwise.operators.audits import report_card
 from bandwise.operators.boosting import fit_gbt_mean, fit_quantile_booster
 from bandwise.operators.calibration import quantile_interval
+from bandwise.operators.clustering import fit_kmeans_feature
 from bandwise.operators.isolation import fit_isolation_forest, scan
 from bandwise.operators.prep import assemble, fit_standardizer
 from bandwise.session import cut_lineage
@@ -112,3 +113,28 @@ def combined_scan(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS)
         lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds),
         lambda: fit_isolation_forest(frame, FEATURES, "key"))
     return scan(frame.where(F.col("split") == "test"), "key", "features", mean, lo, hi, forest)
+
+
+def enhanced_scan(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS,
+                  k: int = 50, starts: int = 10) -> DataFrame:
+    """The scan again with a k-means cluster id as an extra feature.
+
+    k-means (k=50, best of 10 seeds) on the two scaled coordinates chosen by
+    name; the id is appended as a numeric feature (original columns kept),
+    then the mean, the quantile pair and the isolation forest are refitted
+    on the wider features and every test row is scanned.
+    """
+    frame = tree_frame(spark, folder)
+    km = fit_kmeans_feature(frame, "features", k=k, starts=starts)
+    wide = km.transform(frame).withColumn("cluster_id", F.col("cluster").cast("double"))
+    cols = [*FEATURES, "cluster_id"]
+    wide = cut_lineage(assemble(wide.drop("features"), cols).select(
+        "key", "split", "y", "features", "cluster", *cols))
+    mean, lo, hi, forest = fit_together(
+        lambda: fit_gbt_mean(wide, "features", rounds=rounds),
+        lambda: fit_quantile_booster(wide, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),
+        lambda: fit_quantile_booster(wide, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds),
+        lambda: fit_isolation_forest(wide, cols, "key"))
+    test = wide.where(F.col("split") == "test")
+    out = scan(test, "key", "features", mean, lo, hi, forest)
+    return out.join(test.select("key", "cluster"), on="key", how="inner")
