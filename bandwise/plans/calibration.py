@@ -129,9 +129,13 @@ def coverage_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     raw = gaussian_interval(pred, log_var="log_var", transform="log1p", prefix="r_")
     both = gaussian_interval(raw, log_var="log_var_cal", transform="log1p", prefix="c_")
     both = both.withColumn("y_real", inverse(F.col("y"), "log1p")).where(F.col("split") != "train")
-    a = coverage_verdict(both, "y_real", "r_lower", "r_upper", by=["split"]).withColumn("stage", F.lit("raw"))
-    b = coverage_verdict(both, "y_real", "c_lower", "c_upper", by=["split"]).withColumn("stage", F.lit("calibrated"))
-    return a.unionByName(b).select("split", "stage", "n", rounded("coverage").alias("coverage"), "verdict")
+    # both stages in one pass: stack (stage, lower, upper) per row, then one grouped audit
+    stacked = both.select("split", "y_real", F.explode(F.array(
+        F.struct(F.lit("raw").alias("stage"), F.col("r_lower").alias("lower"), F.col("r_upper").alias("upper")),
+        F.struct(F.lit("calibrated").alias("stage"), F.col("c_lower").alias("lower"),
+                 F.col("c_upper").alias("upper")))).alias("s")).select("split", "y_real", "s.*")
+    rep = coverage_verdict(stacked, "y_real", "lower", "upper", by=["split", "stage"])
+    return rep.select("split", "stage", "n", rounded("coverage").alias("coverage"), "verdict")
 
 
 def sharpness_report(spark: SparkSession, folder: str) -> DataFrame:
