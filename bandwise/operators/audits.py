@@ -45,6 +45,26 @@ def sharpness_audit(df: DataFrame, y: str = "y", point: str = "point", lower: st
     return join_reports(base, rho, by)
 
 
+def interval_report(df: DataFrame, y: str = "y", point: str = "point", lower: str = "lower",
+                    upper: str = "upper", by=(), low: float = COVERAGE_LOW,
+                    high: float = COVERAGE_HIGH) -> DataFrame:
+    """Coverage with its verdict (A1) and the sharpness numbers (A3) from one pass over
+    the rows (plus the rank passes of the Spearman correlation)."""
+    by = list(by)
+    rows = df.select(*by, F.col(y).alias("_y"), inside(y, lower, upper).cast("double").alias("_in"),
+                     (F.col(upper) - F.col(lower)).alias("width"),
+                     F.abs(F.col(y) - F.col(point)).alias("abs_error"))
+    base = rows.groupBy(*by).agg(
+        F.count("_y").alias("n"),
+        F.avg("_in").alias("coverage"),
+        F.avg("width").alias("mean_width"),
+        (F.lit(100.0) * safe_div(F.avg("width"), F.max("_y") - F.min("_y"))).alias("width_pct_range"),
+        F.stddev_pop("width").alias("width_std"))
+    base = base.withColumn("verdict", band("coverage", low, high, COVERAGE_VERDICTS))
+    rho = spearman(rows, "width", "abs_error", by, out="error_width_spearman")
+    return join_reports(base, rho, by)
+
+
 def report_card(df: DataFrame, y: str = "y", lower: str = "lower", upper: str = "upper", by=(),
                 target: float = REPORT_TARGET, tolerance: float = REPORT_TOLERANCE) -> DataFrame:
     """Quantile-pair report card (A4): good when |coverage - target| < tolerance (strict)."""

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from bandwise.functions.columns import inverse, rounded
 from bandwise.functions.constants import GAUSS_Z
+from bandwise.functions.columns import band
+from bandwise.functions.constants import COVERAGE_HIGH, COVERAGE_LOW, COVERAGE_VERDICTS
 from bandwise.operators.audits import (
-    coverage_verdict, nll_before_after, row_verdict, sharpness_audit,
+    coverage_verdict, inside, interval_report, nll_before_after, row_verdict, sharpness_audit,
 )
 from bandwise.operators.calibration import (
     asymmetric_bars, fit_conformal, fit_temperature, fit_temperature_batched,
@@ -43,9 +45,7 @@ def conformal_test(spark: SparkSession, folder: str, group: str = "segment"):
 
 def calibration_chain(spark: SparkSession, folder: str) -> DataFrame:
     test, temp, conf = conformal_test(spark, folder)
-    cov = coverage_verdict(test, "y_real", "cp_lower", "cp_upper", by=["segment"])
-    sharp = sharpness_audit(test, "y_real", "cp_point", "cp_lower", "cp_upper", by=["segment"])
-    rep = cov.join(sharp.drop("n"), on="segment", how="inner")
+    rep = interval_report(test, "y_real", "cp_point", "cp_lower", "cp_upper", by=["segment"])
     rep = attach(rep, temp.params.select("temperature"))
     rep = attach(rep, conf.params.select("q_hat"))
     return rep.select(
@@ -94,9 +94,11 @@ def temperature_batched(spark: SparkSession, folder: str) -> DataFrame:
 
 def conformal_interval(spark: SparkSession, folder: str) -> DataFrame:
     test, _, conf = conformal_test(spark, folder, "user_id")
-    cov = coverage_verdict(test, "y_real", "cp_lower", "cp_upper")
+    cov = test.agg(F.count("y_real").alias("n"),
+                   F.avg(inside("y_real", "cp_lower", "cp_upper").cast("double")).alias("coverage"),
+                   F.avg("cp_width").alias("mean_width"))
+    cov = cov.withColumn("verdict", band("coverage", COVERAGE_LOW, COVERAGE_HIGH, COVERAGE_VERDICTS))
     rep = attach(cov, conf.params)
-    rep = attach(rep, test.agg(F.avg("cp_width").alias("mean_width")))
     return rep.select("n", rounded("coverage").alias("coverage"), "verdict",
                       rounded("q_hat").alias("q_hat"), "n_cal", "rank",
                       rounded("mean_width").alias("mean_width"))

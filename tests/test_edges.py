@@ -72,3 +72,21 @@ def test_empty_split_gives_empty_report(spark):
     test = df.where(F.col("split") == "test").withColumn("lo", F.lit(0.0)).withColumn("hi", F.lit(1.0))
     assert coverage_verdict(test, "y", "lo", "hi", by=["split"]).count() == 0
     assert coverage_verdict(test, "y", "lo", "hi").first()["coverage"] is None
+
+
+def test_interval_report_equals_separate_audits(spark):
+    from bandwise.operators.audits import interval_report
+    rng = np.random.default_rng(10)
+    pdf = pd.DataFrame({"y": rng.gamma(2, 2, 400), "seg": rng.choice(["a", "b"], 400)})
+    pdf["lower"] = pdf.y - rng.uniform(-0.5, 2, 400)
+    pdf["upper"] = pdf.y + rng.uniform(-0.5, 2, 400)
+    pdf["point"] = pdf.y + rng.normal(0, 1, 400)
+    df = spark.createDataFrame(pdf)
+    one = interval_report(df, "y", "point", "lower", "upper", by=["seg"]).toPandas().set_index("seg")
+    cov = coverage_verdict(df, "y", "lower", "upper", by=["seg"]).toPandas().set_index("seg")
+    sh = sharpness_audit(df, "y", "point", "lower", "upper", by=["seg"]).toPandas().set_index("seg")
+    for s in ("a", "b"):
+        assert one.loc[s, "verdict"] == cov.loc[s, "verdict"]
+        assert one.loc[s, "coverage"] == pytest.approx(cov.loc[s, "coverage"])
+        for c in ("mean_width", "width_pct_range", "width_std", "error_width_spearman"):
+            assert one.loc[s, c] == pytest.approx(sh.loc[s, c])
