@@ -90,14 +90,16 @@ def order_statistics(df: DataFrame, value, ranks: dict, by=(), parts: int | None
     seg = Window.partitionBy(*by) if by else Window.partitionBy()
     run = seg.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = counts.withColumn("n", F.sum("_c").over(seg)).withColumn("_cum", F.sum("_c").over(run))
-    located = None
-    for which, rank in ranks.items():
-        r = F.lit(rank) if isinstance(rank, int) else rank(F.col("n"))
-        one = (counts.withColumn("r", r.cast("bigint"))
+    # every wanted rank from the one counts table: (which, r) pairs exploded per bucket
+    wanted = F.array(*[
+        F.struct(F.lit(which).alias("which"),
+                 (F.lit(rank) if isinstance(rank, int) else rank(F.col("n"))).cast("bigint").alias("r"))
+        for which, rank in ranks.items()])
+    located = (counts.withColumn("_k", F.explode(wanted))
+               .select(*by, BUCKET, "n", "_c", "_cum", "_k.which", "_k.r")
                .where((F.col("_cum") - F.col("_c") < F.col("r")) & (F.col("r") <= F.col("_cum")))
-               .select(*by, BUCKET, F.lit(which).alias("which"), "n", "r",
+               .select(*by, BUCKET, "which", "n", "r",
                        (F.col("r") - F.col("_cum") + F.col("_c")).alias("_rl")))
-        located = one if located is None else located.unionByName(one)
     # Rows of the located buckets only; collapse ties before the window.
     dist = (b.join(located, on=[*by, BUCKET], how="inner")
             .groupBy(*by, "which", name, "n", "r", "_rl").agg(F.count(F.lit(1)).alias("_c")))
