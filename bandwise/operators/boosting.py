@@ -72,22 +72,36 @@ def fit_quantile_booster(df: DataFrame, features_col: str, y: str = "y", alpha:
     model = QuantileBooster(alpha, float(init), rate, features_col)
     cur = spread(src).withColumn("_F", F.lit(float(init))).persist()
     grad = F.when(F.col("_y") > F.col("_F"), F.lit(alpha)).otherwise(F.lit(alpha - 1.0))
+    leaves = None
     try:
         for r in range(rounds):
             data = cur.withColumn("_g", grad)
             tree = DecisionTreeRegressor(featuresCol=features_col, labelCol="_g", maxDepth=depth,
                                          seed=seed + r, leafCol=LEAF).fit(data)
-            leaves = tree.transform(data)
+            # each row's leaf, computed once: read by the leaf quantiles and the update
+            m = tree.copy()
+            m.setPredictionCol("_bw_tp")
+            leaves = m.transform(cur).drop("_bw_tp").persist()
             vals = {row[LEAF]: row["v"] for row in leaves.groupBy(LEAF).agg(
                 F.percentile_approx(F.col("_y") - F.col("_F"), alpha, accuracy).alias("v")).collect()}
             model.trees.append((tree, vals))
-            nxt = _add_tree(cur, tree, vals, rate, features_col, "_F", "_bw_tp")
+            if r == rounds - 1:
+                break                      # the state after the last tree is never read
+            pairs = []
+            for leaf, v in sorted(vals.items()):
+                pairs += [F.lit(float(leaf)), F.lit(float(v))]
+            step = F.lit(float(rate)) * F.coalesce(
+                F.element_at(F.create_map(*pairs), F.col(LEAF)), F.lit(0.0))
+            nxt = leaves.withColumn("_F", F.col("_F") + step).drop(LEAF)
             if checkpoint_every and (r + 1) % checkpoint_every == 0:
                 nxt = cut_lineage(nxt)
             else:
                 nxt = nxt.persist()
             cur.unpersist()
+            leaves.unpersist()
             cur = nxt
     finally:
         cur.unpersist()
+        if leaves is not None:
+            leaves.unpersist()
     return model
