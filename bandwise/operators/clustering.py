@@ -5,19 +5,21 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from bandwise.functions.constants import KMEANS_K, KMEANS_STARTS, SEED
 from bandwise.session import spread
 
 
 def squared_distance(vec: Column, center: list[float]) -> Column:
-    """Sum of squared differences, added in index order."""
+    """Sum of squared differences, added in index order (a column expression)."""
     c = F.array(*[F.lit(float(v)) for v in center])
     sq = F.zip_with(vec, c, lambda a, b: (a - b) * (a - b))
     return F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v)
@@ -27,13 +29,38 @@ def nearest_center(df: DataFrame, vec: str, centers: dict, out: str = "center",
                    dist: str = "distance") -> DataFrame:
     """Id of the nearest centre (ties: smallest id) and its squared distance.
 
-    ``centers`` maps id -> coordinates; it is bounded by k, not by the rows.
+    ``centers`` maps id -> coordinates; it is bounded by k, not by the rows,
+    and is broadcast once. Each Arrow batch computes the exact squared
+    distance to every centre in numpy (one pass of batch x dimension per
+    centre), which is several times faster than k higher-order functions per
+    row in the JVM.
     """
-    cands = [F.struct(squared_distance(F.col(vec), c).alias("d"), F.lit(cid).alias("id"))
-             for cid, c in sorted(centers.items())]
-    best = F.array_min(F.array(*cands))
-    return df.withColumn("_bw_best", best).withColumn(out, F.col("_bw_best.id")) \
-             .withColumn(dist, F.col("_bw_best.d")).drop("_bw_best")
+    ids = sorted(centers)
+    mat = np.array([[float(v) for v in centers[i]] for i in ids])
+    bc = df.sparkSession.sparkContext.broadcast((np.array(ids), mat))
+    id_type = IntegerType() if all(-(2 ** 31) <= i < 2 ** 31 for i in ids) else LongType()
+    schema = StructType([*df.schema.fields, StructField(out, id_type), StructField(dist, DoubleType())])
+
+    def run(batches):
+        cid, cmat = bc.value
+        for pdf in batches:
+            if len(pdf) == 0:
+                pdf[out], pdf[dist] = [], []
+                yield pdf
+                continue
+            x = np.stack(pdf[vec].to_numpy()).astype(float)
+            best = np.full(len(pdf), np.inf)
+            arg = np.zeros(len(pdf), dtype=np.int64)
+            for j in range(len(cid)):
+                dj = ((x - cmat[j]) ** 2).sum(axis=1)
+                better = dj < best          # strict: ties keep the smaller id
+                best[better] = dj[better]
+                arg[better] = j
+            pdf[out] = cid[arg]
+            pdf[dist] = best
+            yield pdf
+
+    return df.mapInPandas(run, schema)
 
 
 def group_centroids(df: DataFrame, vec: str, label: str) -> dict:
