@@ -69,5 +69,5 @@ def lineitem_part_frame(spark: SparkSession, folder: str) -> DataFrame:
 def embeddings_frame(spark: SparkSession, folder: str) -> DataFrame:
     e = read_table(spark, folder, "embeddings", ["vec_id", "embedding", "label"])
     return e.select(F.col("vec_id").alias("key"),
-                    F.transform("embedding", lambda v: v.cast("double")).alias("embedding"),
+                    F.col("embedding").cast("array<double>").alias("embedding"),
                     "label", split_label("vec_id").alias("split"))
