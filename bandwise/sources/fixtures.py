@@ -27,12 +27,18 @@ def word_count(text_col: str = "text"):
     return F.size(F.split(F.col(text_col), r"\s+"))
 
 
+def line_count(text_col: str = "text"):
+    """Lines of the whole text: newline characters + 1 (no array is built)."""
+    t = F.col(text_col)
+    return F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1
+
+
 def documents_frame(spark: SparkSession, folder: str) -> DataFrame:
     """x = ln(words + 1) over the whole text, y = ln(n_chars); segment = lang."""
     d = read_table(spark, folder, "documents", ["doc_id", "text", "lang", "n_chars"])
     return d.select(F.col("doc_id").alias("key"), F.col("lang").alias("segment"),
                     F.log(word_count("text").cast("double") + 1.0).alias("x_words"),
-                    F.log(F.size(F.split(F.col("text"), "\n")).cast("double") + 1.0).alias("x_lines"),
+                    F.log(line_count("text").cast("double") + 1.0).alias("x_lines"),
                     F.col("n_chars").cast("double").alias("n_chars"),
                     forward("n_chars", "log").alias("y"),
                     split_label("doc_id").alias("split"))
