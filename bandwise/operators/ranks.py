@@ -20,12 +20,10 @@ from bandwise.session import cut_lineage
 
 BUCKET = "_bw_bucket"
 
-
-ROWS_PER_BUCKET = 1_000_000
-MAX_PARTS = 65_536
-
-
-BASE_PARTS = 64
+# Bucket sizing: an exact step sorts one bucket's distinct values in one task.
+ROWS_PER_BUCKET = 1_000_000   # target rows per bucket
+BASE_PARTS = 64               # buckets from the first, combined count + sketch pass
+MAX_PARTS = 65_536            # ceiling on buckets (cut points pulled to the driver)
 
 
 def _clean(cuts) -> list[float]:
