@@ -108,3 +108,10 @@ def test_order_statistic_property(spark, values, parts, pick, q):
     assert order_statistic(df, "x", r, parts=parts, materialize=False).first()["value"] == srt[r - 1]
     got = exact_percentile(df, "x", q, parts=parts, materialize=False).first()["value"]
     assert got == pytest.approx(np.percentile(srt, q * 100), abs=1e-9)
+
+
+def test_conformal_rank_standard(spark):
+    df = spark.createDataFrame([(n,) for n in (1, 9, 10, 19, 20, 100, 2029)], "n bigint")
+    got = df.select("n", conformal_rank(F.col("n"), 0.05, "standard").alias("r")).toPandas()
+    for n, r in zip(got.n, got.r):
+        assert r == min(int(np.ceil((n + 1) * (1 - 0.05))), n)
