@@ -62,17 +62,23 @@ def main() -> None:
     warm_dir = small if os.path.exists(os.path.join(small, "events.parquet")) else SF_DIR
     calibration.calibration_chain(spark, warm_dir).write.format("noop").mode("overwrite").save()
     sc = spark.sparkContext
-    times, jobs = {}, {}
+    times, jobs, errors = {}, {}, {}
     for name, fn in headline().items():
         sc.setJobGroup(name, name)
         t0 = time.time()
-        fn(spark, SF_DIR).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+        try:
+            fn(spark, SF_DIR).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - one failing query must not hide the others
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
         jobs[name] = len(sc.statusTracker().getJobIdsForGroup(name))
     sf = os.path.basename(os.path.normpath(SF_DIR)).replace("sf", "")
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
+    ok = [v for v in times.values() if v is not None]
+    print(json.dumps({"metric": "headline_total", "value": round(sum(ok), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": CPUS,
-                      "boost_rounds": ROUNDS, "net_steps": STEPS, "spark_jobs": jobs}))
+                      "boost_rounds": ROUNDS, "net_steps": STEPS, "spark_jobs": jobs,
+                      "failed": errors}))
 
 
 if __name__ == "__main__":
