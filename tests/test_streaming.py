@@ -47,3 +47,34 @@ def test_stream_scores_equal_batch_scores(spark):
     q2.stop()
     cov = spark.table("bw_cov").toPandas()
     assert len(cov) > 0 and cov.coverage.between(0, 1).all()
+
+
+def test_coverage_monitor_equals_batch_windows(spark):
+    frame = events_frame(spark, SMOKE)
+    model = fit_group_gaussian(frame, by=["segment"])
+    pred = model.transform(frame)
+    temp = fit_temperature(pred)
+    pred = temp.transform(pred).withColumn("sigma", F.exp(0.5 * F.col("log_var_cal")))
+    conf = fit_conformal(pred)
+
+    schema = spark.read.parquet(os.path.join(SMOKE, "events.parquet")).schema
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(SMOKE)
+    stream = raw.select(F.col("event_id").alias("key"), F.col("event_type").alias("segment"), "ts",
+                        forward("value", "log1p").alias("y"), split_label("event_id").alias("split"))
+    mon = coverage_monitor(score_stream(stream, model, temp, conf, transform="log1p"), "ts", "1 day", "1 day")
+    q = (mon.writeStream.format("memory").queryName("bw_cov_eq")
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="bw-mon2-")).outputMode("update").start())
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table("bw_cov_eq").withColumn("window", F.col("window.start").cast("string")).toPandas()
+    got = got.sort_values("n").groupby("window", as_index=False).last()   # latest update per window
+
+    batch = spark.read.parquet(os.path.join(SMOKE, "events.parquet")).select(
+        F.col("event_id").alias("key"), F.col("event_type").alias("segment"), "ts",
+        forward("value", "log1p").alias("y"), split_label("event_id").alias("split"))
+    want = (coverage_monitor(score_stream(batch, model, temp, conf, transform="log1p"),
+                             "ts", "1 day", "1 day")
+            .withColumn("window", F.col("window.start").cast("string")).toPandas())
+    m = got.merge(want, on="window", suffixes=("_s", "_b"))
+    assert len(m) == len(want) > 0
+    assert (m.n_s == m.n_b).all() and (abs(m.coverage_s - m.coverage_b) < 1e-12).all()
