@@ -52,7 +52,7 @@ def fit_temperature_batched(df: DataFrame, key: str, y: str = "y", mu: str = "mu
     src = df.where(F.col(split_col) == fit_on) if split_col else df
     # Position in key order without a single-task window: exact ranks by bucket.
     pos = average_ranks(src, key, out="_pos").withColumnRenamed(key, "_bw_key")
-    rows = src.select(F.col(key).cast("double").alias("_bw_key"), _z2(y, mu, log_var).alias("_z2"))
+    rows = src.select(F.col(key).alias("_bw_key"), _z2(y, mu, log_var).alias("_z2"))
     batched = (rows.join(pos, on="_bw_key", how="inner")
                .withColumn("_b", F.floor((F.col("_pos") - 1) / F.lit(batch)))
                .groupBy("_b").agg(F.avg("_z2").alias("_m"), F.count(F.lit(1)).alias("_n")))

@@ -14,6 +14,7 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from bandwise.functions.columns import col_of
 from bandwise.session import cut_lineage
@@ -39,8 +40,9 @@ def auto_cut_points(df: DataFrame, value: str, parts: int | None = None) -> list
     if parts:
         return cut_points(df, value, parts)
     probs = [i / BASE_PARTS for i in range(1, BASE_PARTS)]
-    row = df.agg(F.count(F.col(value)).alias("n"),
-                 F.percentile_approx(value, probs, 4 * BASE_PARTS * 16).alias("q")).first()
+    x = F.col(value).cast("double")
+    row = df.agg(F.count(x).alias("n"),
+                 F.percentile_approx(x, probs, 4 * BASE_PARTS * 16).alias("q")).first()
     need = -(-int(row["n"]) // ROWS_PER_BUCKET)
     if need <= BASE_PARTS:
         return _clean(row["q"] or [])
@@ -50,22 +52,32 @@ def auto_cut_points(df: DataFrame, value: str, parts: int | None = None) -> list
 def cut_points(df: DataFrame, value: str, parts: int) -> list[float]:
     """parts - 1 approximate quantile cuts (the only numbers that reach the driver)."""
     probs = [i / parts for i in range(1, parts)]
-    cuts = df.approxQuantile(value, probs, max(1e-5, 1.0 / (4 * parts))) if probs else []
-    return _clean(cuts)
+    if not probs:
+        return []
+    dbl = df.select(F.col(value).cast("double").alias("_bw_dbl"))
+    return _clean(dbl.approxQuantile("_bw_dbl", probs, max(1e-5, 1.0 / (4 * parts))))
 
 
 def bucketize(df: DataFrame, value: str, cuts: list[float], out: str = BUCKET) -> DataFrame:
     if not cuts:
         return df.withColumn(out, F.lit(0))
-    b = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol=value, outputCol=out,
-                   handleInvalid="keep")
-    return b.transform(df).withColumn(out, F.col(out).cast("int"))
+    tmp = "_bw_dbl"
+    b = Bucketizer(splits=[-math.inf, *[float(c) for c in cuts], math.inf], inputCol=tmp,
+                   outputCol=out, handleInvalid="keep")
+    res = b.transform(df.withColumn(tmp, F.col(value).cast("double")))
+    return res.withColumn(out, F.col(out).cast("int")).drop(tmp)
 
 
 def _with_value(df: DataFrame, value, by) -> tuple[DataFrame, str]:
+    """The value keeps its own type: grouping, ordering and the exact pick use it
+    as is (a 64-bit key stays exact). Only bucket choice goes through double,
+    and rounding to double never breaks the order, so buckets stay ordered."""
     name = value if isinstance(value, str) else "_bw_value"
-    d = df.select(*by, col_of(value).cast("double").alias(name))
-    return d.where(F.col(name).isNotNull() & ~F.isnan(F.col(name))), name
+    d = df.select(*by, col_of(value).alias(name))
+    keep = F.col(name).isNotNull()
+    if isinstance(d.schema[name].dataType, (DoubleType, FloatType)):
+        keep = keep & ~F.isnan(F.col(name))
+    return d.where(keep), name
 
 
 def order_statistics(df: DataFrame, value, ranks: dict, by=(), parts: int | None = None,

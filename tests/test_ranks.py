@@ -115,3 +115,15 @@ def test_conformal_rank_standard(spark):
     got = df.select("n", conformal_rank(F.col("n"), 0.05, "standard").alias("r")).toPandas()
     for n, r in zip(got.n, got.r):
         assert r == min(int(np.ceil((n + 1) * (1 - 0.05))), n)
+
+
+def test_large_integer_keys_stay_exact(spark):
+    """Keys above 2^53 collide as doubles; ranks must use the keys themselves."""
+    base = 2 ** 60
+    keys = [base + i for i in range(200)]
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(int(k),) for k in rng.permutation(keys)], "k bigint")
+    assert order_statistic(df, "k", 137, parts=4).first()["value"] == base + 136
+    ranks = average_ranks(df, "k", parts=4).toPandas().set_index("k")["avg_rank"]
+    assert len(ranks) == 200
+    assert all(ranks[base + i] == i + 1 for i in range(200))
