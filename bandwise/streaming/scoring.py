@@ -20,11 +20,17 @@ from bandwise.operators.gaussian import GroupGaussian
 
 def score_stream(stream: DataFrame, model: GroupGaussian, temperature: Temperature,
                  conformal: Conformal, transform: str = "identity") -> DataFrame:
-    """mu, calibrated sigma and conformal bounds (real scale) for each arriving row."""
+    """mu, calibrated sigma and conformal bounds (real scale) for each arriving row.
+
+    Rows without a truth column (``y``) are scored too; ``y_real`` is added only
+    when the truth is there (the coverage monitor needs it).
+    """
     pred = temperature.transform(model.transform(stream))
     pred = pred.withColumn("sigma", F.exp(F.lit(0.5) * F.col("log_var_cal")))
     out = conformal.transform(pred, transform=transform)
-    return out.withColumn("y_real", inverse(F.col("y"), transform))
+    if "y" in stream.columns:
+        out = out.withColumn("y_real", inverse(F.col("y"), transform))
+    return out
 
 
 def coverage_monitor(scored: DataFrame, ts: str, window: str = "1 hour",

@@ -78,3 +78,17 @@ def test_coverage_monitor_equals_batch_windows(spark):
     m = got.merge(want, on="window", suffixes=("_s", "_b"))
     assert len(m) == len(want) > 0
     assert (m.n_s == m.n_b).all() and (abs(m.coverage_s - m.coverage_b) < 1e-12).all()
+
+
+def test_score_stream_without_truth(spark):
+    frame = events_frame(spark, SMOKE)
+    model = fit_group_gaussian(frame, by=["segment"])
+    pred = model.transform(frame)
+    temp = fit_temperature(pred)
+    pred = temp.transform(pred).withColumn("sigma", F.exp(0.5 * F.col("log_var_cal")))
+    conf = fit_conformal(pred)
+    new_rows = frame.select("key", "segment").limit(5)
+    out = score_stream(new_rows, model, temp, conf, transform="log1p")
+    assert "y_real" not in out.columns
+    rows = out.collect()
+    assert len(rows) == 5 and all(r.cp_lower < r.cp_upper for r in rows)
