@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.llm import ann, langid, packing, quality, toxicity, warc
+from bandwise.llm import ann, langid, neardup, packing, quality, toxicity, warc
 from bandwise.llm.common import fresh_dir, table, written
 
 
@@ -33,6 +33,10 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset", "sequence_length")
 
 
+def op3_bottom_k_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def _remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
@@ -71,6 +75,7 @@ def llm_queries() -> dict:
     return {
         "op1_classifier_chain_toxicity": op1_classifier_chain_toxicity,
         "op2_harmonic_packing": op2_harmonic_packing,
+        "op3_bottom_k_minhash": op3_bottom_k_minhash,
         "op5_fourier_quality": op5_fourier_quality,
         "op6_word_first_language": op6_word_first_language,
         "op8_learned_partitions": op8_learned_partitions,
