@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.llm import ann, langid, neardup, packing, quality, toxicity, warc
+from bandwise.llm import ann, decontam, langid, neardup, packing, pii, quality, suffix, toxicity, warc
 from bandwise.llm.common import fresh_dir, table, written
 
 
@@ -37,6 +37,22 @@ def op3_bottom_k_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+#: Key of the registered queries; a run over real texts brings its own.
+SURROGATE_KEY = "bandwise surrogates"
+
+
+def op4_surrogate_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
+def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def _remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
@@ -76,9 +92,12 @@ def llm_queries() -> dict:
         "op1_classifier_chain_toxicity": op1_classifier_chain_toxicity,
         "op2_harmonic_packing": op2_harmonic_packing,
         "op3_bottom_k_minhash": op3_bottom_k_minhash,
+        "op4_surrogate_pii": op4_surrogate_pii,
         "op5_fourier_quality": op5_fourier_quality,
         "op6_word_first_language": op6_word_first_language,
+        "op7_template_decontamination": op7_template_decontamination,
         "op8_learned_partitions": op8_learned_partitions,
+        "op9_suffix_array_dedup": op9_suffix_array_dedup,
         "op10_warc_archives": op10_warc_archives,
     }
 

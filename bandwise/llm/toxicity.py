@@ -181,6 +181,21 @@ def score_chain(docs: DataFrame, chain: ToxicityChain | None, id_col: str = "doc
         run, f"doc_id {kind}, " + ", ".join(f"{n} double" for n in names) + ", rejected boolean")
 
 
+def keep_accepted(docs: DataFrame, chain: ToxicityChain | None, text_col: str = "text",
+                  threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the chain doesn't reject."""
+    if chain is None:
+        return docs
+    shared, at = docs.sparkSession.sparkContext.broadcast(chain), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in text_chunks(batches, at):
+            p = shared.value.probabilities(chunk.column(at).to_pylist())
+            yield chunk.filter(pa.array(p[:, -1] < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def weak_categories(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
                     max_fit_docs: int = 6000) -> DataFrame:
     """doc_id, text, insult, contempt, toxic: labelled rows with the chain's three targets.
