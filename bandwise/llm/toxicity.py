@@ -83,8 +83,8 @@ class ToxicityChain:
 
 
 def fit_chain(rows: DataFrame, categories: list[str], id_col: str = "doc_id", text_col: str = "text",
-              max_fit_docs: int = 6000, max_inputs: int = 256, folds: int = 5,
-              ridge: float = 0.3) -> ToxicityChain | None:
+              max_fit_docs: int = 6000, max_inputs: int = 256, min_rows: int = 4, folds: int = 5,
+              ridge: float = 0.05) -> ToxicityChain | None:
     """Chain over the 0/1 columns ``categories``, predicted in that order; the last one picks
     the inputs. Rows with a null text or label are left out; None if none is usable."""
     usable = rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
@@ -114,7 +114,7 @@ def fit_chain(rows: DataFrame, categories: list[str], id_col: str = "doc_id", te
     # squared difference of the shares against its variance under no difference
     picked = (sample.mapInArrow(count, "input string, clean long, toxic long").groupBy("input")
               .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-              .where(F.col("clean") + F.col("toxic") >= 5)
+              .where(F.col("clean") + F.col("toxic") >= min_rows)
               .withColumn("weight", F.pow(bad - good, F.lit(2.0)) / (share * (1 - share) + 1.0 / n))
               .orderBy(F.desc("weight"), "input").limit(max_inputs).collect())
     chain = ToxicityChain(list(categories), {r["input"]: i for i, r in enumerate(picked)}, [])
@@ -156,7 +156,7 @@ def hash_fold(key, folds: int) -> int:
 
 
 def score_chain(docs: DataFrame, chain: ToxicityChain | None, id_col: str = "doc_id",
-                text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+                text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """doc_id, p_<category> ..., rejected (last category at ``threshold`` or more) of every row.
 
     Null and empty texts hold no input and get the base rates; without a model all probabilities
@@ -182,7 +182,7 @@ def score_chain(docs: DataFrame, chain: ToxicityChain | None, id_col: str = "doc
 
 
 def keep_accepted(docs: DataFrame, chain: ToxicityChain | None, text_col: str = "text",
-                  threshold: float = 0.5) -> DataFrame:
+                  threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs``, with all their columns, that the chain doesn't reject."""
     if chain is None:
         return docs
