@@ -60,6 +60,11 @@ def _lit(text: str) -> Column:
     return F.lit(text)
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value evaluated once, as the one element of an array."""
+    return F.transform(F.array(value), use)[0]
+
+
 def kind_of(mention: Column) -> Column:
     """The kind whose pattern covers the whole mention."""
     out = None
@@ -87,17 +92,17 @@ def _gender(mention: Column) -> Column:
 
 def entities_of(mention: Column) -> Column:
     """Entities of a mention: one, but a name's words are one each. Array of (kind, norm)."""
-    kind = kind_of(mention)
-    digits = F.regexp_replace(mention, r"\D", "")
-    norm = (F.when(kind == "email", F.lower(mention))
-            .when(kind == "phone", F.concat(F.length(_country(mention)).cast("string"), _lit("|"), digits))
-            .when(kind.isin("card", "ssn"), digits)
-            .when(kind == "iban", F.regexp_replace(mention, r"\s", "")).otherwise(mention))
-    words = _tokens(mention)
-    given = F.concat(_lit("given_"), _gender(mention))
-    names = F.transform(words, lambda w, i: F.struct(
-        F.when(i < F.size(words) - 1, given).otherwise("surname").alias("kind"), F.lower(w).alias("norm")))
-    return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
+    def build(kind):
+        digits = F.regexp_replace(mention, r"\D", "")
+        norm = (F.when(kind == "email", F.lower(mention))
+                .when(kind == "phone", F.concat(F.length(_country(mention)).cast("string"), _lit("|"), digits))
+                .when(kind.isin("card", "ssn"), digits)
+                .when(kind == "iban", F.regexp_replace(mention, r"\s", "")).otherwise(mention))
+        given = F.concat(_lit("given_"), _gender(mention))
+        names = _bind(_tokens(mention), lambda words: F.transform(words, lambda w, i: F.struct(
+            F.when(i < F.size(words) - 1, given).otherwise("surname").alias("kind"), F.lower(w).alias("norm"))))
+        return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
+    return _bind(kind_of(mention), build)
 
 
 def _number(digest: Column, i: Column) -> Column:
@@ -108,7 +113,10 @@ def _number(digest: Column, i: Column) -> Column:
 def _swapped(text: Column, digest: Column) -> Column:
     """Every digit and letter of a text replaced within its alphabet, the rest as it is."""
     def one(i):
-        c, n = F.substring(text, i, F.lit(1)), _number(digest, i - 1)
+        return _bind(F.struct(F.substring(text, i, F.lit(1)).alias("c"), _number(digest, i - 1).alias("n")),
+                     lambda x: swap(x["c"], x["n"]))
+
+    def swap(c, n):
         out = F.when(c.between("0", "9"), F.pmod(n, F.lit(10)).cast("string"))
         for letters in ALPHABETS:
             out = out.when(F.instr(F.lit(letters), c) > 0, F.substring(
@@ -143,6 +151,10 @@ def _made_name(kind: Column, norm: Column, digest: Column) -> Column:
 def surrogate_of(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     """The surrogate of an entity, in normal form."""
     digest = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, norm, attempt.cast("string")).cast("binary"), 512)
+    return _bind(digest, lambda d: _surrogate(kind, norm, d))
+
+
+def _surrogate(kind: Column, norm: Column, digest: Column) -> Column:
     swapped = _swapped(norm, digest)
     domain = F.regexp_extract(norm, r"(\.[^.]*)$", 1)
     email = F.concat(_swapped(F.substring_index(norm, "@", 1), digest), F.lit("@"),
@@ -150,13 +162,13 @@ def surrogate_of(kind: Column, norm: Column, attempt: Column, key: str) -> Colum
     ahead = F.substring_index(norm, "|", 1).cast("int")
     number = F.substring_index(norm, "|", -1)
     rest = F.substring(number, ahead + 1, F.length(number))
-    phone = F.concat(F.substring_index(norm, "|", 1), F.lit("|"), F.substring(number, F.lit(1), ahead), F.when(
-        F.substring(rest, 1, 1) > "1", F.concat((F.pmod(_number(digest, F.lit(63)), F.lit(8)) + 2).cast("string"),
-                                               _swapped(F.substring(rest, F.lit(2), F.length(rest)), digest)))
-        .otherwise(_swapped(rest, digest)))
+    phone = F.concat(F.substring_index(norm, "|", 1), F.lit("|"), F.substring(number, F.lit(1), ahead), _bind(
+        rest, lambda r: F.when(F.substring(r, 1, 1) > "1", F.concat(
+            (F.pmod(_number(digest, F.lit(63)), F.lit(8)) + 2).cast("string"),
+            _swapped(F.substring(r, F.lit(2), F.length(r)), digest))).otherwise(_swapped(r, digest))))
     body = F.concat(F.substring(norm, 1, 1), _swapped(F.substring(norm, F.lit(2), F.length(norm) - 2), digest))
-    card = F.concat(body, F.when(_luhn(norm) == 0, F.pmod(10 - _luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
-                    .otherwise(F.pmod(_number(digest, F.lit(63)), F.lit(10)).cast("string")))
+    card = _bind(body, lambda b: F.concat(b, F.when(_luhn(norm) == 0, F.pmod(10 - _luhn(F.concat(b, F.lit("0"))), F.lit(10)).cast(
+        "string")).otherwise(F.pmod(_number(digest, F.lit(63)), F.lit(10)).cast("string"))))
     ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (
         F.pmod(_number(digest, i), F.lit(254)) + 1).cast("string")), ".")
     kept = F.when(kind == "iban", 2).when(norm.startswith("AKIA"), 4).otherwise(0)
@@ -181,18 +193,23 @@ def _laid_out(mention: Column, values: Column, slot: str) -> Column:
 
 def rendered(mention: Column, surrogates: Column) -> Column:
     """The replacement of a mention: the surrogates of its entities in the mention's own format."""
-    kind, first = kind_of(mention), surrogates[0]
-    cased = F.array_join(F.transform(F.sequence(F.lit(1), F.length(mention)), lambda i: F.when(
-        F.substring(mention, i, F.lit(1)) != F.lower(F.substring(mention, i, F.lit(1))),
-        F.upper(F.substring(first, i, F.lit(1)))).otherwise(F.substring(first, i, F.lit(1)))), "")
-    title = F.regexp_extract(mention, "^" + _TITLED, 0)
-    words = F.zip_with(_tokens(mention), surrogates, lambda w, s: F.when(
-        (w == F.upper(w)) & (F.length(w) > 1), F.upper(s)).otherwise(F.initcap(s)))
-    return (F.when(kind == "email", cased)
-            .when(kind == "phone", _laid_out(mention, F.substring_index(first, "|", -1), "0-9"))
-            .when(kind.isin("card", "ssn"), _laid_out(mention, first, "0-9"))
-            .when(kind == "iban", _laid_out(mention, first, "A-Z0-9"))
-            .when(kind == "name", F.concat(title, F.array_join(words, " "))).otherwise(first))
+    def cased(first):
+        def one(i):
+            return _bind(F.substring(mention, i, F.lit(1)), lambda c: F.when(
+                c != F.lower(c), F.upper(F.substring(first, i, F.lit(1)))).otherwise(F.substring(first, i, F.lit(1))))
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(mention)), one), "")
+
+    def build(kind):
+        first = surrogates[0]
+        title = F.regexp_extract(mention, "^" + _TITLED, 0)
+        words = F.zip_with(_tokens(mention), surrogates, lambda w, s: F.when(
+            (w == F.upper(w)) & (F.length(w) > 1), F.upper(s)).otherwise(F.initcap(s)))
+        return (F.when(kind == "email", cased(first))
+                .when(kind == "phone", _laid_out(mention, F.substring_index(first, "|", -1), "0-9"))
+                .when(kind.isin("card", "ssn"), _laid_out(mention, first, "0-9"))
+                .when(kind == "iban", _laid_out(mention, first, "A-Z0-9"))
+                .when(kind == "name", F.concat(title, F.array_join(words, " "))).otherwise(first))
+    return _bind(kind_of(mention), build)
 
 
 def _mentions(text: Column) -> Column:
@@ -241,7 +258,8 @@ def rewrite(docs: DataFrame, key: str, count_col: str = "n_replaced") -> DataFra
     mentions = docs.select(F.explode(found).alias("mention"))
     entities = mentions.distinct().select(F.explode(entities_of(F.col("mention"))).alias("e")).select("e.kind", "e.norm")
     later = resolve(entities, key)
-    rows = docs.withColumn("_found", F.coalesce(found, F.array().cast("array<string>")))
+    # a generator, so that what it finds is found once and not again for every use
+    rows = docs.select("*", F.inline(F.array(F.struct(F.coalesce(found, F.array().cast("array<string>")).alias("_found")))))
     if later.isEmpty():
         rows = rows.withColumn("_later", F.create_map().cast("map<string,int>"))
     else:  # the few entities with a later attempt meet the texts that hold them
@@ -255,10 +273,14 @@ def rewrite(docs: DataFrame, key: str, count_col: str = "n_replaced") -> DataFra
             written(maps, "attempts"), "_key", "left").drop("_key")
         rows = rows.withColumn("_later", F.coalesce("_later", F.create_map().cast("map<string,int>")))
     attempt = lambda e: F.coalesce(F.try_element_at("_later", F.concat_ws("|", e["kind"], e["norm"])), F.lit(0))
-    replaced = F.transform("_found", lambda m: rendered(m, F.transform(
-        entities_of(m), lambda e: surrogate_of(e["kind"], e["norm"], attempt(e), key))))
-    between = F.split(text, PATTERN, -1)
-    whole = F.concat(between[0], F.array_join(F.zip_with(replaced, F.slice(between, 2, F.size("_found")),
-                                                         lambda r, b: F.concat(r, b)), ""))
+    replaced = F.transform("_found", lambda m: _bind(F.transform(
+        entities_of(m), lambda e: surrogate_of(e["kind"], e["norm"], attempt(e), key)), lambda found: rendered(m, found)))
+
+    def joined(between: Column) -> Column:
+        return F.concat(between[0], F.array_join(F.zip_with(replaced, F.slice(between, 2, F.size("_found")),
+                                                            lambda r, b: F.concat(r, b)), ""))
+
+    # the parts between entities are bound once, as the one element of an array
+    whole = F.transform(F.array(F.split(text, PATTERN, -1)), joined)[0]
     return rows.withColumns({"text": F.when(F.size("_found") > 0, whole).otherwise(text),
                              count_col: F.size("_found")}).drop("_found", "_later")
