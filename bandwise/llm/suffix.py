@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import text_chunks, written
+from bandwise.llm.common import text_chunks
 from bandwise.llm.shingles import _BASE, _DOWN, _UP, _VALUE, mix
 
-KMER = 20
+KMER = 16
 #: Bytes of text in a step of a task (positions must fit beside a hash in 64 bits).
 STEP = 1 << 20
 _POSITION_BITS = np.uint64(21)
@@ -98,10 +98,11 @@ def steps(chunk: pa.RecordBatch, length: int):
 
 
 def _records(length: int, buckets: int):
-    schema = ["bucket", "hashes", "docs", "tags", "places"]
+    schema = ["bucket", "hashes", "docs", "doc_at", "places"]
 
     def pack(bucket, h, d, t, p):
-        return (bucket, h.astype("<u8").tobytes(), d.astype("<i8").tobytes(), t.astype("<i8").tobytes(),
+        names, at = np.unique(np.stack((d, t), 1), axis=0, return_inverse=True)
+        return (bucket, h.astype("<u8").tobytes(), names.astype("<i8").tobytes(), at.astype("<u4").tobytes(),
                 p.astype("<i8").tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +153,10 @@ def _records(length: int, buckets: int):
 
 def _shared(table: pa.Table) -> pa.Table:
     """Places of a bucket's anchors whose hash several documents have."""
-    read = lambda c, kind: np.frombuffer(b"".join(table[c].to_pylist()), kind)
-    h, doc, tag, place = read("hashes", "<u8"), read("docs", "<i8"), read("tags", "<i8"), read("places", "<i8")
+    read = lambda c, kind: [np.frombuffer(x, kind) for x in table[c].to_pylist()]
+    h, place = np.concatenate(read("hashes", "<u8")), np.concatenate(read("places", "<i8"))
+    named = np.concatenate([d.reshape(-1, 2)[at] for d, at in zip(read("docs", "<i8"), read("doc_at", "<u4"))])
+    doc, tag = named[:, 0], named[:, 1]
     if table.num_rows and table["bucket"][0].as_py() < 0:
         keep = np.ones(len(h), bool)
     else:
@@ -342,21 +345,45 @@ def _shards(length: int):
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)],
                                               ["doc_id", "tag", "start", "stop"])
 
+        def close():
+            """The contexts of an anchor that has several; one alone repeats nowhere else."""
+            nonlocal size
+            if len(seen) > 1 or rows and rows[-1][0] == anchor:
+                rows.extend(group)
+                size += sum(len(r[3]) for r in group)
+            group.clear()
+
+        anchor, seen, group, found = None, {}, [], []
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("anchor", "doc_id", "tag", "context", "start"))):
-                if size >= SHARD and (row[0] != rows[-1][0] or size >= 4 * SHARD):
-                    found, carried = solve(rows, carried)
-                    if row[0] != rows[-1][0]:
-                        carried = {}
-                    rows, size = [], 0
-                    if found:
-                        yield emit(found)
-                rows.append(row)
-                size += len(row[3])
+            for row in zip(*(b.column(c).to_pylist() for c in ("anchor", "doc_id", "tag", "context", "start", "stop"))):
+                if row[3] is None:  # an interval that is known already
+                    found.append((row[1], row[2], row[4], row[5]))
+                    continue
+                if row[0] != anchor:
+                    close()
+                    if size >= SHARD:
+                        found += solve(rows, carried)[0]
+                        rows, size, carried = [], 0, {}
+                    anchor, seen = row[0], {}
+                first = seen.setdefault(row[3], row[1])
+                if first < row[1]:
+                    found.append((row[1], row[2], row[4], row[4] + len(row[3])))
+                else:
+                    group.append(row)
+                    if len(group) % 4096 == 0:  # a long list of contexts: what there is of it makes a shard
+                        close()
+                        if size >= SHARD:
+                            more, carried = solve(rows, carried)
+                            found += more
+                            rows, size = [], 0
+                if len(found) >= 10_000:
+                    yield emit(found)
+                    found = []
+        close()
         if rows:
-            found, _ = solve(rows, carried)
-            if found:
-                yield emit(found)
+            found += solve(rows, carried)[0]
+        if found:
+            yield emit(found)
     return run
 
 
@@ -401,18 +428,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     slim = slim.select("doc_id", F.xxhash64("raw").alias("tag"), "raw")
     total = slim.agg(F.sum(F.length("raw"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2 * least, total // (256 << 20))
+    buckets = max(least, total // (128 << 20))
     records = slim.where("doc_id is not null").mapInArrow(
-        _records(length, buckets), "bucket long, hashes binary, docs binary, tags binary, places binary")
+        _records(length, buckets), "bucket long, hashes binary, docs binary, doc_at binary, places binary")
     shared = records.groupBy("bucket").applyInArrow(_shared, "doc_id long, tag long, place long")
     places = shared.groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
     run, kind = _contexts(length)
-    pieces = written(slim.join(places, ["doc_id", "tag"], "left").where("places is not null").select(
-        "doc_id", "tag", "raw", "places").mapInArrow(run, kind), "contexts")
-    shards = pieces.where("context is not null").select("anchor", "doc_id", "tag", "context", "start")
-    found = shards.repartition("anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(
-        _shards(length), "doc_id long, tag long, start long, stop long")
-    found = found.unionByName(pieces.where("context is null").select("doc_id", "tag", "start", "stop"))
+    pieces = slim.join(places, ["doc_id", "tag"], "left").where("places is not null").select(
+        "doc_id", "tag", "raw", "places").mapInArrow(run, kind)
+    # intervals without an anchor travel by document, so that they don't meet in one task
+    route = F.coalesce("anchor", F.xxhash64("doc_id"))
+    found = pieces.withColumn("route", route).repartition("route").sortWithinPartitions("anchor", "doc_id").drop(
+        "route").mapInArrow(_shards(length), "doc_id long, tag long, start long, stop long")
     spans = found.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "stop")).alias("found"))
     return slim.join(spans, ["doc_id", "tag"], "left").select("doc_id", "raw", "found").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
