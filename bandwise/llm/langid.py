@@ -142,7 +142,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words.unpersist()
 
     def scores(rows: list[tuple], totals: np.ndarray) -> np.ndarray:
-        n = np.array([[by.get(lang, 0) for lang in langs] for _, by in rows], float).reshape(-1, len(langs))
+        n = np.array([[by.get(lang, 0) for lang in langs] for _, by in rows], float).reshape(len(rows), len(langs))
         return np.log((n + smoothing) / (totals + smoothing * (len(rows) + 1)))
 
     gram_n = np.zeros(len(langs))

@@ -1,0 +1,334 @@
+"""Training-data operators against brute force and on awkward input."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from bandwise.llm import (ann, components, decontam, langid, neardup, packing, pii, quality, shingles, suffix,
+                          toxicity, warc)
+from bandwise.llm.common import written
+from bandwise.llm.queries import tokenizer_path
+
+SCHEMA = "doc_id long, text string, lang string, label int, kept string, _found int, component int, n int"
+
+
+def words(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}x" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    """Texts with copies, near copies, nulls, empty ones, ties, repeated rows and clashing columns."""
+    rng = random.Random(5)
+    base = words(rng, 150)
+    texts = [base, base, base.upper().replace("W", "w"), "", None, " \n\t ", "one", "One ", "a b", "A  b\n"]
+    for _ in range(25):
+        near = base.split()
+        for _ in range(rng.randrange(1, 14)):
+            near[rng.randrange(len(near))] = f"z{rng.randrange(9999)}"
+        texts.append(" ".join(near))
+    texts += [words(rng, rng.randrange(1, 60), 40) for _ in range(40)]
+    texts += [" ".join(["x y z q"] * n) for n in (2, 3, 40)] + [words(rng, 4000)]
+    rows = [(i, t, "en", i % 2, "k", 7, 1, 2) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows + [rows[0], (None, base, None, None, None, None, None, None)], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def set_of(text, n):
+    w = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m.group().lower(), (text or "").encode()))
+    return frozenset(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_near_duplicates_equal_brute_force(corpus, n):
+    rows = [r for r in corpus.collect() if r.doc_id is not None]
+    sets = {r.doc_id: set_of(r.text, n) for r in rows}
+    group = {i: i for i in sets}
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            both = len(sets[i] & sets[j])
+            if i < j and both and 100 * both >= 80 * len(sets[i] | sets[j]):
+                a, b = root(i), root(j)
+                group[max(a, b)] = min(a, b)
+    got = neardup.near_duplicates(corpus, words=n).collect()
+    assert len(got) == corpus.count()
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id == 0 and not r.kept
+        else:
+            assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), root(r.doc_id), root(r.doc_id) == r.doc_id)
+
+
+def test_near_duplicates_of_nothing(empty):
+    assert neardup.near_duplicates(empty).count() == 0
+
+
+def test_word_hashes_follow_words():
+    texts = [b"Ab cD\tab\x0bcd", b"", b"   ", "é É é".encode(), b"x" * 3000 + b" y"]
+    for t in texts:
+        w = [x.lower() for x in re.findall(rb"[^\x20\x09-\x0D]+", t)]
+        h = shingles.word_hashes(t)
+        assert len(h) == len(w)
+        assert [[a == b for b in h] for a in h] == [[a == b for b in w] for a in w]
+    long = b" ".join(b"%d" % i for i in range(300_000))
+    assert len(set(shingles.word_hashes(long).tolist())) == 300_000
+
+
+def test_components_of_a_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 101)], "a long, b long")
+    got = {r.node: r.component for r in components.connected_components(edges).collect()}
+    assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100}
+
+
+def test_repeats_equal_brute_force(corpus, empty):
+    seen, want = {}, {}
+    for r in sorted((r for r in corpus.collect() if r.doc_id is not None), key=lambda r: r.doc_id):
+        raw = (r.text or "").encode()
+        gone = bytearray(len(raw))
+        for p in range(len(raw) - 49):
+            if seen.setdefault(raw[p:p + 50], r.doc_id) < r.doc_id:
+                gone[p:p + 50] = b"\x01" * 50
+        kept = bytes(c for c, g in zip(raw, gone) if not g)
+        spans = len(re.findall(b"\x01+", bytes(gone)))
+        want[r.doc_id] = (len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    for r in suffix.remove_repeats(corpus).collect():
+        if r.doc_id is None:
+            assert r.n_removed == 0
+        else:
+            assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id]
+    assert suffix.remove_repeats(empty).count() == 0
+
+
+def test_suffix_array_and_prefixes():
+    rng = random.Random(2)
+    texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, 60))) for _ in range(40)]
+    texts += texts[:5] + [b"a" * 50, b"\x00" * 9]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts])
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    order = suffix.suffix_array(data, ends)
+    tails = [bytes(data[i:ends[i]]) for i in range(len(data))]
+    assert order.tolist() == sorted(range(len(data)), key=lambda i: (tails[i], i))
+    common = suffix.common_prefixes(data, ends, order, 20)
+    for k in range(1, len(order)):
+        a, b = tails[order[k - 1]], tails[order[k]]
+        n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert common[k] == min(n, 20)
+
+
+def test_long_lists_of_contexts_span_shards(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "SHARD", 200)
+    rows = [(7, d, 0, b"k" * 40 + bytes([65 + d % 3]) * 20 + bytes([97 + d]), 0, None) for d in range(20)]
+    import pyarrow as pa
+
+    names = ["anchor", "doc_id", "tag", "context", "start", "stop"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) if c[0] is not None else pa.array(c, pa.int64()) for c in zip(*rows)], names)
+    got = sorted(r for b in suffix._shards(50)([batch]) for r in zip(*(c.to_pylist() for c in b.columns)))
+    assert got == [(d, 0, 0, 60) for d in range(3, 20)]
+
+
+def test_packing_is_exact(corpus, empty):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    tok.encode_special_tokens = True
+    texts = {r.doc_id: r.text for r in corpus.collect()}
+    texts[900] = "It's  <|endoftext|> naïve\n\n\tÇa  １２ ½ 😀 don't  "
+    more = corpus.select("doc_id", "text").unionByName(corpus.sparkSession.createDataFrame(
+        [(900, texts[900])], "doc_id long, text string"))
+    rows = packing.pack_documents(more.repartition(3), tokenizer_path()).collect()
+    want = {d: tok.encode(t or "", add_special_tokens=False).ids + [0] for d, t in texts.items()}
+    by_doc, by_seq = {}, {}
+    for r in rows:
+        assert len(r.ids) == 4 * r.length > 0 and r.doc_tokens == len(want[r.doc_id])
+        by_doc.setdefault(r.doc_id, []).append((r.start, np.frombuffer(bytes(r.ids), "<u4").tolist()))
+        by_seq.setdefault(r.sequence_id, []).append((r.offset, r.length, r.sequence_length))
+    for d, pieces in by_doc.items():
+        copies = 2 if d == 0 else 1
+        assert sorted(i for s, ids in pieces for i in enumerate(ids, s)) == sorted(list(enumerate(want[d])) * copies)
+    assert by_doc.keys() == want.keys()
+    padding = 0
+    for parts in by_seq.values():
+        at = 0
+        for offset, length, total in sorted(parts):
+            assert offset == at
+            at += length
+        assert at == total <= 1024
+        padding += 0 if at & (at - 1) == 0 else 1024 - at
+    assert padding <= 0.05 * sum(len(i) for i in want.values())
+    assert packing.pack_documents(empty, tokenizer_path()).count() == 0
+
+
+def test_language_words_first(spark, empty):
+    rng = random.Random(1)
+    lexicon = {"aa": ["schon", "heit", "und", "ungen"], "bb": ["ciones", "y", "el", "mente"]}
+    rows = [(i, " ".join(rng.choice(lexicon[k]) for _ in range(12)), k) for i, k in enumerate(["aa", "bb"] * 20)]
+    docs = spark.createDataFrame(rows + [(90, "und und", None), (91, None, "aa"), (92, "12 !", "aa")],
+                                 "doc_id long, text string, lang string")
+    model = langid.fit_languages(docs)
+    asked = spark.createDataFrame([(1, "und heit"), (2, "heitungen schonheit"), (3, "Mentes"), (4, ""), (5, None),
+                                   (6, "12"), (None, "EL Y"), (1, "und heit")], "doc_id long, text string")
+    got = [(r.doc_id, r.lang_pred) for r in langid.identify(asked, model).collect()]
+    assert got == [(1, "aa"), (2, "aa"), (3, "bb"), (4, "und"), (5, "und"), (6, "und"), (None, "bb"), (1, "aa")]
+    assert all(0 <= r.score <= 1 for r in langid.identify(asked, model).collect())
+    nothing = langid.fit_languages(empty)
+    assert {r.lang_pred for r in langid.identify(asked, nothing).collect()} == {"und"}
+    assert langid.identify(empty, model).count() == 0
+
+
+def test_quality_learns_and_isotonic_is_monotone(spark, empty):
+    v, w = np.array([0.0, 1, 0, 0.5, 0, 1]), np.array([0, 1, 1, 2, 0, 1.0])
+    fit = quality.isotonic(v, w)
+    assert np.allclose(fit, [0.5] * 5 + [1]) and len(fit) == 6
+    rng = random.Random(3)
+    rows = [(i, words(rng, 40) if i % 2 else "!! ## " * 30, i % 2) for i in range(200)]
+    docs = spark.createDataFrame(rows + [(900, None, None), (901, "", 1)], "doc_id long, text string, label int")
+    stats = written(quality.document_statistics(docs), "stats")
+    model = quality.fit_quality(stats, docs.select("doc_id", "label"), F.col("doc_id") % 4 < 2)
+    got = {r.doc_id: r.score for r in quality.score_quality(stats, model).collect()}
+    assert len(got) == 202 and all(0 <= s <= 1 for s in got.values())
+    assert np.mean([(got[i] >= 0.5) == (i % 2 == 1) for i in range(200)]) > 0.95
+    none = quality.document_statistics(empty)
+    assert quality.fit_quality(none, empty.select("doc_id", "label"), F.col("doc_id") > 0) is None
+    assert quality.score_quality(none, None).count() == 0
+
+
+def test_toxicity_chain_rejects_marked_texts(spark, empty):
+    rng = random.Random(4)
+    rows = []
+    for i in range(240):
+        text = words(rng, 30)
+        rows.append((i, text + (" idiot moron" if i % 3 == 0 else ""), int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows + [(900, None, 0), (901, "", None), (None, "you idiot", 1)],
+                                 "doc_id long, text string, toxic int")
+    chain = toxicity.fit_chain(toxicity.weak_categories(docs, docs.select("doc_id", "toxic")), ["insult", "contempt", "toxic"])
+    got = {r.doc_id: r.rejected for r in toxicity.score_chain(docs, chain).collect()}
+    assert [got[i] for i in range(240)] == [i % 3 == 0 for i in range(240)]
+    assert not got[900] and not got[901] and got[None]
+    kept = toxicity.keep_accepted(docs, chain)
+    assert kept.columns == docs.columns and kept.count() == 162
+    assert toxicity.fit_chain(toxicity.weak_categories(empty, empty.select("doc_id", F.col("label").alias("toxic"))),
+                              ["insult", "contempt", "toxic"]) is None
+    assert toxicity.score_chain(empty, chain).count() == 0 and toxicity.score_chain(docs, None).count() == 243
+
+
+def test_decontamination_finds_reparameterised_questions(spark, empty):
+    items = spark.createDataFrame(
+        [(1, "If a train leaves at 10 km from here and Anna waits 5 hours before Anna walks 10 km again how far is it"),
+         (2, "short one"), (3, None), (4, "seven plain words make this small item")], "item_id long, text string")
+    said = "if a train leaves at {} km from here and {} waits {} hours before {} walks {} km again how far is it"
+    docs = spark.createDataFrame(
+        [(1, "So. " + said.format(10, "Anna", 5, "Anna", 10)), (2, "x y " + said.format(33, "Berta", 4, "Berta", 33) + " end"),
+         (3, said.format(33, "Berta", 4, "Clara", 12)), (4, "nothing like it at all here " * 9), (5, None), (6, ""),
+         (7, "look: Seven plain words, make THIS small item."), (None, said.format(10, "Anna", 5, "Anna", 10))],
+        "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.reparameterised for r in decontam.contaminated(docs, items).collect()}
+    assert got == {(1, 1): False, (2, 1): True, (7, 4): False}
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontam.contaminated(docs, none).count() == 0 and decontam.contaminated(empty, items).count() == 0
+
+
+def test_surrogates(spark, empty):
+    text = ("Write to Jo.Doe7@mail.example.com or JO.DOE7@mail.example.com, call +1 (583) 555-8469 or +1 583 555-8469, "
+            "card 4539578763621486, host 70.214.118.188, Mr. John Smith met Mrs. Jane Smith. Г.")
+    rows = [(1, text, 5), (2, text, 5), (2, text, 5), (3, None, 1), (4, "", 1), (5, "no data, v3.11, 1984.", 1),
+            (None, "70.214.118.188", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_replaced int")
+    got = pii.pseudonymise(docs, "key").collect()
+    out = {r.doc_id: r for r in got}
+    assert len(got) == 7 and out[1].text == out[2].text != text
+    assert out[3].text is None and out[4].text == "" and out[5].text == rows[5][1] and out[5].n_replaced == 0
+    new = out[1].text
+    for secret in ("Doe7", "583", "8469", "4539578763621486", "70.214.118.188", "John", "Smith", "Jane"):
+        assert secret not in new
+    mails = re.findall(r"\S+@\S+\.com", new)
+    assert mails[0].lower() == mails[1].lower() and mails[0][0].isupper() and mails[1].split("@")[0].isupper()
+    phones = re.findall(r"\+1 [\d() -]+\d", new)
+    assert re.sub(r"\D", "", phones[0]) == re.sub(r"\D", "", phones[1]) and phones[0][3] == "("
+    card = re.search(r"card (\d{16})", new).group(1)
+    assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(map(int, card[::-1]))) % 10 == 0
+    assert out[None].text in new  # the same address gets the same surrogate everywhere
+    him, her = re.search(r"Mr\. (\w+) (\w+) met Mrs\. (\w+) (\w+)\.", new).group(1, 2), re.search(r"Mrs\. (\w+) (\w+)", new).groups()
+    assert him[1] == her[1] and her[0][-1] == "a" and him[0][-1] != "a"
+    assert pii.pseudonymise(docs, "other").where("doc_id = 1").first().text != new
+    assert pii.pseudonymise(empty.select("doc_id", "text"), "key").count() == 0
+
+
+def test_surrogates_stay_distinct(spark):
+    """Every one of many short entities keeps a surrogate of its own, and none is an entity."""
+    entities = [(f"{a:03d}-00-000{b}",) for a in range(60) for b in range(10)]
+    found = spark.createDataFrame([("name", "given_m", f"n{i}") for i in range(3000)], "x string, kind string, norm string")
+    found = found.select("kind", "norm")
+    later = {(r.kind, r.norm): r.attempt for r in pii.resolve(found, "k").collect()}
+    assert later  # three thousand names of some fifty thousand do collide
+    state = found.withColumn("attempt", F.coalesce(F.element_at(F.create_map(*[
+        F.lit(x) for k, v in later.items() for x in (k[1], v)]), F.col("norm")), F.lit(0)))
+    named = state.select(pii.surrogate_of(F.col("kind"), F.col("norm"), F.col("attempt"), "k").alias("s"))
+    assert named.distinct().count() == 3000
+    texts = spark.createDataFrame([(i, f"Mr. N{i} Abc {e[0]}") for i, e in enumerate(entities)], "doc_id long, text string")
+    assert pii.pseudonymise(texts, "k").select("text").distinct().count() == len(entities)
+
+
+def test_neighbours_recall_and_edges(spark):
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(30, 16))
+    x = (centres[rng.integers(0, 30, 4000)] + 0.3 * rng.normal(size=(4000, 16))).astype("float32")
+    x[1000:1400] = x[7]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    odd = [(9000, None, 1), (9100, [0.0] * 16, 1), (9200, [float("nan")] * 16, 1), (9300, [1.0], 1), (None, [1.0] * 16, 1), rows[200]]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, rank int")
+    got = {}
+    for r in ann.nearest_neighbours(df, F.col("vec_id") % 100 == 0, rows_per_part=200).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hit = 0
+    for q in range(0, 4000, 100):
+        d = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(1))
+        d[q] = np.inf
+        best = np.lexsort((np.arange(4000), d))[:10]
+        mine = sorted(got[q])
+        assert [m[0] for m in mine] == list(range(1, 11)) and all(abs(m[2] - d[m[1]]) < 1e-12 for m in mine)
+        hit += len({m[1] for m in mine} & set(best.tolist()))
+    assert set(got) == set(range(0, 4000, 100)) and hit >= 0.9 * 400
+    assert [m[1] for m in sorted(got[1000])] == [7, *range(1001, 1010)]
+    few = df.where("vec_id < 4")
+    assert ann.nearest_neighbours(few, F.col("vec_id") == 0).count() == 3
+    assert ann.nearest_neighbours(df.where("vec_id = 9000"), F.lit(True)).count() == 0
+
+
+def test_warc_round_trip(spark, tmp_path):
+    page = "<p>é</p>\r\n\r\nWARC/1.1\r\n"
+    rows = [(5, "http://a/ b\n", page, 1), (3, None, page, 1), (9, "u", None, 1), (1, "u", "", 1), (2, "u", "x" * 70000, 1),
+            (None, "u", page, 1), (4, "v", "w", 1), (4, "v", "w", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int")
+    path = f"file://{tmp_path}/a"
+    warc.write_warc(warc.page_records(pages, lambda df: written(df, "first")), path, file_bytes="20000")
+    got = warc.read_warc(spark, path, verify="true").where(F.col("record_type").isin("response", "revisit"))
+    assert "Filter" not in str(got._jdf.queryExecution().executedPlan())  # decided by the source
+    by = {}
+    for r in got.collect():
+        by.setdefault(r.record_id, []).append(r)
+    assert sorted(by) == [f"<urn:page:{i}>" for i in ("", 1, 2, 3, 4, 5, 9)] and len(by["<urn:page:4>"]) == 2
+    for i in ("", "5"):
+        r = by[f"<urn:page:{i}>"][0]
+        assert (r.record_type, r.refers_to, r.payload, r.payload_bytes) == ("revisit", "<urn:page:3>", None, len(page.encode()))
+    assert by["<urn:page:9>"][0].refers_to == "<urn:page:1>" and bytes(by["<urn:page:3>"][0].payload) == page.encode()
+    assert by["<urn:page:3>"][0].payload_digest == warc.base32_digest(hashlib.sha1(page.encode()).hexdigest())
+    slim = warc.read_warc(spark, path, "record_id string, target_uri string").where("target_uri = 'v'")
+    assert slim.count() == 2
+    empty_path = f"file://{tmp_path}/b"
+    warc.write_warc(warc.page_records(pages.where("false"), lambda df: written(df, "first")), empty_path)
+    assert warc.read_warc(spark, empty_path).where("record_type = 'response'").count() == 0
