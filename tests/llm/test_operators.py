@@ -317,11 +317,11 @@ def test_warc_round_trip(spark, tmp_path):
     path = f"file://{tmp_path}/a"
     warc.write_warc(warc.page_records(pages, lambda df: written(df, "first")), path, file_bytes="20000")
     got = warc.read_warc(spark, path, verify="true").where(F.col("record_type").isin("response", "revisit"))
-    assert "Filter" not in str(got._jdf.queryExecution().executedPlan())  # decided by the source
+    assert "Filter (" not in str(got._jdf.queryExecution().executedPlan())  # decided by the source
     by = {}
     for r in got.collect():
         by.setdefault(r.record_id, []).append(r)
-    assert sorted(by) == [f"<urn:page:{i}>" for i in ("", 1, 2, 3, 4, 5, 9)] and len(by["<urn:page:4>"]) == 2
+    assert set(by) == {f"<urn:page:{i}>" for i in ("", 1, 2, 3, 4, 5, 9)} and len(by["<urn:page:4>"]) == 2
     for i in ("", "5"):
         r = by[f"<urn:page:{i}>"][0]
         assert (r.record_type, r.refers_to, r.payload, r.payload_bytes) == ("revisit", "<urn:page:3>", None, len(page.encode()))
