@@ -17,13 +17,16 @@ from bandwise.operators.stats import median, spearman
 
 
 def inside(y: str, lower: str, upper: str):
-    """Inclusive containment lower <= y <= upper (P10)."""
-    return (F.col(y) >= F.col(lower)) & (F.col(y) <= F.col(upper))
+    """Inclusive containment lower <= y <= upper (P10); a row without bounds isn't inside. Null
+    only where the truth is."""
+    hit = (F.col(y) >= F.col(lower)) & (F.col(y) <= F.col(upper))
+    return F.when(F.col(y).isNotNull(), F.coalesce(hit, F.lit(False)))
 
 
 def coverage_verdict(df: DataFrame, y: str = "y", lower: str = "lower", upper: str = "upper",
                      by=(), low: float = COVERAGE_LOW, high: float = COVERAGE_HIGH) -> DataFrame:
     """Share of rows inside their interval, and the calibration verdict (A1)."""
+    # rows without bounds count as missed
     rep = df.groupBy(*by).agg(F.count(F.col(y)).alias("n"),
                               F.avg(inside(y, lower, upper).cast("double")).alias("coverage"))
     return rep.withColumn("verdict", band("coverage", low, high, COVERAGE_VERDICTS))
@@ -85,6 +88,7 @@ def nll_before_after(df: DataFrame, y: str = "y", mu: str = "mu", raw: str = "lo
     calibrated z-interval on the model scale (A2)."""
     sig = F.exp(F.lit(0.5) * F.col(cal))
     hit = ((F.col(y) >= F.col(mu) - F.lit(z) * sig) & (F.col(y) <= F.col(mu) + F.lit(z) * sig))
+    hit = F.when(F.col(y).isNotNull(), F.coalesce(hit, F.lit(False)))
     rep = df.groupBy(*by).agg(
         F.count(F.col(y)).alias("n"),
         F.avg(nll(y, mu, raw)).alias("nll_raw"),

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from bandwise.functions.columns import inverse
 from bandwise.functions.constants import CONFORMAL_ALPHA, TEMPERATURE_BATCH
-from bandwise.operators.params import attach, small_frame
+from bandwise.operators.params import attach, frozen
 from bandwise.operators.ranks import average_ranks, order_statistic
 
 
+#: Least mean squared score that a temperature is fitted to.
+MIN_SQUARE = 1e-12
+
+
 def _z2(y: str, mu: str, log_var: str) -> Column:
     return F.pow(F.col(y) - F.col(mu), 2) * F.exp(-F.col(log_var))
 
@@ -36,10 +40,11 @@ def fit_temperature(df: DataFrame, y: str = "y", mu: str = "mu", log_var: str =
     d/db sum 0.5*(lv + b + z^2 e^-b) = 0  gives  b = ln(mean z^2), one aggregate.
     """
     src = df.where(F.col(split_col) == fit_on) if split_col else df
-    m = F.avg(_z2(y, mu, log_var))
+    # an exact fit has a mean square of zero: bounded, as the group Gaussian's variance is
+    m = F.greatest(F.avg(_z2(y, mu, log_var)), F.lit(MIN_SQUARE))
     params = src.groupBy(*by).agg(F.log(m).alias("bias"), F.sqrt(m).alias("temperature"),
                                   F.count(F.lit(1)).alias("n_cal"))
-    return Temperature(small_frame(params), list(by))
+    return Temperature(frozen(params), list(by))
 
 
 def fit_temperature_batched(df: DataFrame, key: str, y: str = "y", mu: str = "mu",
@@ -56,10 +61,10 @@ def fit_temperature_batched(df: DataFrame, key: str, y: str = "y", mu: str = "mu
     batched = (rows.join(pos, on="_bw_key", how="inner")
                .withColumn("_b", F.floor((F.col("_pos") - 1) / F.lit(batch)))
                .groupBy("_b").agg(F.avg("_z2").alias("_m"), F.count(F.lit(1)).alias("_n")))
-    m = F.avg("_m")
+    m = F.greatest(F.avg("_m"), F.lit(MIN_SQUARE))
     params = batched.agg(F.log(m).alias("bias"), F.sqrt(m).alias("temperature"),
                          F.sum("_n").alias("n_cal"))
-    return Temperature(small_frame(params), [])
+    return Temperature(frozen(params), [])
 
 
 def conformal_rank(n: Column, alpha: float, rank: str = "higher") -> Column:
@@ -88,8 +93,9 @@ class Conformal:
                   transform: str = "identity", prefix: str = "cp_") -> DataFrame:
         p = self.params.select(*self.by, F.col("q_hat").alias("_bw_q"))
         out = attach(df, p, self.by)
-        lo = F.col(mu) - F.col("_bw_q") * F.col(sigma)
-        hi = F.col(mu) + F.col("_bw_q") * F.col(sigma)
+        # an infinite q_hat gives unbounded intervals, also at a sigma of zero
+        half = F.when(F.col("_bw_q") == float("inf"), F.col("_bw_q")).otherwise(F.col("_bw_q") * F.col(sigma))
+        lo, hi = F.col(mu) - half, F.col(mu) + half
         return (out.withColumn(f"{prefix}point", inverse(F.col(mu), transform))
                 .withColumn(f"{prefix}lower", inverse(lo, transform))
                 .withColumn(f"{prefix}upper", inverse(hi, transform))
@@ -98,7 +104,10 @@ class Conformal:
 
 
 def conformal_scores(y: str = "y", mu: str = "mu", sigma: str = "sigma") -> Column:
-    return F.try_divide(F.abs(F.col(y) - F.col(mu)), F.col(sigma))
+    """|y - mu| / sigma; at a sigma of zero an error scores infinity and an exact hit zero."""
+    error = F.abs(F.col(y) - F.col(mu))
+    at_zero = F.when(error > 0, F.lit(float("inf"))).when(error == 0, F.lit(0.0))
+    return F.when(F.col(sigma) == 0, at_zero).otherwise(F.try_divide(error, F.col(sigma)))
 
 
 def fit_conformal(df: DataFrame, y: str = "y", mu: str = "mu", sigma: str = "sigma",
@@ -111,7 +120,7 @@ def fit_conformal(df: DataFrame, y: str = "y", mu: str = "mu", sigma: str = "sig
     q = order_statistic(scored, "_score", lambda n: conformal_rank(n, alpha, rank), by,
                         parts=parts, out="q_hat")
     params = q.select(*by, "q_hat", F.col("n").alias("n_cal"), F.col("r").alias("rank"))
-    return Conformal(small_frame(params), list(by))
+    return Conformal(frozen(params), list(by))
 
 
 def quantile_interval(df: DataFrame, lower: str, upper: str, repair: bool = False) -> DataFrame:

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -83,8 +82,10 @@ class KMeansFeature:
         m.setFeaturesCol(self.features_col).setPredictionCol(out)
         res = m.transform(df).withColumn(out, F.col(out).cast("int"))
         if onehot:
-            enc = OneHotEncoder(inputCols=[out], outputCols=[f"{out}_onehot"], dropLast=False)
-            res = enc.fit(res).transform(res)
+            # as wide as the model has centres, whatever ids this frame holds
+            k = len(self.model.clusterCenters())
+            slots = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: (i == F.col(out)).cast("double"))
+            res = res.withColumn(f"{out}_onehot", array_to_vector(slots))
         return res
 
     @property
@@ -93,7 +94,7 @@ class KMeansFeature:
 
 
 def fit_kmeans_feature(df: DataFrame, features_col: str, k: int = KMEANS_K,
-                       starts: int = KMEANS_STARTS, seed: int = SEED, max_iter: int = 50,
+                       starts: int = KMEANS_STARTS, seed: int = SEED, max_iter: int = 300,
                        tol: float = 1e-4, split_col: str | None = "split",
                        fit_on: str = "train", parallel: int = 4) -> KMeansFeature:
     """Best of ``starts`` k-means fits (seeds seed..seed+starts-1) by within-cluster cost.

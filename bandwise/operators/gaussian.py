@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bandwise.functions.columns import inverse
 from bandwise.functions.constants import GAUSS_Z
-from bandwise.operators.params import attach, small_frame
+from bandwise.operators.params import attach, frozen
 
 
 @dataclass
@@ -35,7 +35,7 @@ def fit_group_gaussian(df: DataFrame, y: str = "y", by=(), split_col: str | None
         F.log(F.greatest(F.var_pop(y), F.lit(min_var))).alias("log_var"),
         F.count(y).alias("n_fit"),
     )
-    return GroupGaussian(small_frame(params), list(by))
+    return GroupGaussian(frozen(params), list(by))
 
 
 def nll(y: str = "y", mu: str = "mu", log_var: str = "log_var"):

@@ -100,7 +100,8 @@ class IsolationForest:
                         node[active] = np.where(go, left[node[active]], right[node[active]])
                         active = feat[node] >= 0
                     total += leaf_len[node]
-                pdf[out] = np.power(2.0, -(total / len(trees)) / denom)
+                # a forest on one row tells nothing apart: every score is 1
+                pdf[out] = np.power(2.0, -(total / len(trees)) / denom) if denom > 0 else np.ones(len(pdf))
                 yield pdf
 
         return df.mapInPandas(run, schema)

@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bandwise.session import ensure_checkpoint_dir
+
+
+#: Parameter rows that are held by the driver and broadcast; more are written and joined.
+BROADCAST_ROWS = 10_000
+
 
-def small_frame(df: DataFrame, limit: int = 10000) -> DataFrame:
-    """Fitted parameters as a local relation, computed once.
+def frozen(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Fitted parameters, evaluated once and fixed from then on, whatever their number.
 
-    At most ``limit`` rows are read to the driver; a larger result stays a
-    (lazy) DataFrame, so the size of what is pulled in is always checked.
+    They are written to the shared folder in one pass and read back; at most ``limit`` rows then
+    become a local relation, which needs no file any more.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/params-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    rows = kept.limit(limit + 1).collect()
+    return kept if len(rows) > limit else spark.createDataFrame(rows, df.schema)
 
 
 def attach(df: DataFrame, params: DataFrame, by=(), how: str = "left") -> DataFrame:
@@ -23,12 +33,14 @@ def attach(df: DataFrame, params: DataFrame, by=(), how: str = "left") -> DataFr
 
     Global parameters are one row: it is read to the driver (a few numbers)
     and becomes literals, so the row plan stays a single codegen stage.
-    Per-segment parameters stay a DataFrame and join on the segment keys;
-    the join strategy is left to AQE's runtime size check.
+    Per-segment parameters stay a DataFrame: up to ``BROADCAST_ROWS`` rows, counted here, are
+    broadcast, so rows aren't shuffled on a few segment keys; more join on the
+    keys, where AQE splits skewed ones.
     """
     by = list(by)
     if by:
-        return df.join(params, on=by, how=how)
+        few = how in ("left", "inner") and params.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        return df.join(F.broadcast(params) if few else params, on=by, how=how)
     rows = params.limit(2).collect()
     if len(rows) != 1:
         raise ValueError(f"global parameters must be one row, got {len(rows)}")

@@ -89,8 +89,21 @@ def test_zero_sigma_and_constant_target(spark):
     row = pred.first()
     assert row["mu"] == 5.0 and np.isfinite(row["log_var"])
     zero = spark.createDataFrame([(1, 1.0, 1.0, 0.0, "val")], "key int, y double, mu double, sigma double, split string")
-    # 0/0 score is null under ANSI, not an error
-    assert fit_conformal(zero).params.count() == 0
+    assert fit_conformal(zero).params.first()["q_hat"] == 0.0       # an exact hit at sigma 0 scores 0
+    bad = [(i, float(i), 0.0, 1.0, "val") for i in range(5)] + [(9, 100.0, 0.0, 0.0, "val")] * 5
+    far = fit_conformal(spark.createDataFrame(bad, zero.schema))
+    assert far.params.first()["q_hat"] == float("inf") and far.params.first()["n_cal"] == 10
+    assert far.transform(zero).first()["cp_lower"] == float("-inf")
+    exact = spark.createDataFrame([(1, 1.0, 1.0, 0.0, "val")], "key int, y double, mu double, log_var double, split string")
+    assert np.isfinite(fit_temperature(exact).params.first()["bias"])
+
+
+def test_rows_without_bounds_are_missed(spark):
+    df = spark.createDataFrame([(1, 1.0, 0.0, 2.0), (2, 1.0, None, None), (3, 9.0, 0.0, 2.0)],
+                               "key int, y double, lower double, upper double")
+    got = coverage_verdict(df).first()
+    assert got["n"] == 3 and got["coverage"] == pytest.approx(1 / 3)
+    assert report_card(df).first()["coverage"] == pytest.approx(1 / 3)
 
 
 def test_crossed_bounds_and_repair(spark):

@@ -6,19 +6,26 @@ from pyspark.sql import functions as F
 from bandwise.functions.columns import forward, split_label
 from bandwise.operators.calibration import fit_conformal, fit_temperature
 from bandwise.operators.gaussian import fit_group_gaussian
-from bandwise.operators.params import attach, small_frame
+from bandwise.operators.params import attach, frozen
 from bandwise.session import spread
 from bandwise.sources.fixtures import events_frame
 from bandwise.streaming import score_stream
 from tests.conftest import SMOKE
 
 
-def test_small_frame_size_check(spark):
-    small = spark.range(5).withColumn("v", F.col("id") * 2)
-    local = small_frame(small, limit=10)
-    assert local.collect() == small.collect()
-    big = spark.range(50)
-    assert small_frame(big, limit=10) is big            # too many rows: stays lazy
+@pytest.mark.parametrize("limit", [10, 100_000])
+def test_parameters_stay_fixed_at_any_size(spark, tmp_path, limit):
+    src = str(tmp_path / "src")
+    spark.range(50).withColumn("v", F.col("id") * 2).write.parquet(src)
+    kept = frozen(spark.read.parquet(src), limit=limit)
+    spark.range(50).withColumn("v", F.col("id") * 3).write.mode("overwrite").parquet(src)
+    assert {r.id: r.v for r in kept.collect()} == {i: 2 * i for i in range(50)}
+
+
+def test_segment_parameters_are_broadcast(spark):
+    rows = spark.range(100).withColumn("g", F.col("id") % 3)
+    out = attach(rows, spark.createDataFrame([(i, float(i)) for i in range(3)], "g long, p double"), ["g"])
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_attach_global_needs_one_row(spark):
