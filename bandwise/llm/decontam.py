@@ -40,7 +40,7 @@ class Canonical:
     """Canonical codes of words, with a bounded memo: code, code within a sentence, ends a
     sentence, filler."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 800_000):
         self.limit = limit
         self.at: dict[str, int] = {}
         self.fill: list[str] = []
@@ -53,7 +53,7 @@ class Canonical:
         if row == len(self.code):
             self.code, self.name, self.ends = (np.concatenate((x, np.zeros_like(x)))
                                                for x in (self.code, self.name, self.ends))
-        bare = _EDGES.sub("", word)
+        bare = word if word.isalpha() else _EDGES.sub("", word)
         low = bare.lower()
         self.ends[row] = word.rstrip("\"')]»”’")[-1:] in _STOPS
         code = name = 0
