@@ -3,10 +3,10 @@
 A byte goes if it lies in a string of ``length`` bytes that also starts in a document with a
 smaller id. The work is dealt so that equal strings meet without shipping every suffix:
 
-1. Each string has an anchor, the least of its k-mers by hash: equal strings have equal anchors. Anchors
-   that one step of a task finds in several documents are known to be shared; of each other hash
-   the step sends one record to a bucket, so no hash has more records than there are steps.
-2. The bytes around shared anchors (all strings that one anchor stands for) go to shards by
+1. Of equal texts only the one of the smallest id takes part; the others go whole.
+2. Each string has an anchor, the least of its k-mers by hash: equal strings have equal anchors. Blocks of
+   texts send each hash once, as 32 bits, to its bucket, which tells them the hashes that several blocks
+   hold. The bytes around shared anchors (all strings that one anchor stands for) go to shards by
    anchor hash; of equal contexts in a step only that of the smallest id goes, the
    others are repeats already.
 3. A shard builds the suffix array of its contexts by Larsson-Sadakane refinement and the common prefixes
@@ -23,16 +23,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.llm.common import text_chunks
 from bandwise.llm.shingles import _BASE, _DOWN, _UP, _VALUE, mix
 
-KMER = 16
+KMER = 24
 #: Bytes of text in a step of a task (positions must fit beside a hash in 64 bits).
 STEP = 1 << 20
 _POSITION_BITS = np.uint64(21)
+#: Bytes of text in a block of anchor records, which has at most 65,536 texts.
+BLOCK = 16 << 20
 #: Bytes of contexts in a shard.
 SHARD = 1 << 20
 
@@ -97,80 +100,100 @@ def steps(chunk: pa.RecordBatch, length: int):
         yield done()
 
 
-def _records(length: int, buckets: int):
-    schema = ["bucket", "hashes", "docs", "doc_at", "places"]
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """The 32 bits that stand for an anchor hash within its bucket. Two hashes that share them cost a
+    needless context, no more: strings are compared whole."""
+    return (hashes >> np.uint64(32)).astype("<u4")
+
 
-    def pack(bucket, h, d, t, p):
-        names, at = np.unique(np.stack((d, t), 1), axis=0, return_inverse=True)
-        return (bucket, h.astype("<u8").tobytes(), names.astype("<i8").tobytes(), at.astype("<u4").tobytes(),
-                p.astype("<i8").tobytes())
+def _records(length: int, buckets: int):
+    schema = ["bucket", "block", "hashes", "rows", "told", "docs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Anchor hashes of blocks of about BLOCK bytes of text, one record a block and bucket."""
+        task, blocks = TaskContext.get().partitionId(), 0
+        hashes, at_row, names, size = [], [], [], 0
+
+        def done():
+            nonlocal blocks, size
+            block = (task << 32) + blocks
+            h, row, docs = np.concatenate(hashes), np.concatenate(at_row), np.array(names, "<i8")
+            tag = docs[row, 1]
+            order = np.lexsort((docs[row, 0], tag, h))  # of equal texts the smallest id is told
+            hs, ts = h[order], tag[order]
+            head = np.concatenate(([True], hs[1:] != hs[:-1]))
+            firsts = np.flatnonzero(head)
+            several = ts[firsts] != ts[np.concatenate((firsts[1:], [len(hs)])) - 1]
+            known = np.zeros(len(h), bool)  # shared already: no bucket need say so
+            known[order] = several[np.cumsum(head) - 1]
+            out = [(-1 - block % buckets, block, _short(h[known]).tobytes(), row[known].tobytes(), b"", docs.tobytes())]
+            send, told = order[firsts], several
+            lane = (h[send] % np.uint64(buckets)).astype(np.int64)
+            by = np.lexsort((send, lane))
+            send, told, lane = send[by], told[by], lane[by]
+            cuts = np.flatnonzero(np.concatenate(([True], np.diff(lane) != 0, [True])))
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                gaps = np.diff(row[send[a:b]], prepend=np.uint16(0)).astype("<u2")
+                out.append((int(lane[a]), block, _short(h[send[a:b]]).tobytes(), gaps.tobytes(),
+                            told[a:b].astype(np.uint8).tobytes(), None))
+            blocks, size = blocks + 1, 0
+            for kept in (hashes, at_row, names):
+                kept.clear()
+            kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], schema)
+
         for chunk in text_chunks(batches, 2, STEP):
-            ids, tags = np.asarray(chunk.column(0)), np.asarray(chunk.column(1))
-            for data, breaks, rows, starts, offsets in steps(chunk, length):
+            ids, tags = chunk.column(0).to_pylist(), chunk.column(1).to_pylist()
+            for data, breaks, rows, starts, _ in steps(chunk, length):
+                if hashes and (size + len(data) > BLOCK or len(names) + len(rows) > 1 << 16):
+                    yield done()
                 at, h, _, _ = anchors(data, breaks, length)
                 if not len(at):
                     continue
-                piece = np.searchsorted(starts, at, "right") - 1
-                doc, tag = ids[rows[piece]], tags[rows[piece]]
-                place = at - starts[piece] + offsets[piece]
-                order = np.lexsort((doc, h))
-                hs, ds = h[order], doc[order]
-                head = np.concatenate(([True], hs[1:] != hs[:-1]))
-                group = np.cumsum(head) - 1
-                firsts = np.flatnonzero(head)
-                lasts = np.concatenate((firsts[1:], [len(hs)])) - 1
-                several = ds[firsts] != ds[lasts]
-                known = np.zeros(len(h), bool)
-                known[order] = several[group]
-                out = []
-                if known.any():  # shared already: passed on by a bucket below zero
-                    out.append(pack(-1 - int(doc[0]) % buckets, h[known], doc[known], tag[known], place[known]))
-                # one record a hash and step; a place below zero asks for no answer
-                send = order[firsts]
-                where = np.where(several, -1, place[send])
-                lane = (h[send] % np.uint64(buckets)).astype(np.int64)
-                by = np.argsort(lane, kind="stable")
-                cuts = np.flatnonzero(np.concatenate(([True], np.diff(lane[by]) != 0, [True])))
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    pick = send[np.sort(by[a:b])]
-                    out.append(pack(int(lane[by[a]]), h[pick], doc[pick], tag[pick], where[np.sort(by[a:b])]))
-                # a hash that one document alone repeats needs an answer for each of its places
-                extra = np.ones(len(h), bool)
-                extra[send] = False
-                extra &= ~known
-                if extra.any():
-                    lane = (h[extra] % np.uint64(buckets)).astype(np.int64)
-                    for one in np.unique(lane):
-                        x = np.flatnonzero(extra)[lane == one]
-                        out.append(pack(int(one), h[x], doc[x], tag[x], place[x]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[0] for o in out], pa.int64()), *[pa.array([o[i] for o in out], pa.binary())
-                                                                  for i in range(1, 5)]], schema)
+                at_row.append((np.searchsorted(starts, at, "right") - 1 + len(names)).astype("<u2"))
+                hashes.append(h)
+                names += [(ids[r], tags[r]) for r in rows.tolist()]
+                size += len(data)
+        if hashes:
+            yield done()
     return run
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Places of a bucket's anchors whose hash several documents have."""
+    """Of a bucket: the hashes that several blocks hold, told to each of these blocks."""
+    if table["bucket"][0].as_py() < 0:
+        return table.select(["block", "hashes", "rows", "docs"])
     read = lambda c, kind: [np.frombuffer(x, kind) for x in table[c].to_pylist()]
-    h, place = np.concatenate(read("hashes", "<u8")), np.concatenate(read("places", "<i8"))
-    named = np.concatenate([d.reshape(-1, 2)[at] for d, at in zip(read("docs", "<i8"), read("doc_at", "<u4"))])
-    doc, tag = named[:, 0], named[:, 1]
-    if table.num_rows and table["bucket"][0].as_py() < 0:
-        keep = np.ones(len(h), bool)
-    else:
-        order = np.lexsort((doc, h))
-        hs, ds = h[order], doc[order]
-        head = np.concatenate(([True], hs[1:] != hs[:-1]))
-        firsts = np.flatnonzero(head)
-        lasts = np.concatenate((firsts[1:], [len(hs)])) - 1
-        told = place[order] < 0
-        several = (ds[firsts] != ds[lasts]) | np.logical_or.reduceat(told, firsts)
-        keep = np.zeros(len(h), bool)
-        keep[order] = several[np.cumsum(head) - 1]
-        keep &= place >= 0
-    return pa.table({"doc_id": doc[keep], "tag": tag[keep], "place": place[keep]})
+    parts = read("hashes", "<u4")
+    sizes = [len(x) for x in parts]
+    h, told = np.concatenate(parts), np.concatenate(read("told", np.uint8))
+    row = np.concatenate([np.cumsum(x, dtype="<u2") for x in read("rows", "<u2")])
+    order = np.argsort(h, kind="stable")
+    head = np.concatenate(([True], np.diff(h[order]) != 0))
+    firsts = np.flatnonzero(head)
+    several = (np.diff(np.concatenate((firsts, [len(h)]))) > 1) | (np.maximum.reduceat(told[order], firsts) > 0)
+    keep = np.zeros(len(h), bool)
+    keep[order] = several[np.cumsum(head) - 1]
+    keep &= told == 0  # the block has passed on the others itself
+    out, end = [], np.cumsum(sizes)
+    for block, a, b in zip(table["block"].to_pylist(), (end - sizes).tolist(), end.tolist()):
+        if keep[a:b].any():
+            out.append((block, h[a:b][keep[a:b]].tobytes(), row[a:b][keep[a:b]].tobytes(), None))
+    kinds = [("block", pa.int64()), ("hashes", pa.binary()), ("rows", pa.binary()), ("docs", pa.binary())]
+    return pa.table([pa.array([o[i] for o in out], k) for i, (_, k) in enumerate(kinds)], schema=pa.schema(kinds))
+
+
+def _by_text(table: pa.Table) -> pa.Table:
+    """Shared hashes of each text of a block."""
+    docs = np.concatenate([np.frombuffer(x, "<i8") for x in table["docs"].to_pylist() if x is not None]).reshape(-1, 2)
+    h = np.concatenate([np.frombuffer(x, "<u4") for x in table["hashes"].to_pylist()])
+    row = np.concatenate([np.frombuffer(x, "<u2") for x in table["rows"].to_pylist()])
+    order = np.argsort(row, kind="stable")
+    h, cuts = h[order], np.searchsorted(row[order], np.arange(len(docs) + 1))
+    some = np.flatnonzero(np.diff(cuts))
+    return pa.table([pa.array(docs[some, 0], pa.int64()), pa.array(docs[some, 1], pa.int64()),
+                     pa.array([np.unique(h[cuts[i]:cuts[i + 1]]).tobytes() for i in some.tolist()], pa.binary())],
+                    names=["doc_id", "tag", "hashes"])
 
 
 # ---- contexts ------------------------------------------------------------------------------
@@ -182,19 +205,16 @@ def _contexts(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Contexts of shared anchors (stop null), and intervals that repeat within the step (context null)."""
         for chunk in text_chunks(batches, 2, STEP):
-            ids, tags, places = np.asarray(chunk.column(0)), np.asarray(chunk.column(1)), chunk.column(3).to_pylist()
+            ids, tags = np.asarray(chunk.column(0)), np.asarray(chunk.column(1))
+            shared = [np.frombuffer(b"".join(x), "<u4") for x in chunk.column(3).to_pylist()]
             for data, breaks, rows, starts, offsets in steps(chunk, length):
                 at, h, first, last = anchors(data, breaks, length)
                 if not len(at):
                     continue
                 piece = np.searchsorted(starts, at, "right") - 1
                 shift = offsets[piece] - starts[piece]
-                keep = np.zeros(len(at), bool)
-                for p in range(len(rows)):
-                    mine = places[rows[p]]
-                    if mine:
-                        lo, hi = np.searchsorted(piece, [p, p + 1])
-                        keep[lo:hi] = np.isin(at[lo:hi] + shift[lo:hi], mine)
+                short, cuts = _short(h), np.searchsorted(piece, np.arange(len(rows) + 1))
+                keep = np.concatenate([np.isin(short[lo:hi], shared[r]) for r, lo, hi in zip(rows, cuts[:-1], cuts[1:])])
                 raw, seen, out = data.tobytes(), {}, []
                 pick = np.flatnonzero(keep)
                 pick = pick[np.argsort(ids[rows[piece[pick]]], kind="stable")]
@@ -389,28 +409,32 @@ def _shards(length: int):
 
 # ---- the whole -----------------------------------------------------------------------------
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in text_chunks(batches, 1):
-        out = []
-        for doc, raw, found in zip(*(c.to_pylist() for c in chunk.columns)):
-            raw, spans = raw or b"", []
-            for r in sorted((r["start"], r["stop"]) for r in found or []):
-                if spans and r[0] <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], r[1])
-                else:
-                    spans.append(list(r))
-            kept, at = [], 0
-            for a, b in spans:
-                kept.append(raw[at:a])
-                at = b
-            kept.append(raw[at:])
-            kept = b"".join(kept)
-            out.append((doc, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(),
-                                                            pa.string(), pa.binary()))],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+def _cut(length: int):
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in text_chunks(batches, 1):
+            out = []
+            for doc, raw, found, first in zip(*(c.to_pylist() for c in chunk.columns)):
+                spans = []
+                for r in sorted((r["start"], r["stop"]) for r in found or []):
+                    if spans and r[0] <= spans[-1][1]:
+                        spans[-1][1] = max(spans[-1][1], r[1])
+                    else:
+                        spans.append(list(r))
+                if not first and doc is not None and len(raw) >= length:
+                    spans = [[0, len(raw)]]  # a text that a smaller id has as well
+                kept, at = [], 0
+                for a, b in spans:
+                    kept.append(raw[at:a])
+                    at = b
+                kept.append(raw[at:])
+                kept = b"".join(kept)
+                out.append((doc, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+    return run
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
@@ -425,21 +449,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("raw"))
-    slim = slim.select("doc_id", F.xxhash64("raw").alias("tag"), "raw")
     total = slim.agg(F.sum(F.length("raw"))).first()[0] or 0
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(least, total // (128 << 20))
-    records = slim.where("doc_id is not null").mapInArrow(
-        _records(length, buckets), "bucket long, hashes binary, docs binary, doc_at binary, places binary")
-    shared = records.groupBy("bucket").applyInArrow(_shared, "doc_id long, tag long, place long")
-    places = shared.groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (128 << 20))
+    # the texts are shuffled once: both joins below read this same exchange
+    texts = slim.where("doc_id is not null").select("doc_id", F.xxhash64("raw").alias("tag"), "raw")
+    firsts = texts.where(F.length("raw") >= length).groupBy(
+        "tag", F.xxhash64(F.lit(1), "raw").alias("tag2")).agg(F.min("doc_id").alias("doc_id")).select(
+        "doc_id", "tag", F.lit(True).alias("first"))
+    records = texts.mapInArrow(_records(length, buckets), "bucket long, block long, hashes binary, rows binary, "
+                               "told binary, docs binary")
+    shared = records.groupBy("bucket").applyInArrow(
+        _shared, "block long, hashes binary, rows binary, docs binary").groupBy("block").applyInArrow(
+        _by_text, "doc_id long, tag long, hashes binary")
+    marked = shared.unionByName(firsts, allowMissingColumns=True).groupBy("doc_id", "tag").agg(
+        F.collect_list("hashes").alias("hashes"), F.max("first").alias("first")).where(
+        F.col("first") & (F.size("hashes") > 0)).select("doc_id", "tag", "hashes")
     run, kind = _contexts(length)
-    pieces = slim.join(places, ["doc_id", "tag"], "left").where("places is not null").select(
-        "doc_id", "tag", "raw", "places").mapInArrow(run, kind)
+    pieces = texts.join(marked, ["doc_id", "tag"]).select("doc_id", "tag", "raw", "hashes").mapInArrow(run, kind)
     # intervals without an anchor travel by document, so that they don't meet in one task
     route = F.coalesce("anchor", F.xxhash64("doc_id"))
     found = pieces.withColumn("route", route).repartition("route").sortWithinPartitions("anchor", "doc_id").drop(
         "route").mapInArrow(_shards(length), "doc_id long, tag long, start long, stop long")
-    spans = found.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "stop")).alias("found"))
-    return slim.join(spans, ["doc_id", "tag"], "left").select("doc_id", "raw", "found").mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    spans = found.select("doc_id", "tag", F.struct("start", "stop").alias("span")).unionByName(
+        firsts, allowMissingColumns=True).groupBy("doc_id", "tag").agg(
+        F.collect_set("span").alias("found"), F.max("first").alias("first"))
+    named = texts.join(spans, ["doc_id", "tag"], "left").select("doc_id", "raw", "found", "first")
+    unnamed = slim.where("doc_id is null").select("doc_id", "raw", F.lit(None).cast(named.schema["found"].dataType).alias(
+        "found"), F.lit(True).alias("first"))
+    return named.unionByName(unnamed).mapInArrow(
+        _cut(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
