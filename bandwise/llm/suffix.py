@@ -448,13 +448,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"length must be above {KMER} and at most 120")
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("raw"))
+    slim = docs.select(F.col(id_col).cast("long").alias("row_id"), text.alias("raw"))
     total = slim.agg(F.sum(F.length("raw"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (128 << 20))
-    # the texts are shuffled once: both joins below read this same exchange
-    texts = slim.where("doc_id is not null").select("doc_id", F.xxhash64("raw").alias("tag"), "raw")
+    # the texts are shuffled once: both joins below read this same exchange (a column renamed for sure on
+    # both sides: a redundant alias goes on one side only, and the exchanges would differ)
+    texts = slim.where("row_id is not null").select("row_id", F.xxhash64("raw").alias("tag"), "raw")
     firsts = texts.where(F.length("raw") >= length).groupBy(
-        "tag", F.xxhash64(F.lit(1), "raw").alias("tag2")).agg(F.min("doc_id").alias("doc_id")).select(
+        "tag", F.xxhash64(F.lit(1), "raw").alias("tag2")).agg(F.min("row_id").alias("doc_id")).select(
         "doc_id", "tag", F.lit(True).alias("first"))
     records = texts.mapInArrow(_records(length, buckets), "bucket long, block long, hashes binary, rows binary, "
                                "told binary, docs binary")
@@ -463,18 +464,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _by_text, "doc_id long, tag long, hashes binary")
     marked = shared.unionByName(firsts, allowMissingColumns=True).groupBy("doc_id", "tag").agg(
         F.collect_list("hashes").alias("hashes"), F.max("first").alias("first")).where(
-        F.col("first") & (F.size("hashes") > 0)).select("doc_id", "tag", "hashes")
+        F.col("first") & (F.size("hashes") > 0)).select(F.col("doc_id").alias("row_id"), "tag", "hashes")
     run, kind = _contexts(length)
-    pieces = texts.join(marked, ["doc_id", "tag"]).select("doc_id", "tag", "raw", "hashes").mapInArrow(run, kind)
+    pieces = texts.join(marked, ["row_id", "tag"]).select("row_id", "tag", "raw", "hashes").mapInArrow(run, kind)
     # intervals without an anchor travel by document, so that they don't meet in one task
     route = F.coalesce("anchor", F.xxhash64("doc_id"))
     found = pieces.withColumn("route", route).repartition("route").sortWithinPartitions("anchor", "doc_id").drop(
         "route").mapInArrow(_shards(length), "doc_id long, tag long, start long, stop long")
     spans = found.select("doc_id", "tag", F.struct("start", "stop").alias("span")).unionByName(
         firsts, allowMissingColumns=True).groupBy("doc_id", "tag").agg(
-        F.collect_set("span").alias("found"), F.max("first").alias("first"))
-    named = texts.join(spans, ["doc_id", "tag"], "left").select("doc_id", "raw", "found", "first")
-    unnamed = slim.where("doc_id is null").select("doc_id", "raw", F.lit(None).cast(named.schema["found"].dataType).alias(
+        F.collect_set("span").alias("found"), F.max("first").alias("first")).withColumnRenamed("doc_id", "row_id")
+    named = texts.join(spans, ["row_id", "tag"], "left").select("row_id", "raw", "found", "first")
+    unnamed = slim.where("row_id is null").select("row_id", "raw", F.lit(None).cast(named.schema["found"].dataType).alias(
         "found"), F.lit(True).alias("first"))
     return named.unionByName(unnamed).mapInArrow(
         _cut(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
