@@ -252,24 +252,27 @@ def suffix_array(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     heads = np.concatenate(([True], np.diff(key[order]) != 0))
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(heads, position, 0))
-    h, longest = 7, int((ends - position).max(initial=0))
+    h, longest, wide = 7, int((ends - position).max(initial=0)), np.int64(n + 1)
+    open_ = position
     while h < longest:
-        sizes = np.diff(np.concatenate((np.flatnonzero(heads), [n])))
-        open_ = np.flatnonzero(np.repeat(sizes > 1, sizes))
+        starts = np.flatnonzero(heads[open_])  # of groups; those of one suffix are done
+        sizes = np.diff(np.concatenate((starts, [len(open_)])))
+        open_ = open_[np.repeat(sizes > 1, sizes)]
         if not len(open_):
             break
         these = order[open_]
-        ahead = np.where(these + h < ends[these], rank[np.minimum(these + h, n - 1)], -1)
-        by = np.lexsort((these, ahead, rank[these]))
-        order[open_], ahead = these[by], ahead[by]
-        heads[open_] = np.concatenate(([True], (np.diff(rank[these[by]]) != 0) | (np.diff(ahead) != 0)))
-        rank[order] = np.maximum.accumulate(np.where(heads, position, 0))
+        far = these + h
+        key = rank[these] * wide + np.where(far < ends[these], rank[np.minimum(far, n - 1)] + 1, 0)
+        by = np.argsort(key, kind="stable")  # ties stay in text order
+        order[open_], key = these[by], key[by]
+        heads[open_] = np.concatenate(([True], np.diff(key) != 0))
+        rank[order[open_]] = np.maximum.accumulate(np.where(heads[open_], open_, 0))
         h *= 2
     return order
 
 
 def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray, cap: int,
-                    lanes: int = 2048) -> np.ndarray:
+                    lanes: int = 8192) -> np.ndarray:
     """Common prefix, up to ``cap``, of each suffix in order with the one before it.
 
     Kasai: in text order a prefix is at most one byte shorter than the last one. The texts are cut into
