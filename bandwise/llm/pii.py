@@ -216,8 +216,9 @@ def _mentions(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
-#: Cheap sign that a text may hold an entity: a digit pair, an at sign or a title.
-_SIGN = r"\d\d|@|[0-9a-f]{32}|" + _TITLED
+#: Cheap sign that a text may hold an entity. Every match of ``PATTERNS`` holds one: a digit pair, two
+#: digits about a dot (addresses of single digits), an at sign, the beginning of a key or a title.
+_SIGN = r"\d\d|\d\.\d|@|AKIA|[0-9a-f]{32}|" + _TITLED
 
 
 def resolve(entities: DataFrame, key: str) -> DataFrame:
