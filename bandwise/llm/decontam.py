@@ -6,6 +6,9 @@ windows of documents that may be a benchmark window (by a fixed-size bit table)
 joined with the benchmark's on the hash. Within a document, an item and an alignment, the
 placeholders' fillers must map one to one between the item and the document: then a question with other
 numbers or names is still that question, while a chance overlap of phrases is not.
+
+A capitalised word that begins a text or a sentence may be a word or a name: windows are hashed in both
+readings. Scripts written without spaces are cut into characters.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.llm.common import text_chunks, written
-from bandwise.llm.shingles import windows
+from bandwise.llm.shingles import _UP, mix
 
 #: Unit words and signs that stand for a unit of measure.
 UNITS = frozenset((
@@ -31,7 +34,12 @@ UNITS = frozenset((
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"^\d[\d.,:/]*[a-z]{0,2}$")
 NUMBER, UNIT, NAME = 1, 2, 3
-_STOPS = frozenset(".!?:")
+_STOPS = frozenset(".!?:。！？：")
+#: Characters of scripts without spaces between words: Thai, Lao, Burmese, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+                       "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+#: Readings that one vectorised step makes at most.
+_STEP = 1 << 20
 #: Bits of the table that tells windows which can't be a benchmark window (8 MB, whatever the benchmark's size).
 TABLE_BITS = 26
 
@@ -70,15 +78,21 @@ class Canonical:
         self.code[row], self.name[row] = code, name
         return row
 
-    def codes(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of a text's words (a capitalised word that doesn't begin a sentence is a name), and
-        their memo rows; words without a letter, digit or unit sign are left out."""
+    def trim(self) -> None:
+        """Forget all words if there are too many; rows given before are void then."""
         if len(self.fill) > self.limit:
             self.at.clear()
             self.fill.clear()
+
+    def codes(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of a text's words (a capitalised word that doesn't begin a sentence is a name), their
+        memo rows, and which may be names as well: capitalised words that begin the text or a sentence.
+        Words without a letter, digit or unit sign are left out."""
+        if text and not text.isascii() and _UNSPACED.search(text):
+            text = _UNSPACED.sub(r" \g<0> ", text)
         parts, at = text.split() if text else [], self.at
         if not parts:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
         found = list(map(at.get, parts))
         if None in found:
             for i, row in enumerate(found):
@@ -87,30 +101,76 @@ class Canonical:
                     found[i] = self._learn(parts[i]) if row is None else row
         rows = np.array(found)
         begins = np.concatenate(([True], self.ends[rows[:-1]]))
-        out = np.where(begins, self.code[rows], self.name[rows])
+        word, name = self.code[rows], self.name[rows]
+        out = np.where(begins, word, name)
         some = out != 0
-        return out[some], rows[some]
+        return out[some], rows[some], (begins & (word != name))[some]
+
+
+def _readings(codes: np.ndarray, maybe: np.ndarray, n: int, text: np.ndarray | None = None) -> Iterator[
+        tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(place, hash, names) of all readings of the windows of n words; the bits of ``names`` tell which
+    of the window's words that may be names are read as such. The sum under a reading's hash is
+    that of the first reading with a name's code in the word's place. ``text`` numbers the texts that
+    the words are of: no window spans two."""
+    m = len(codes) - n + 1
+    if m < 1:
+        return
+    total = np.zeros(m, np.uint64)
+    for i in range(n):
+        total = total * _UP[1] + codes[i:i + m]
+    within = np.ones(m, bool) if text is None else text[:m] == text[n - 1:]
+    whole = np.flatnonzero(within)
+    yield whole, mix(total[whole] + np.uint64(n)), np.zeros(len(whole), np.int64)
+    places = np.flatnonzero(maybe)
+    if not len(places):
+        return
+    before = np.concatenate(([0], np.cumsum(maybe)))
+    first, count = before[:m], (before[n:] - before[:m]) * within
+    change = np.uint64(NAME) - codes[places]
+    for k in range(1, int(count.max()) + 1):
+        same, step = np.flatnonzero(count == k), max(_STEP >> k, 1)
+        for start in range(0, len(same), step):
+            at = same[start:start + step]
+            read = total[at][None, :]
+            for j in range(k):
+                word = first[at] + j
+                read = np.concatenate((read, read + change[word] * _UP[n - 1 - (places[word] - at)]))
+            yield (np.tile(at, len(read) - 1), mix(read[1:].ravel() + np.uint64(n)),
+                   np.repeat(np.arange(1, len(read)), len(at)))
 
 
-def _fillers(canon: Canonical, codes: np.ndarray, rows, at: int, n: int) -> list[str]:
-    return [canon.fill[rows[i]] for i in range(at, at + n) if codes[i] in (NUMBER, UNIT, NAME)]
+def _fillers(canon: Canonical, codes: np.ndarray, rows, maybe, at: int, n: int, names: int) -> tuple[list[str], list[bool]]:
+    """Fillers of a reading's placeholders, and which of them are words read as names."""
+    fill, begin = [], []
+    for i in range(at, at + n):
+        if maybe[i]:
+            if names & 1:
+                fill.append(canon.fill[rows[i]])
+                begin.append(True)
+            names >>= 1
+        elif codes[i] in (NUMBER, UNIT, NAME):
+            fill.append(canon.fill[rows[i]])
+            begin.append(False)
+    return fill, begin
 
 
-def _item_windows(window: int, shortest: int):
+def _item_windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canon, out = Canonical(), []
         for b in batches:
             for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                codes, rows = canon.codes(text)
+                canon.trim()
+                codes, rows, maybe = canon.codes(text)
                 n = min(window, len(codes))
-                if n >= shortest:
-                    for at, h in enumerate(windows(codes, n).view(np.int64).tolist()):
-                        out.append((item, n, h, at, len(codes) - n + 1, _fillers(canon, codes, rows, at, n)))
+                for ats, hashes, names in _readings(codes, maybe, n) if n else ():
+                    for at, h, name in zip(ats.tolist(), hashes.view(np.int64).tolist(), names.tolist()):
+                        out.append((item, n, h, at, len(codes) - n + 1, *_fillers(canon, codes, rows, maybe, at, n, name)))
         if out:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
-                                                            pa.list_(pa.string())))],
-                ["item_id", "width", "hash", "item_at", "item_windows", "item_fill"])
+                                                            pa.list_(pa.string()), pa.list_(pa.bool_())))],
+                ["item_id", "width", "hash", "item_at", "item_windows", "item_fill", "item_begin"])
     return run
 
 
@@ -124,19 +184,24 @@ def _doc_windows(shared):
         table, widths = shared.value
         table = np.frombuffer(table, np.uint8)
         for chunk in text_chunks(batches):
-            out = []
-            for doc, text in zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist()):
-                codes, rows = canon.codes(text)
-                for n in widths:
-                    h = windows(codes, n) if len(codes) >= n else codes[:0]
-                    bit = _bits(h)
-                    for at in np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).tolist():
-                        out.append((doc, n, int(h[at].view(np.int64)), at, _fillers(canon, codes, rows, at, n)))
+            out, docs = [], chunk.column(0).to_pylist()
+            canon.trim()
+            got = [canon.codes(text) for text in chunk.column(1).to_pylist()]
+            sizes = np.array([len(codes) for codes, _, _ in got])
+            starts, text = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(got)), sizes)
+            codes, rows, maybe = (np.concatenate(x) for x in zip(*got))
+            for n in widths:
+                for ats, hashes, names in _readings(codes, maybe, n, text):
+                    bit = _bits(hashes)
+                    for i in np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).tolist():
+                        at = int(ats[i])
+                        out.append((docs[text[at]], n, int(hashes[i].view(np.int64)), at - int(starts[text[at]]),
+                                    *_fillers(canon, codes, rows, maybe, at, n, int(names[i]))))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(),
-                                                                pa.list_(pa.string())))],
-                    ["doc_id", "width", "hash", "doc_at", "doc_fill"])
+                                                                pa.list_(pa.string()), pa.list_(pa.bool_())))],
+                    ["doc_id", "width", "hash", "doc_at", "doc_fill", "doc_begin"])
     return run
 
 
@@ -156,28 +221,43 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """doc_id, item_id, n_windows, coverage, n_slots, reparameterised: documents that hold an item.
 
     A document holds an item if windows with consistent slots cover ``least`` of the item's windows.
-    An item of fewer than ``window`` canonical words is one window of its own length; items under ``shortest``
-    words say too little and are left out. ``reparameterised``: some filler differs. Null and empty texts
-    hold nothing; rows with null ids are left out, repeated rows count once, repeated items count by id; an empty table on either
+    An item of fewer than ``window`` canonical words is one window of its own length, in which a word that begins
+    a sentence must be the same; one of fewer than ``shortest`` must be there word for word, numbers, names and units
+    included. Words that begin a sentence and differ are slots like names if the slots of all windows are
+    consistent with them; else the windows without them decide. ``reparameterised``: some filler differs. Null and
+    empty texts, and those without a letter, digit or unit sign, hold nothing; rows with null ids are left out, repeated rows count once, repeated items count by id; an empty table on either
     side gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = written(items.where("item_id is not null and text is not null").mapInArrow(
-        _item_windows(window, shortest), "item_id long, width int, hash long, item_at long, item_windows long, "
-        "item_fill array<string>"), "benchmark-windows")
-    widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # shortest to window
+        _item_windows(window), "item_id long, width int, hash long, item_at long, item_windows long, "
+        "item_fill array<string>, item_begin array<boolean>"), "benchmark-windows")
+    widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # 1 to window
     shared = spark.sparkContext.broadcast((_bit_table(items), widths))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = written(slim.where("doc_id is not null and text is not null").mapInArrow(
-        _doc_windows(shared), "doc_id long, width int, hash long, doc_at long, doc_fill array<string>"), "windows")
+        _doc_windows(shared), "doc_id long, width int, hash long, doc_at long, doc_fill array<string>, doc_begin array<boolean>"), "windows")
     hits = found.join(items, ["hash", "width"]).where(F.size("doc_fill") == F.size("item_fill"))
-    pairs = F.arrays_zip("item_fill", "doc_fill")
+    told = F.arrays_zip("item_fill", "doc_fill", "item_begin", "doc_begin")
+    begins, differs = lambda p: p["item_begin"] | p["doc_begin"], lambda p: p["item_fill"] != p["doc_fill"]
+    pairs = F.transform(F.filter(told, lambda p: ~begins(p) | differs(p)), lambda p: F.struct(
+        p["item_fill"].alias("item_fill"), p["doc_fill"].alias("doc_fill")))
+    hits = hits.select("doc_id", "item_id", "item_windows", "item_at", (F.col("doc_at") - F.col("item_at")).alias("shift"),
+                       pairs.alias("pairs"), F.exists(told, lambda p: begins(p) & differs(p)).alias("loose"),
+                       F.when(F.col("width") < shortest, ~F.exists(told, differs)).otherwise(True).alias("exact"),
+                       "width").where("exact").where(~F.col("loose") | (F.col("width") == window))
     # one alignment of a document with an item: its windows, and the fillers they pair
-    lines = hits.groupBy("doc_id", "item_id", "item_windows", (F.col("doc_at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    of = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
-    lines = lines.where((of("item_fill") == F.size("pairs")) & (of("doc_fill") == F.size("pairs")))
+    distinct = lambda c: F.array_distinct(F.flatten(F.collect_set(c)))
+    strict = lambda c: F.when(~F.col("loose"), F.col(c))
+    lines = hits.groupBy("doc_id", "item_id", "item_windows", "shift").agg(
+        F.struct(F.collect_set("item_at").alias("at"), distinct("pairs").alias("pairs")).alias("all"),
+        F.struct(F.collect_set(strict("item_at")).alias("at"), distinct(strict("pairs")).alias("pairs")).alias("strict"))
+    size = lambda pairs, side: F.size(F.array_distinct(F.transform(pairs, lambda p: p[side])))
+    fits = lambda pairs: (size(pairs, "item_fill") == F.size(pairs)) & (size(pairs, "doc_fill") == F.size(pairs))
+    lines = lines.withColumn("line", F.when(fits(F.col("all.pairs")), F.col("all")).when(
+        fits(F.col("strict.pairs")), F.col("strict"))).where("size(line.at) > 0").select(
+        "doc_id", "item_id", "item_windows", "line.at", "line.pairs")
     whole = lines.groupBy("doc_id", "item_id", "item_windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_windows"),
         F.max(F.size("pairs")).alias("n_slots"),

@@ -242,6 +242,40 @@ def test_decontamination_finds_reparameterised_questions(spark, empty):
     assert decontam.contaminated(docs, none).count() == 0 and decontam.contaminated(empty, items).count() == 0
 
 
+def test_decontamination_reads_begins_both_ways_and_keeps_short_items(spark):
+    apples = "{} has 5 apples. {} has 7 apples. {} asks {} how many apples there are in the two big bags."
+    items = spark.createDataFrame(
+        [(1, "What is the capital city of France?"), (2, apples.format("Anna", "Ben", "Anna", "Ben")), (3, "short one 12"),
+         (4, "日本の首都はどこですか。"), (5, "水は何度"), (6, "Yes. No. Go. Up. In. Out. On. By. At last the end is near"),
+         (7, "...")], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "Question 12\nWhat is the capital city of France?"), (2, "x, What is the capital city of France?"),
+         (3, "so. What is the capital city of Spain?"), (4, "say what is the capital city of France"),
+         (5, "Paris is the capital city of France."), (6, "Well: " + apples.format("Clara", "Dora", "Clara", "Dora")),
+         (7, apples.format("Clara", "Dora", "Dora", "Clara")), (8, "a short one, 12 b"), (9, "a short one 13"),
+         (10, "問題。日本の首都はどこですか。答え"), (11, "日本の首は"), (12, "この水は何度ですか"),
+         (13, "so yes. No. go. Up. In. Out. On. By. At last the end is near"), (14, "... ???")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.reparameterised for r in decontam.contaminated(docs, items).collect()}
+    assert got == {(1, 1): False, (2, 1): False, (3, 1): True, (4, 1): False, (6, 2): True, (8, 3): False, (10, 4): False,
+                   (12, 5): False, (13, 6): False}
+
+
+def test_readings_are_windows_of_every_choice():
+    rng = np.random.default_rng(1)
+    codes, maybe = rng.integers(16, 1 << 62, 60).astype(np.uint64), rng.random(60) < 0.4
+    got = {}
+    for at, h, names in decontam._readings(codes, maybe, 8):
+        for a, x, k in zip(at.tolist(), h.tolist(), names.tolist()):
+            assert got.setdefault((a, k), x) == x
+    for at in range(53):
+        places = [i for i in range(at, at + 8) if maybe[i]]
+        for k in range(1 << len(places)):
+            read = codes.copy()
+            read[[p for j, p in enumerate(places) if k >> j & 1]] = decontam.NAME
+            assert got.pop((at, k)) == shingles.windows(read[at:at + 8], 8)[0]
+    assert not got
+
+
 def test_surrogates(spark, empty):
     text = ("Write to Jo.Doe7@mail.example.com or JO.DOE7@mail.example.com, call +1 (583) 555-8469 or +1 583 555-8469, "
             "card 4539578763621486, host 70.214.118.188, Mr. John Smith met Mrs. Jane Smith. Г.")
