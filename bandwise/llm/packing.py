@@ -45,12 +45,16 @@ def _byte_alphabet() -> dict[int, str]:
 class ByteBpe:
     """Ids of whole texts under a byte-level BPE file of ``tokenizers``.
 
-    The ids equal those of that library for the same file (the tests compare
-    them); ``tiktoken`` merges by the file's own ranks three times faster.
+    The ids equal those of that library for the same file and setting of
+    ``encode_special_tokens`` (the tests compare them): if false, as the library loads
+    the file, the file's added tokens within a text are one id each, else they
+    are cut like other text. ``tiktoken`` merges by the file's own ranks; texts
+    that hold an added token which must stay whole go to ``tokenizers`` itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, encode_special_tokens: bool = True):
         import tiktoken
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -60,9 +64,13 @@ class ByteBpe:
                  for token, i in spec["model"]["vocab"].items() if token not in special}
         self.core = tiktoken.Encoding("from_file", pat_str=PRE_TOKENS, mergeable_ranks=ranks,
                                       special_tokens={})
+        self.added = () if encode_special_tokens else tuple(special)
+        self.loaded = Tokenizer.from_file(path) if self.added else None
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if any(token in text for token in self.added):
+            return np.array(self.loaded.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return self.core.encode_to_numpy(text).astype("<u4").tobytes() if text else b""
 
 
@@ -83,9 +91,9 @@ def _cuts(n: int, capacity: int, min_piece: int) -> list[tuple[int, int]]:
     return out
 
 
-def _packer(path: str, capacity: int, min_piece: int, end_id: int):
+def _packer(path: str, capacity: int, min_piece: int, end_id: int, encode_special_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = ByteBpe(path)
+        tok = ByteBpe(path, encode_special_tokens)
         end = np.array([end_id], "<u4").tobytes()
         context = TaskContext.get()
         seq = (context.partitionId() if context else 0) << COUNTER_BITS
@@ -156,11 +164,12 @@ def _packer(path: str, capacity: int, min_piece: int, end_id: int):
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                    text_col: str = "text", capacity: int = 1024, min_piece: int = 32,
-                   end_id: int = 0) -> DataFrame:
+                   end_id: int = 0, encode_special_tokens: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset, sequence_length.
 
     ``ids`` holds little-endian unsigned 32-bit token ids; every document ends
-    with ``end_id``. Null and empty texts are that id alone. Rows are packed
+    with ``end_id``. ``encode_special_tokens`` is the setting of that name in ``tokenizers``:
+    false, as that library loads a file, keeps the file's added tokens in a text whole. Null and empty texts are that id alone. Rows are packed
     one by one, so repeated rows and null ids are packed like any other; an
     empty table gives no rows. Other columns are ignored. A sequence of
     ``sequence_length`` ids is padded to ``capacity`` by the reader unless its
@@ -169,4 +178,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     if capacity & (capacity - 1) or min_piece & (min_piece - 1) or not 1 <= min_piece <= capacity:
         raise ValueError("capacity and min_piece must be powers of two, min_piece at most capacity")
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(_packer(tokenizer_path, capacity, min_piece, end_id), PIECES)
+    return slim.mapInArrow(_packer(tokenizer_path, capacity, min_piece, end_id, encode_special_tokens), PIECES)

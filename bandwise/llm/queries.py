@@ -27,7 +27,7 @@ def toxicity_chain(docs: DataFrame, labels: DataFrame):
 
 
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), encode_special_tokens=False)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset", "sequence_length")

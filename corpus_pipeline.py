@@ -49,7 +49,7 @@ def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in training sequences, with their token ids."""
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(docs, tokenizer_path(), encode_special_tokens=False)
 
 
 STAGES = [("toxicity", drop_toxic), ("near copies", drop_near_copies), ("decontamination", drop_contaminated),

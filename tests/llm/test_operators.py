@@ -173,6 +173,30 @@ def test_packing_is_exact(corpus, empty):
     assert packing.pack_documents(empty, tokenizer_path()).count() == 0
 
 
+def test_packing_queries_keep_added_tokens_whole(spark, tmp_path):
+    """The query's and the pipeline's ids are those of the tokenizer as loaded."""
+    import zlib
+
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from bandwise.llm.queries import op2_harmonic_packing
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", " it's  <|endoftext|>\n na ", " <|endoftext|", "c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: tok.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+    assert want[0] == [64, 220, 50256, 275, 0]
+    for r in corpus_pipeline.pack(spark, docs, str(tmp_path)).collect():
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == want[r.doc_id][r.start:r.start + r.length]
+    rows = op2_harmonic_packing(spark, str(tmp_path)).collect()
+    for r in rows:
+        ids = want[r.doc_id][r.start:r.start + r.length]
+        assert (r.doc_tokens, r.ids_crc32) == (len(want[r.doc_id]), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert sum(r.length for r in rows) == sum(map(len, want.values()))
+
+
 def test_language_words_first(spark, empty):
     rng = random.Random(1)
     lexicon = {"aa": ["schon", "heit", "und", "ungen"], "bb": ["ciones", "y", "el", "mente"]}
