@@ -111,7 +111,8 @@ def conformal_by_segment(spark: SparkSession, folder: str) -> DataFrame:
     test = conf.transform(pred.where(F.col("split") == "test"), transform="log1p")
     test = test.withColumn("y_real", inverse(F.col("y"), "log1p"))
     cov = coverage_verdict(test, "y_real", "cp_lower", "cp_upper", by=["segment"])
-    rep = cov.join(conf.params, on="segment", how="inner")
+    # a segment without validation rows has no q_hat: its test rows count as missed
+    rep = cov.join(conf.params, on="segment", how="left")
     return rep.select("segment", "n", rounded("coverage").alias("coverage"), "verdict",
                       rounded("q_hat").alias("q_hat"), "n_cal", "rank")
 

@@ -130,3 +130,21 @@ def test_verdict_boundaries(spark):
     assert row_verdict(df, "key", "y", "y", "lower", "upper").first()["verdict"] == "SUCCESS"
     rc = report_card(df, "y", "lower", "upper").first()
     assert rc["coverage"] == 1.0 and rc["verdict"] == "needs calibration"
+
+
+def test_segment_without_validation_rows_stays_in_the_report(spark, tmp_path):
+    from bandwise.functions.columns import split_label
+    from bandwise.plans.calibration import conformal_by_segment
+
+    ids = spark.range(600).select(F.col("id").alias("event_id"), split_label("id").alias("split"))
+    rare = (F.col("split") != "val") & (F.col("event_id") % 5 == 0)
+    events = ids.select("event_id", (F.col("event_id") % 7).alias("user_id"),
+                        F.when(rare, "rare").otherwise("common").alias("event_type"),
+                        (10.0 + F.col("event_id") % 13).alias("value"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    n = ids.where(rare & (F.col("split") == "test")).count()
+    assert n > 0
+    rep = {r["segment"]: r for r in conformal_by_segment(spark, str(tmp_path)).collect()}
+    assert set(rep) == {"common", "rare"}
+    assert (rep["rare"]["n"], rep["rare"]["coverage"], rep["rare"]["q_hat"], rep["rare"]["n_cal"]) == (n, 0.0, None, None)
+    assert rep["common"]["q_hat"] is not None and rep["common"]["coverage"] > 0
