@@ -23,15 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import bounded_sample, text_chunks
+from bandwise.llm.common import bounded_sample, text_chunks, written
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5)
 
-#: Words that mark the first two categories in labelled toxic texts.
-INSULT_WORDS = ("clown", "idiot", "loser", "moron", "scum")
-CONTEMPT_WORDS = ("disgusting", "pathetic", "stupid", "trash", "worthless")
-
 
 def inputs_of(text: str | None) -> set[str]:
     """Distinct lower-cased words, and their beginnings marked with a star."""
@@ -82,6 +78,31 @@ class ToxicityChain:
         return x[:, len(self.inputs):]
 
 
+def ranked_inputs(sample: DataFrame, target: int, min_rows: int) -> tuple[DataFrame, dict[bool, int]]:
+    """input, clean, toxic, difference, weight of the inputs in ``min_rows`` rows, and the rows by toxicity: the
+    column numbered ``target`` (id and text come first) over 0. ``weight`` is the squared difference of the shares
+    among toxic and other rows against its variance under no difference."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in text_chunks(batches):
+            n = [Counter(), Counter()]
+            for text, y in zip(chunk.column(1).to_pylist(), chunk.column(target).to_pylist()):
+                n[int(y > 0)].update(inputs_of(text))
+            keys = list(n[0].keys() | n[1].keys())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array([n[0][k] for k in keys], pa.int64()),
+                 pa.array([n[1][k] for k in keys], pa.int64())], ["input", "clean", "toxic"])
+
+    size = sample.groupBy((F.col(sample.columns[target]) > 0).alias("y")).count().collect()
+    size = {r["y"]: r["count"] for r in size}
+    bad, good = F.col("toxic") / float(size.get(True, 0) or 1), F.col("clean") / float(size.get(False, 0) or 1)
+    n = float(sum(size.values()) or 1)
+    share = (F.col("toxic") + F.col("clean")) / n
+    return (sample.mapInArrow(count, "input string, clean long, toxic long").groupBy("input")
+            .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+            .where(F.col("clean") + F.col("toxic") >= min_rows).withColumn("difference", bad - good)
+            .withColumn("weight", F.pow(bad - good, F.lit(2.0)) / (share * (1 - share) + 1.0 / n))), size
+
+
 def fit_chain(rows: DataFrame, categories: list[str], id_col: str = "doc_id", text_col: str = "text",
               max_fit_docs: int = 6000, max_inputs: int = 256, min_rows: int = 4, folds: int = 5,
               ridge: float = 0.05) -> ToxicityChain | None:
@@ -94,29 +115,10 @@ def fit_chain(rows: DataFrame, categories: list[str], id_col: str = "doc_id", te
     sample = bounded_sample(usable, max_fit_docs, "doc_id")
     target = len(categories) + 1
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in text_chunks(batches):
-            n = [Counter(), Counter()]
-            for text, y in zip(chunk.column(1).to_pylist(), chunk.column(target).to_pylist()):
-                n[int(y > 0)].update(inputs_of(text))
-            keys = list(n[0].keys() | n[1].keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array([n[0][k] for k in keys], pa.int64()),
-                 pa.array([n[1][k] for k in keys], pa.int64())], ["input", "clean", "toxic"])
-
-    size = sample.groupBy((F.col(f"y{len(categories) - 1}") > 0).alias("y")).count().collect()
-    size = {r["y"]: r["count"] for r in size}
+    ranked, size = ranked_inputs(sample, target, min_rows)
     if not size:
         return None
-    bad, good = F.col("toxic") / float(size.get(True, 0) or 1), F.col("clean") / float(size.get(False, 0) or 1)
-    n = float(sum(size.values()))
-    share = (F.col("toxic") + F.col("clean")) / n
-    # squared difference of the shares against its variance under no difference
-    picked = (sample.mapInArrow(count, "input string, clean long, toxic long").groupBy("input")
-              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-              .where(F.col("clean") + F.col("toxic") >= min_rows)
-              .withColumn("weight", F.pow(bad - good, F.lit(2.0)) / (share * (1 - share) + 1.0 / n))
-              .orderBy(F.desc("weight"), "input").limit(max_inputs).collect())
+    picked = ranked.orderBy(F.desc("weight"), "input").limit(max_inputs).collect()
     chain = ToxicityChain(list(categories), {r["input"]: i for i, r in enumerate(picked)}, [])
     known = set(chain.inputs)
 
@@ -196,19 +198,72 @@ def keep_accepted(docs: DataFrame, chain: ToxicityChain | None, text_col: str =
     return docs.mapInArrow(run, docs.schema)
 
 
+def marker_groups(rows: DataFrame, max_inputs: int = 64, min_rows: int = 4) -> list[set[str]]:
+    """Two groups of the inputs that mark the toxic of ``rows`` (doc_id, text, label): those that stand
+    together in the same toxic texts are in one group. Chosen from what the labels tell, whatever the
+    language; the group with the strongest mark comes first. Marks that all stand in the same texts
+    are one group, and the other is empty."""
+    ranked, size = ranked_inputs(rows, 2, min_rows)
+    if not size.get(True):
+        return [set(), set()]
+    ranked = ranked.persist()
+    tested = ranked.count()
+    best = ranked.where("difference > 0").orderBy(F.desc("weight"), "input").limit(max_inputs).collect()
+    ranked.unpersist()
+    scale = size[True] * size.get(False, 0) / sum(size.values())  # makes a weight the square of a standard score
+    # the largest of so many squared scores is about this by chance
+    chance = 2 * np.log(max(tested, 2))
+    marks = [r["input"] for k, r in enumerate(best) if k < 2 or r["weight"] * scale >= chance]
+    if len(marks) < 2:
+        return [set(marks), set()]
+    at = {m: i for i, m in enumerate(marks)}
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((len(at), len(at)), np.int64)
+        for chunk in text_chunks(batches):
+            for text in chunk.column(1).to_pylist():
+                here = [at[m] for m in at.keys() & inputs_of(text)]
+                n[np.ix_(here, here)] += 1
+        i, j = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(n[i, j])], ["i", "j", "n"])
+
+    together = np.zeros((len(marks), len(marks)))
+    for r in rows.where(F.col(rows.columns[2]) > 0).mapInArrow(pairs, "i int, j int, n long").groupBy("i", "j").agg(
+            F.sum("n").alias("n")).collect():  # max_inputs ** 2 rows at most
+        together[r["i"], r["j"]] = r["n"]
+    alone = np.sqrt(np.diag(together))
+    like = together / np.outer(alone, alone)
+    like = like - like.mean(0) - like.mean(1)[:, None] + like.mean()
+    values, sides = np.linalg.eigh(like)
+    if values[-1] < 1e-9:
+        return [set(marks), set()]
+    side = sides[:, -1]  # sums to zero, so both groups have marks
+    first = side * (1 if side[0] >= 0 else -1) > 0
+    first[0] = True
+    return [{m for m in marks if first[at[m]]}, {m for m in marks if not first[at[m]]}]
+
+
 def weak_categories(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
                     max_fit_docs: int = 6000) -> DataFrame:
     """doc_id, text, insult, contempt, toxic: labelled rows with the chain's three targets.
 
-    The table labels toxicity alone; the first two categories are labelled by fixed words within
-    the texts labelled toxic. A document labelled several times is toxic if any label says so.
+    The table labels toxicity alone; the first two categories are the toxic texts that hold a mark of
+    either of ``marker_groups``. A document labelled several times is toxic if any label says so.
     About ``max_fit_docs`` labels are taken, which bounds what is broadcast to meet the texts.
     """
     by_doc = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(F.col(label_col).cast("int")).alias("_label")).where("_label is not null")
     by_doc = bounded_sample(by_doc, max_fit_docs, "doc_id")
-    rows = docs.select("doc_id", "text").join(F.broadcast(by_doc), "doc_id")
-    says = lambda words: F.lower("text").rlike(r"\b(" + "|".join(words) + r")\b").cast("int")
-    toxic = F.col("_label")
-    return rows.select("doc_id", "text", (toxic * says(INSULT_WORDS)).alias("insult"),
-                       (toxic * says(CONTEMPT_WORDS)).alias("contempt"), toxic.alias("toxic"))
+    rows = written(docs.select("doc_id", "text").join(F.broadcast(by_doc), "doc_id").select("doc_id", "text", "_label"),
+                   "labelled")
+    groups = marker_groups(rows)
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in text_chunks(batches):
+            found = [inputs_of(t) if y > 0 else set() for t, y in zip(chunk.column(1).to_pylist(), chunk.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [chunk.column(0), chunk.column(1), *[pa.array([int(not g.isdisjoint(f)) for f in found], pa.int32()) for g in groups],
+                 chunk.column(2)], ["doc_id", "text", "insult", "contempt", "toxic"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(told, f"doc_id {kind}, text string, insult int, contempt int, toxic int")

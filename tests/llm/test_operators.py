@@ -250,6 +250,27 @@ def test_toxicity_chain_rejects_marked_texts(spark, empty):
     assert toxicity.score_chain(empty, chain).count() == 0 and toxicity.score_chain(docs, None).count() == 243
 
 
+def test_toxicity_categories_come_from_the_labels(spark):
+    """Another vocabulary: two kinds of toxic texts, each with marks of its own."""
+    rng = random.Random(9)
+    kinds = [("блик", "грымз"), ("żorgał", "qualmt")]
+    rows = []
+    for i in range(300):
+        marks = " ".join(kinds[i // 3 % 2]) if i % 3 == 0 else ""
+        rows.append((i, f"{words(rng, 30)} {marks}", int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    weak = toxicity.weak_categories(docs, docs.select("doc_id", "toxic"))
+    told = {r.doc_id: (r.insult, r.contempt, r.toxic) for r in weak.collect()}
+    assert len(told) == 300 and all(told[i] == (0, 0, 0) for i in told if i % 3)
+    of = [{told[i] for i in told if i % 3 == 0 and i // 3 % 2 == k} for k in (0, 1)]
+    assert of in ([{(1, 0, 1)}, {(0, 1, 1)}], [{(0, 1, 1)}, {(1, 0, 1)}])
+    chain = toxicity.fit_chain(weak, ["insult", "contempt", "toxic"])
+    got = {r.doc_id: r for r in toxicity.score_chain(docs, chain).collect()}
+    for i in told:
+        assert got[i].rejected == (i % 3 == 0)
+        assert (got[i].p_insult > 0.5, got[i].p_contempt > 0.5) == tuple(x == 1 for x in told[i][:2])
+
+
 def test_decontamination_finds_reparameterised_questions(spark, empty):
     items = spark.createDataFrame(
         [(1, "If a train leaves at 10 km from here and Anna waits 5 hours before Anna walks 10 km again how far is it"),
