@@ -6,8 +6,9 @@ with its ends marked, longest first: where the n-gram at a place is unknown,
 the next shorter one there counts, less a fixed penalty. The text's language is
 the one with the largest sum; the score is its posterior among the learned ones.
 
-Counts come from Spark aggregates over a bounded sample of labelled documents
-(``max_fit_docs``), so the model that goes to the executors is bounded too.
+Counts come from Spark aggregates over a bounded sample of each language's labelled documents
+(``max_fit_docs``, ``least_lang_docs``), so the model that goes to the executors is bounded too,
+and a language is learned however rare it is.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import bounded_sample, text_chunks
+from bandwise.llm.common import text_chunks
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -92,14 +93,36 @@ class LanguageModel:
         return score
 
 
+def sample_by_language(usable: DataFrame, most: int, least: int) -> DataFrame:
+    """All rows of doc_id, lang, ..., or about ``most`` of more, chosen by hash of the id: languages with few rows
+    keep them all, the others get equal numbers, which are never under ``least``."""
+    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    if sum(sizes.values()) <= most:
+        return usable
+    level, left = 0.0, float(most)
+    for i, n in enumerate(sorted(sizes.values())):  # what is left, dealt evenly among the larger ones
+        level = left / (len(sizes) - i)
+        if n > level:
+            break
+        left -= n
+    level = max(level, least)
+    cuts = [F.lit(x) for lang, n in sorted(sizes.items()) if n > level for x in (lang, int(level / n * (1 << 40)))]
+    if not cuts:
+        return usable
+    cut = F.coalesce(F.try_element_at(F.create_map(*cuts), F.col("lang")), F.lit(1 << 40))
+    return usable.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) < cut)
+
+
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang", max_fit_docs: int = 4000, min_count: int = 3,
-                  longest: int = 4, penalty: float = -1.0, smoothing: float = 0.5) -> LanguageModel:
-    """Model from the rows with text and language: all of them, or ``max_fit_docs`` (about,
-    chosen by hash of the id) of more. Words and n-grams seen ``min_count`` times are kept."""
+                  longest: int = 4, penalty: float = -1.0, smoothing: float = 0.5,
+                  least_lang_docs: int = 100) -> LanguageModel:
+    """Model from the rows with text and language: all of them, or about ``max_fit_docs`` of more,
+    dealt among the languages (``sample_by_language``): a language has all its rows in it or
+    ``least_lang_docs`` at least, also if that makes more in all. Words and n-grams seen ``min_count`` times are kept."""
     usable = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                          F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
-    sample = bounded_sample(usable, max_fit_docs, "doc_id")
+    sample = sample_by_language(usable, max_fit_docs, least_lang_docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches):

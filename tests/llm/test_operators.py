@@ -214,6 +214,21 @@ def test_language_words_first(spark, empty):
     assert langid.identify(empty, model).count() == 0
 
 
+def test_rare_languages_are_learned_beside_a_common_one(spark):
+    rows = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 10_000 == 7, "cc").when(F.col("id") % 100 == 1, "bb").otherwise(
+            "aa").alias("lang")).withColumn("text", F.expr(
+                "case lang when 'cc' then 'ciones y el mente' when 'bb' then 'og ikke det' else 'schon heit und ungen' end"))
+    model = langid.fit_languages(rows, max_fit_docs=1000)
+    assert model.langs == ["aa", "bb", "cc"]
+    asked = spark.createDataFrame([(1, "el mente"), (2, "heit und"), (3, "ikke og")], "doc_id long, text string")
+    assert [r.lang_pred for r in langid.identify(asked, model).collect()] == ["cc", "aa", "bb"]
+    sizes = {r["lang"]: r["count"] for r in langid.sample_by_language(rows, 1000, 100).groupBy("lang").count().collect()}
+    assert sizes["cc"] == 3 and sizes["bb"] == 300 and 550 < sizes["aa"] < 850
+    least = langid.sample_by_language(rows, 10, 100).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in least}["cc"] == 3 and all(50 < r["count"] < 150 for r in least if r["lang"] != "cc")
+
+
 def test_quality_learns_and_isotonic_is_monotone(spark, empty):
     v, w = np.array([0.0, 1, 0, 0.5, 0, 1]), np.array([0, 1, 1, 2, 0, 1.0])
     fit = quality.isotonic(v, w)
