@@ -1,10 +1,10 @@
 """Data-parallel full-batch training of small ReLU nets.
 
 One step = one Spark job: the current weights are broadcast, every partition
-runs forward and backward passes over its rows in Arrow batches (numpy) and
-emits one gradient-sum vector, and the vectors are summed by a vector
-aggregate. Only parameter-sized vectors reach the driver, where Adam updates
-the weights. The training rows are persisted once for all steps.
+runs forward and backward passes over its matrices (numpy) and emits one
+gradient-sum vector, and the vectors are summed, in two levels if there are many. Only
+parameter-sized vectors reach the driver, where Adam updates the weights. The
+training rows are packed into matrices and persisted once for all steps.
 """
 
 from __future__ import annotations
@@ -12,9 +12,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -26,6 +25,10 @@ from bandwise.functions.constants import (
 )
 
 
+#: Gradient vectors of so many partitions are summed without a second level.
+DIRECT_PARTITIONS = 64
+
+
 # ---- a plain MLP as a flat parameter vector ------------------------------------
 
 def shapes(sizes):
@@ -82,33 +85,51 @@ def _row_losses(kind, out, t):
     raise ValueError(kind)
 
 
-def gradient_sums(df: DataFrame, features, y: str, weights: np.ndarray, sizes, kind: str):
-    """Sum over all rows of the loss gradient; returns (grad, loss_sum, monitor_sum, n)."""
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(weights)
-    feats, p = list(features), n_params(sizes)
+def packed_blocks(df: DataFrame, features, y: str):
+    """The rows as persisted matrices (features, then the truth), one for each Arrow batch of a partition."""
+    cols = [*features, y]
+
+    def pack(batches):
+        for b in batches:
+            if b.num_rows:
+                m = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), float) for c in b.columns])
+                yield pa.RecordBatch.from_arrays([pa.array([m.tobytes()], pa.binary())], ["block"])
+
+    k = len(cols)
+    packed = df.select(*[F.col(c).cast("double") for c in cols]).mapInArrow(pack, "block binary")
+    return packed.rdd.map(lambda r: np.frombuffer(r[0]).reshape(-1, k)).persist(StorageLevel.MEMORY_AND_DISK)
+
 
-    def run(batches):
+def block_sums(blocks, weights: np.ndarray, sizes, kind: str):
+    """Sum over all blocks of the loss gradient; returns (grad, loss_sum, monitor_sum, n)."""
+    bc, p = blocks.context.broadcast(weights), n_params(sizes)
+
+    def run(part):
         layers = unflatten(bc.value, sizes)
         acc = np.zeros(p + 3)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = pdf[feats].to_numpy(dtype=float)
-            t = pdf[y].to_numpy(dtype=float)
-            acts, zs = forward(layers, x)
-            loss, delta, mon = _row_losses(kind, acts[-1], t)
+        for m in part:
+            acts, zs = forward(layers, m[:, :-1])
+            loss, delta, mon = _row_losses(kind, acts[-1], m[:, -1])
             acc[:p] += backward(layers, acts, zs, delta)
-            acc[p:] += [loss, mon, len(t)]
-        yield pd.DataFrame({"g": [acc]})
+            acc[p:] += [loss, mon, len(m)]
+        yield acc
 
-    summed = (df.mapInPandas(run, "g array<double>")
-              .select(array_to_vector("g").alias("v"))
-              .agg(Summarizer.sum(F.col("v")).alias("s")).first()["s"].toArray())
+    sums = blocks.mapPartitions(run)
+    # many partitions' vectors are summed in two levels, a few by the driver
+    summed = sums.treeReduce(np.add) if blocks.getNumPartitions() > DIRECT_PARTITIONS else sums.reduce(np.add)
     bc.unpersist()
     return summed[:p], summed[p], summed[p + 1], summed[p + 2]
 
 
+def gradient_sums(df: DataFrame, features, y: str, weights: np.ndarray, sizes, kind: str):
+    """``block_sums`` over the rows of a DataFrame."""
+    blocks = packed_blocks(df, features, y)
+    try:
+        return block_sums(blocks, weights, sizes, kind)
+    finally:
+        blocks.unpersist()
+
+
 class Adam:
     def __init__(self, n, rate=ADAM_RATE, b1=0.9, b2=0.999, eps=1e-8):
         self.m, self.v, self.t = np.zeros(n), np.zeros(n), 0
@@ -135,7 +156,7 @@ def _train_rows(df, features, y, split_col, fit_on):
     src = df.where(F.col(split_col) == fit_on) if split_col else df
     rows = src.select(*[F.col(c).cast("double").alias(c) for c in features],
                       F.col(y).cast("double").alias(y)).where(F.col(y).isNotNull())
-    return spread(rows).persist()
+    return packed_blocks(spread(rows), features, y)
 
 
 # ---- variational net (M3b) -------------------------------------------------------
@@ -208,7 +229,7 @@ def fit_variational_net(df: DataFrame, features, y: str = "y", hidden=VARIATIONA
         for step in range(steps):
             sig = _softplus(rho)
             eps = rng.standard_normal(p)
-            g, sse, _, n = gradient_sums(rows, features, y, mu + sig * eps, sizes, "sse")
+            g, sse, _, n = block_sums(rows, mu + sig * eps, sizes, "sse")
             if lam is None:
                 lam = 1.0 / n
             kl = 0.5 * np.sum(mu ** 2 + sig ** 2 - 2 * np.log(sig) - 1)
@@ -270,7 +291,7 @@ def fit_meanvar_net(df: DataFrame, features, y: str = "y", hidden=MEANVAR_LAYERS
     net = MeanVarNet(features, sizes, w)
     try:
         for step in range(steps):
-            g, loss, sig, n = gradient_sums(rows, features, y, w, sizes, "gauss")
+            g, loss, sig, n = block_sums(rows, w, sizes, "gauss")
             net.history.append((step, float(loss / n), float(sig / n)))
             w = opt.step(w, g / n)
     finally:

@@ -69,3 +69,15 @@ def test_variational_net_without_hidden_layer_reaches_closed_form(spark):
     assert net.mu == pytest.approx(post.mu, abs=0.03)
     assert (_softplus(net.rho) < _softplus(-3.0)).all()      # spread shrinks toward the optimum
     assert net.history[-1][2] < net.history[0][2]              # mse falls
+
+
+def test_registered_queries_train_for_the_defaults():
+    import inspect
+
+    from bandwise.plans import nets, trees
+
+    given = lambda f, name: inspect.signature(f).parameters[name].default
+    for f in (nets.variational_net, nets.net_training_log, nets.mean_logvar_net, nets.mean_logvar_linear):
+        assert given(f, "steps") == 2000
+    for f in (trees.gbt_mean, trees.quantile_boost, trees.quantile_report_card, trees.combined_scan, trees.enhanced_scan):
+        assert given(f, "rounds") == 100
