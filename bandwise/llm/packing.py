@@ -15,6 +15,7 @@ cut into powers of two, which need no padding.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
 #: Sequence ids: partition number in the high bits, the task's own counter below.
 COUNTER_BITS = 36
 
-#: Fixed value: the pre-token pattern of byte-level BPE vocabularies of this family.
+#: Fixed value: the pattern that ``tokenizers`` means by a file's plain byte-level pre-tokenizer.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -42,14 +43,20 @@ def _byte_alphabet() -> dict[int, str]:
     return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
+#: Texts with a longer run of white space are left to ``tokenizers``: the other library's matcher gives up on it.
+LONG_RUN = 50_000
+_LONG_RUN = re.compile(r"\s{%d}" % LONG_RUN)
+
+
 class ByteBpe:
     """Ids of whole texts under a byte-level BPE file of ``tokenizers``.
 
     The ids equal those of that library for the same file and setting of
     ``encode_special_tokens`` (the tests compare them): if false, as the library loads
     the file, the file's added tokens within a text are one id each, else they
-    are cut like other text. ``tiktoken`` merges by the file's own ranks; texts
-    that hold an added token which must stay whole go to ``tokenizers`` itself.
+    are cut like other text. ``tiktoken`` merges by the file's own ranks. ``tokenizers`` itself cuts texts
+    that hold an added token which must stay whole, texts with very long runs of white space,
+    and all texts if the file asks for more than the plain byte-level form.
     """
 
     def __init__(self, path: str, encode_special_tokens: bool = True):
@@ -59,17 +66,34 @@ class ByteBpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         special = {t["content"] for t in spec.get("added_tokens", [])}
+        self.vocab = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec.get("added_tokens", [])}}
+        self.special = special
         to_byte = {c: b for b, c in _byte_alphabet().items()}
-        ranks = {bytes(to_byte[c] for c in token): i
-                 for token, i in spec["model"]["vocab"].items() if token not in special}
-        self.core = tiktoken.Encoding("from_file", pat_str=PRE_TOKENS, mergeable_ranks=ranks,
-                                      special_tokens={})
+        self.to_byte = to_byte
+        self.loaded = Tokenizer.from_file(path)
+        self.loaded.encode_special_tokens = encode_special_tokens
         self.added = () if encode_special_tokens else tuple(special)
-        self.loaded = Tokenizer.from_file(path) if self.added else None
+        before = spec.get("pre_tokenizer") or {}
+        plain = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+                 and spec.get("normalizer") is None and not spec["model"].get("ignore_merges")
+                 and not any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")))
+        self.core = None
+        if plain:
+            ranks = {bytes(to_byte[c] for c in token): i
+                     for token, i in spec["model"]["vocab"].items() if token not in special}
+            self.core = tiktoken.Encoding("from_file", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes that each id stands for (none for unused ids)."""
+        out = [b""] * (max(self.vocab.values(), default=-1) + 1)
+        for token, i in self.vocab.items():
+            out[i] = token.encode() if token in self.special else bytes(self.to_byte[c] for c in token)
+        return out
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if any(token in text for token in self.added):
+        if self.core is None or any(token in text for token in self.added) or (
+                len(text) > LONG_RUN and _LONG_RUN.search(text)):
             return np.array(self.loaded.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return self.core.encode_to_numpy(text).astype("<u4").tobytes() if text else b""
 

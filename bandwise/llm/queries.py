@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.llm import ann, decontam, langid, neardup, packing, pii, quality, suffix, toxicity, warc
+from bandwise.llm import alignment, ann, decontam, langid, neardup, packing, pii, quality, suffix, toxicity, warc, whitening
 from bandwise.llm.common import fresh_dir, table, written
 
 
@@ -87,6 +87,21 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "payload_digest", "record_type", page("refers_to").alias("refers_to"))
 
 
+def pieces_path() -> str:
+    """The public sentencepiece model that the alignment and lattice queries are defined by."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_inverted_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), pieces_path())
+
+
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict:
     return {
         "op1_classifier_chain_toxicity": op1_classifier_chain_toxicity,
@@ -99,6 +114,8 @@ def llm_queries() -> dict:
         "op8_learned_partitions": op8_learned_partitions,
         "op9_suffix_array_dedup": op9_suffix_array_dedup,
         "op10_warc_archives": op10_warc_archives,
+        "op11_inverted_pair_bitmaps": op11_inverted_pair_bitmaps,
+        "op13_feast_whitening": op13_feast_whitening,
     }
 
 
