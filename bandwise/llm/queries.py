@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.llm import alignment, ann, decontam, langid, neardup, packing, pii, quality, suffix, toxicity, warc, whitening
+from bandwise.llm import alignment, ann, decontam, langid, lattice, neardup, packing, pii, quality, suffix, toxicity, warc, whitening
 from bandwise.llm.common import fresh_dir, table, written
 
 
@@ -98,6 +98,12 @@ def op11_inverted_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), pieces_path())
 
 
+def op12_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lattice.score_texts(table(spark, sf_dir, "documents"), pieces_path(), _remainder(5) != 1)
+    return scored.select("doc_id", (_remainder(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -115,6 +121,7 @@ def llm_queries() -> dict:
         "op9_suffix_array_dedup": op9_suffix_array_dedup,
         "op10_warc_archives": op10_warc_archives,
         "op11_inverted_pair_bitmaps": op11_inverted_pair_bitmaps,
+        "op12_subword_lattice": op12_subword_lattice,
         "op13_feast_whitening": op13_feast_whitening,
     }
 
