@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
@@ -65,8 +66,6 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text_col: int = 1,
             yield batch.slice(start)
 
 
-
-
 def bounded_sample(df: DataFrame, most: int, id_col: str) -> DataFrame:
     """All rows, or about ``most`` of more: those whose id hashes lowest (the same on every run)."""
     n = df.count()
@@ -74,3 +73,28 @@ def bounded_sample(df: DataFrame, most: int, id_col: str) -> DataFrame:
         return df
     cut = int(most / n * (1 << 40))
     return df.where(F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1 << 40)) < cut)
+
+
+#: Bits of a table of hashes: 8 MB, whatever the number of hashes.
+TABLE_BITS = 26
+
+
+def bit_table(hashes: DataFrame, column: str) -> bytes:
+    """One bit for each of the hashes (64-bit numbers) of a column; 2048 bitmaps of 4 kB reach the driver at most.
+
+    A set bit says "maybe": what passes must be joined exactly afterwards.
+    """
+    bit = F.shiftrightunsigned(column, 64 - TABLE_BITS) + 1
+    rows = hashes.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    table = bytearray(1 << (TABLE_BITS - 3))
+    for r in rows:
+        at = (r["bucket"] - 1) * len(r["bits"])
+        table[at:at + len(r["bits"])] = r["bits"]
+    return bytes(table)
+
+
+def in_table(table: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes have their bit set."""
+    bit = (hashes.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    return (np.frombuffer(table, np.uint8)[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import text_chunks, written
+from bandwise.llm.common import bit_table, in_table, text_chunks, written
 from bandwise.llm.components import connected_components
 from bandwise.llm.shingles import mix, shingle_set
 
@@ -185,23 +185,27 @@ def _hub_links(percent: int):
         hub, reps = table["hub"][0].as_py(), table["rep"].to_pylist()
         sets = [np.frombuffer(x, "<u8") for x in table["shingles"].to_pylist()]
         found = []
-        if hub in reps:
-            centre = sets[reps.index(hub)]
+        for centre in (s for rep, s in zip(reps, sets) if rep == hub):
             for rep, s in zip(reps, sets):
                 if rep != hub:
                     both = len(np.intersect1d(centre, s, True))
                     if 100 * both >= percent * (len(centre) + len(s) - both):
                         found.append(rep)
+        found = sorted(set(found))
         return pa.table([pa.array([hub] * len(found), pa.int64()), pa.array(found, pa.int64())], names=["a", "b"])
     return run
 
 
-def _sets(words: int):
+def _sets(words: int, wanted):
+    """Full sets of the rows (doc_id, text, hash of the id) whose hash has its bit set in the broadcast table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in text_chunks(batches):
-            yield pa.RecordBatch.from_arrays(
-                [chunk.column(0), pa.array([shingle_set(t, words).tobytes() for t in chunk.column(1).to_pylist()])],
-                ["rep", "shingles"])
+        for batch in batches:
+            some = batch.filter(pa.array(in_table(wanted.value, np.asarray(batch.column(2)))))
+            for chunk in text_chunks(iter([some])):
+                sets = [shingle_set(t, words) for t in chunk.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [chunk.column(0), pa.array([int(s.sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "total", "shingles"])
     return run
 
 
@@ -212,7 +216,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts are linked at a Jaccard similarity of ``percent`` / 100 of their sets of ``words``-word
     shingles (whole numbers, no rounding); ``component_id`` is the smallest id reachable, and that row is
     kept. Texts without words link with nothing. Rows with equal sets share ``class_id``, the
-    smallest id among them. A row with a null id names no class: it belongs
+    smallest id among them. An id that rows with several texts share is linked by any of them. A row with a null id names no class: it belongs
     to that of its text, and is kept only if no named row has the same set. Rows repeated
     with one id are linked like others and all kept or not. An empty table gives no
     rows; other columns are ignored.
@@ -226,8 +230,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(named.groupBy("f1", "f2", "n_shingles").agg(
         F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")), "classes")
     least = percent / 100 - DEVIATIONS * (percent / 100 * (1 - percent / 100) / k) ** 0.5
-    listed = classes.select("rep", "n_shingles", "sketch").mapInArrow(_lister(k, run, percent), "key long, rep long")
-    listed = written(listed, "lists")
+    # dealt by key once, for the hubs and for their members
+    listed = classes.select("rep", "n_shingles", "sketch").mapInArrow(
+        _lister(k, run, percent), "key long, rep long").repartition("key")
     hubs = listed.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("m")).where("m > 1").select("key", "hub")
     members = written(listed.join(hubs, "key").select("hub", "rep").distinct(), "members")
     # links with the hubs
@@ -237,10 +242,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = written(pairs.mapInArrow(_estimates(k, least), "hub long, rep long"), "hub-pairs")
 
     def with_sets(rows: DataFrame) -> DataFrame:
-        """Rows with the full set of their class, computed from its text again."""
-        ids = rows.select(F.col("rep").alias("doc_id")).distinct()
-        sets = slim.join(ids, "doc_id", "left_semi").mapInArrow(_sets(words), "rep long, shingles binary")
-        return rows.join(sets.dropDuplicates(["rep"]), "rep")
+        """Rows with the full set of their class, computed from its text again. A table of bits keeps
+        nearly all other texts out, so no text is shuffled."""
+        wanted = slim.sparkSession.sparkContext.broadcast(bit_table(rows.select(F.xxhash64("rep").alias("hash")), "hash"))
+        sets = slim.where("doc_id is not null").withColumn("hash", F.xxhash64("doc_id")).mapInArrow(
+            _sets(words, wanted), "rep long, total long, shingles binary")
+        return rows.join(sets.repartition("rep").dropDuplicates(["rep", "total"]).drop("total"), "rep")
 
     def blocked(rows: DataFrame) -> DataFrame:
         """Each hub's rows (hub, rep, n) dealt to blocks of bounded size."""

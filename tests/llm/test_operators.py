@@ -442,3 +442,37 @@ def test_warc_round_trip(spark, tmp_path):
     empty_path = f"file://{tmp_path}/b"
     warc.write_warc(warc.page_records(pages.where("false"), lambda df: written(df, "first")), empty_path)
     assert warc.read_warc(spark, empty_path).where("record_type = 'response'").count() == 0
+
+
+def test_an_id_with_several_texts_is_linked_by_each(spark):
+    rng = random.Random(11)
+    a, b = words(rng, 200), words(rng, 200)
+    near = lambda t: " ".join([*t.split()[:-3], "p", "q", "r"])
+    df = spark.createDataFrame([(1, a), (1, b), (2, near(a)), (3, near(b)), (4, words(rng, 200))], "doc_id long, text string")
+    found = {(r.doc_id, r.component_id) for r in neardup.near_duplicates(df).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_bit_table_holds_what_it_was_given(spark):
+    from bandwise.llm.common import bit_table, in_table
+
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.integers(-2 ** 63, 2 ** 63 - 1, 5000), [0, -1, 2 ** 63 - 1, -2 ** 63]])
+    table = bit_table(spark.createDataFrame([(int(v),) for v in values], "h long").repartition(3), "h")
+    assert in_table(table, values).all()
+    assert in_table(table, rng.integers(-2 ** 63, 2 ** 63 - 1, 20_000)).mean() < 0.01
+    assert not in_table(bit_table(spark.createDataFrame([], "h long"), "h"), values).any()
+
+
+def test_long_white_space_gets_the_ids_of_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    texts = [" " * 3_000_000, "a" * 300_000, "x" + "\n" * 60_000 + "\t" * 60_000 + "y", "ab " * 1000 + " " * 49_000 + "c",
+             "e <|endoftext|>" + " " * 120_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids = {}
+    for r in sorted(packing.pack_documents(df, tokenizer_path(), encode_special_tokens=False).collect(), key=lambda r: r.start):
+        ids[r.doc_id] = ids.get(r.doc_id, b"") + bytes(r.ids)
+    for i, t in enumerate(texts):
+        assert np.frombuffer(ids[i], "<u4").tolist() == [*tok.encode(t, add_special_tokens=False).ids, 0]
