@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters of text that one vectorised step inside a task handles at once.
@@ -43,6 +43,14 @@ def fresh_dir(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or it behind as many underscores as make it none of ``columns`` (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: evaluated once, and
     lost executors cost nothing that has been written."""
@@ -75,6 +83,17 @@ def bounded_sample(df: DataFrame, most: int, id_col: str) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1 << 40)) < cut)
 
 
+def bounded_classes(df: DataFrame, most: int, least: int, id_col: str, positive: Column) -> DataFrame:
+    """``bounded_sample`` in which neither class of ``positive`` falls below ``least`` rows, or all it has."""
+    sizes = {bool(r["p"]): r["count"] for r in df.groupBy(positive.alias("p")).count().collect()}
+    n = sum(sizes.values())
+    if n <= most:
+        return df
+    cuts = {k: min(1.0, max(most / n, least / size)) for k, size in sizes.items()}
+    cut = F.when(positive, F.lit(int(cuts.get(True, 1.0) * (1 << 40)))).otherwise(F.lit(int(cuts.get(False, 1.0) * (1 << 40))))
+    return df.where(F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1 << 40)) < cut)
+
+
 #: Bits of a table of hashes: 8 MB, whatever the number of hashes.
 TABLE_BITS = 26
 

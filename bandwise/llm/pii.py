@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import written
+from bandwise.llm.common import free_name, written
 
 #: Titles that mark the name after them, by the gender they tell ("n": none).
 TITLES = {
@@ -255,33 +255,34 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
 def rewrite(docs: DataFrame, key: str, count_col: str = "n_replaced") -> DataFrame:
     """``docs`` with its column text rewritten and the number of replacements beside it."""
     text = F.col("text")
+    found_col, later_col, key_col = (free_name([*docs.columns, count_col], c) for c in ("_found", "_later", "_key"))
     found = F.when(text.rlike(_SIGN), _mentions(text)).otherwise(F.array().cast("array<string>"))
     mentions = docs.select(F.explode(found).alias("mention"))
     entities = mentions.distinct().select(F.explode(entities_of(F.col("mention"))).alias("e")).select("e.kind", "e.norm")
     later = resolve(entities, key)
     # a generator, so that what it finds is found once and not again for every use
-    rows = docs.select("*", F.inline(F.array(F.struct(F.coalesce(found, F.array().cast("array<string>")).alias("_found")))))
+    rows = docs.select("*", F.inline(F.array(F.struct(F.coalesce(found, F.array().cast("array<string>")).alias(found_col)))))
     if later.isEmpty():
-        rows = rows.withColumn("_later", F.create_map().cast("map<string,int>"))
+        rows = rows.withColumn(later_col, F.create_map().cast("map<string,int>"))
     else:  # the few entities with a later attempt meet the texts that hold them
         holds = docs.select("text", F.explode(found).alias("mention")).select(
-            F.sha2("text", 256).alias("_key"), F.explode(entities_of(F.col("mention"))).alias("e"))
-        maps = holds.select("_key", "e.kind", "e.norm").distinct().join(later, ["kind", "norm"]).groupBy("_key").agg(
-            F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "kind", "norm"), "attempt"))).alias("_later"))
+            F.sha2("text", 256).alias(key_col), F.explode(entities_of(F.col("mention"))).alias("e"))
+        maps = holds.select(key_col, "e.kind", "e.norm").distinct().join(later, ["kind", "norm"]).groupBy(key_col).agg(
+            F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "kind", "norm"), "attempt"))).alias(later_col))
         # texts without an entity get keys of their own, so they don't meet in one task
         own = F.concat(F.lit("-"), F.xxhash64("text").cast("string"))
-        rows = rows.withColumn("_key", F.when(F.size("_found") > 0, F.sha2("text", 256)).otherwise(own)).join(
-            written(maps, "attempts"), "_key", "left").drop("_key")
-        rows = rows.withColumn("_later", F.coalesce("_later", F.create_map().cast("map<string,int>")))
-    attempt = lambda e: F.coalesce(F.try_element_at("_later", F.concat_ws("|", e["kind"], e["norm"])), F.lit(0))
-    replaced = F.transform("_found", lambda m: _bind(F.transform(
+        rows = rows.withColumn(key_col, F.when(F.size(found_col) > 0, F.sha2("text", 256)).otherwise(own)).join(
+            written(maps, "attempts"), key_col, "left").drop(key_col)
+        rows = rows.withColumn(later_col, F.coalesce(later_col, F.create_map().cast("map<string,int>")))
+    attempt = lambda e: F.coalesce(F.try_element_at(later_col, F.concat_ws("|", e["kind"], e["norm"])), F.lit(0))
+    replaced = F.transform(found_col, lambda m: _bind(F.transform(
         entities_of(m), lambda e: surrogate_of(e["kind"], e["norm"], attempt(e), key)), lambda found: rendered(m, found)))
 
     def joined(between: Column) -> Column:
-        return F.concat(between[0], F.array_join(F.zip_with(replaced, F.slice(between, 2, F.size("_found")),
+        return F.concat(between[0], F.array_join(F.zip_with(replaced, F.slice(between, 2, F.size(found_col)),
                                                             lambda r, b: F.concat(r, b)), ""))
 
     # the parts between entities are bound once, as the one element of an array
     whole = F.transform(F.array(F.split(text, PATTERN, -1)), joined)[0]
-    return rows.withColumns({"text": F.when(F.size("_found") > 0, whole).otherwise(text),
-                             count_col: F.size("_found")}).drop("_found", "_later")
+    return rows.withColumns({"text": F.when(F.size(found_col) > 0, whole).otherwise(text),
+                             count_col: F.size(found_col)}).drop(found_col, later_col)

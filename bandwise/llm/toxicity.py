@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import bounded_sample, text_chunks, written
+from bandwise.llm.common import bounded_classes, text_chunks, written
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5)
@@ -105,14 +105,14 @@ def ranked_inputs(sample: DataFrame, target: int, min_rows: int) -> tuple[DataFr
 
 def fit_chain(rows: DataFrame, categories: list[str], id_col: str = "doc_id", text_col: str = "text",
               max_fit_docs: int = 6000, max_inputs: int = 256, min_rows: int = 4, folds: int = 5,
-              ridge: float = 0.05) -> ToxicityChain | None:
+              ridge: float = 0.05, least_class_docs: int = 500) -> ToxicityChain | None:
     """Chain over the 0/1 columns ``categories``, predicted in that order; the last one picks
     the inputs. Rows with a null text or label are left out; None if none is usable."""
     usable = rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                          *[F.col(c).cast("int").alias(f"y{i}") for i, c in enumerate(categories)])
     usable = usable.where(F.expr(" and ".join(["text is not null"] + [
         f"y{i} is not null" for i in range(len(categories))])))
-    sample = bounded_sample(usable, max_fit_docs, "doc_id")
+    sample = bounded_classes(usable, max_fit_docs, least_class_docs, "doc_id", F.col(f"y{len(categories) - 1}") > 0)
     target = len(categories) + 1
 
     ranked, size = ranked_inputs(sample, target, min_rows)
@@ -185,15 +185,16 @@ def score_chain(docs: DataFrame, chain: ToxicityChain | None, id_col: str = "doc
 
 def keep_accepted(docs: DataFrame, chain: ToxicityChain | None, text_col: str = "text",
                   threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that the chain doesn't reject."""
+    """The rows of ``docs``, with all their columns, that the chain doesn't reject; null and empty texts stay."""
     if chain is None:
         return docs
     shared, at = docs.sparkSession.sparkContext.broadcast(chain), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches, at):
-            p = shared.value.probabilities(chunk.column(at).to_pylist())
-            yield chunk.filter(pa.array(p[:, -1] < threshold))
+            texts = chunk.column(at).to_pylist()
+            p = shared.value.probabilities(texts)
+            yield chunk.filter(pa.array((p[:, -1] < threshold) | np.array([not t for t in texts], bool)))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -244,16 +245,17 @@ def marker_groups(rows: DataFrame, max_inputs: int = 64, min_rows: int = 4) -> l
 
 
 def weak_categories(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
-                    max_fit_docs: int = 6000) -> DataFrame:
+                    max_fit_docs: int = 6000, least_class_docs: int = 500) -> DataFrame:
     """doc_id, text, insult, contempt, toxic: labelled rows with the chain's three targets.
 
     The table labels toxicity alone; the first two categories are the toxic texts that hold a mark of
     either of ``marker_groups``. A document labelled several times is toxic if any label says so.
-    About ``max_fit_docs`` labels are taken, which bounds what is broadcast to meet the texts.
+    About ``max_fit_docs`` labels are taken, which bounds what is broadcast to meet the texts; a rare class has
+    ``least_class_docs`` of them, or all its rows.
     """
     by_doc = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(F.col(label_col).cast("int")).alias("_label")).where("_label is not null")
-    by_doc = bounded_sample(by_doc, max_fit_docs, "doc_id")
+    by_doc = bounded_classes(by_doc, max_fit_docs, least_class_docs, "doc_id", F.col("_label") > 0)
     rows = written(docs.select("doc_id", "text").join(F.broadcast(by_doc), "doc_id").select("doc_id", "text", "_label"),
                    "labelled")
     groups = marker_groups(rows)
