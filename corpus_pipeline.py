@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.llm import decontam, neardup, packing, pii, toxicity
-from bandwise.llm.common import table, written
+from bandwise.llm.common import free_name, table, written
 from bandwise.llm.queries import SURROGATE_KEY, tokenizer_path, toxicity_chain
 
 
@@ -41,9 +41,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data; n_chars follows the text."""
-    out = pii.rewrite(docs, SURROGATE_KEY, "_replaced")
+    replaced = free_name(docs.columns, "_replaced")
+    out = pii.rewrite(docs, SURROGATE_KEY, replaced)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_replaced") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(replaced) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 
 
