@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bandwise.functions.columns import inverse
 from bandwise.functions.constants import CONFORMAL_ALPHA, TEMPERATURE_BATCH
 from bandwise.operators.params import attach, frozen
-from bandwise.operators.ranks import average_ranks, order_statistic
+from bandwise.operators.ranks import order_statistic, row_numbers
 
 
 #: Least mean squared score that a temperature is fitted to.
@@ -55,11 +55,8 @@ def fit_temperature_batched(df: DataFrame, key: str, y: str = "y", mu: str = "mu
     b = ln(mean over batches of the batch mean of z^2).
     """
     src = df.where(F.col(split_col) == fit_on) if split_col else df
-    # Position in key order without a single-task window: exact ranks by bucket.
-    pos = average_ranks(src, key, out="_pos").withColumnRenamed(key, "_bw_key")
-    rows = src.select(F.col(key).alias("_bw_key"), _z2(y, mu, log_var).alias("_z2"))
-    batched = (rows.join(pos, on="_bw_key", how="inner")
-               .withColumn("_b", F.floor((F.col("_pos") - 1) / F.lit(batch)))
+    rows = row_numbers(src.select(F.col(key).alias("_bw_key"), _z2(y, mu, log_var).alias("_z2")), "_bw_key", "_pos")
+    batched = (rows.withColumn("_b", F.floor((F.col("_pos") - 1) / F.lit(batch)))
                .groupBy("_b").agg(F.avg("_z2").alias("_m"), F.count(F.lit(1)).alias("_n")))
     m = F.greatest(F.avg("_m"), F.lit(MIN_SQUARE))
     params = batched.agg(F.log(m).alias("bias"), F.sqrt(m).alias("temperature"),

@@ -147,8 +147,11 @@ def fit_isolation_forest(df: DataFrame, features, key: str, trees: int = FOREST_
 
     nodes = chosen.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
     forest = IsolationForest(features, nodes, m)
-    scored = forest.score(src.select(*features))
-    forest.cut = float(exact_percentile(scored, "iso_score", 1.0 - contamination, out="q").first()["q"])
+    scored = forest.score(src.select(*features)).select("iso_score").persist()  # read once a pass
+    try:
+        forest.cut = float(exact_percentile(scored, "iso_score", 1.0 - contamination, out="q").first()["q"])
+    finally:
+        scored.unpersist()
     return forest
 
 

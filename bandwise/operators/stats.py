@@ -9,13 +9,13 @@ import pandas as pd
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.functions.columns import col_of, safe_corr
+from bandwise.functions.columns import col_of
 from bandwise.functions.constants import HIST_BINS, KDE_GRID
 from bandwise.operators.params import attach
-from bandwise.operators.ranks import average_ranks, exact_percentile
+from bandwise.operators.ranks import average_ranks, exact_percentile, row_numbers
 from bandwise.session import cut_lineage
 
 
@@ -33,19 +33,32 @@ def median(df: DataFrame, value: str, by=()) -> DataFrame:
 
 def spearman(df: DataFrame, x: str, y: str, by=(), out: str = "spearman",
              parts: int | None = None) -> DataFrame:
-    """Rank correlation with tie-averaged ranks; null when a side is constant."""
+    """Rank correlation with tie-averaged ranks; null when a side is constant.
+
+    Rows become a table of counts of (by, x, y) first, written once. Each side's ranks come from its own counts, and the
+    correlation from weighted moments of the joint counts, which meet the ranks by a join that no tied
+    value can make uneven (broadcast if few, hot values apart if many). NaN counts as no value.
+    """
     by = list(by)
-    rows = df.select(*by, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y))
-    rows = cut_lineage(rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()))
-    # both columns ranked in one pass: stacked as (side, value), ranked per side
-    stacked = rows.select(*by, F.explode(F.array(
-        F.struct(F.lit(0).alias("_side"), F.col(x).alias("_v")),
-        F.struct(F.lit(1).alias("_side"), F.col(y).alias("_v")))).alias("_s")).select(*by, "_s.*")
-    ranks = average_ranks(stacked, "_v", [*by, "_side"], parts=parts, out="_r")
-    rx = ranks.where(F.col("_side") == 0).select(*by, F.col("_v").alias(x), F.col("_r").alias("_rx"))
-    ry = ranks.where(F.col("_side") == 1).select(*by, F.col("_v").alias(y), F.col("_r").alias("_ry"))
-    ranked = rows.join(rx, on=[*by, x], how="inner").join(ry, on=[*by, y], how="inner")
-    return ranked.groupBy(*by).agg(safe_corr("_rx", "_ry").alias(out))
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    keys = [f"_by{i}" for i in range(len(by))]
+    rows = df.select(*[F.struct(F.col(c)).alias(k) for c, k in zip(by, keys)], a.alias("_x"), b.alias("_y"))
+    rows = rows.where("_x is not null and _y is not null and not isnan(_x) and not isnan(_y)")
+    joint = cut_lineage(rows.groupBy(*keys, "_x", "_y").agg(F.count(F.lit(1)).alias("_n")))
+    ranked = joint
+    for side, rank in (("_x", "_rx"), ("_y", "_ry")):
+        ranked = attach(ranked, average_ranks(joint, side, keys, parts=parts, out=rank, weight="_n"), [*keys, side], "inner")
+    # moments about the middle rank, which is the mean of all ranks of a group
+    n = F.sum("_n")
+    totals = joint.groupBy(*keys).agg(n.alias("_total"))
+    ranked = attach(ranked, totals, keys, "inner")
+    dx, dy = (F.col(c) - (F.col("_total") + 1) / F.lit(2.0) for c in ("_rx", "_ry"))
+    rho = F.try_divide(F.sum(F.col("_n") * dx * dy), F.sqrt(F.sum(F.col("_n") * dx * dx)) * F.sqrt(F.sum(F.col("_n") * dy * dy)))
+    found = ranked.groupBy(*keys).agg(rho.alias(out))
+    if not by:
+        return found
+    # a group whose rows all lack a value has no correlation, but is a group
+    return found.select(*[F.col(f"{k}.{c}").alias(c) for c, k in zip(by, keys)], out)
 
 
 def histogram(df: DataFrame, value: str, bins: int = HIST_BINS) -> DataFrame:
@@ -128,7 +141,7 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: str = "42") -> DataFrame:
 
 
 def sorted_positions(df: DataFrame, order_cols, out: str = "position") -> DataFrame:
-    """1-based position in a stated order (W2). Use after a limit or sample:
-    an unpartitioned window is one task, so it must only see bounded input."""
-    w = Window.orderBy(*[col_of(c) for c in order_cols])
-    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    """1-based position in a stated order (W2), whatever the number of rows: dealt by the first column, numbered
+    within buckets (``ranks.row_numbers``)."""
+    first, *ties = order_cols
+    return row_numbers(df, first, out, ties=ties)
