@@ -12,11 +12,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from bandwise.session import spread
 from bandwise.functions.constants import (
@@ -117,7 +117,7 @@ def block_sums(blocks, weights: np.ndarray, sizes, kind: str):
     sums = blocks.mapPartitions(run)
     # many partitions' vectors are summed in two levels, a few by the driver
     summed = sums.treeReduce(np.add) if blocks.getNumPartitions() > DIRECT_PARTITIONS else sums.reduce(np.add)
-    bc.unpersist()
+    bc.destroy()
     return summed[:p], summed[p], summed[p + 1], summed[p + 2]
 
 
@@ -159,6 +159,13 @@ def _train_rows(df, features, y, split_col, fit_on):
     return packed_blocks(spread(rows), features, y)
 
 
+def _with_outputs(df: DataFrame, run, features, names: dict) -> DataFrame:
+    """``df`` with the fields of ``run`` over the feature columns, which alone go to Python."""
+    out = df.withColumn("_bw_out", run(*[F.col(c).cast("double") for c in features]))
+    return out.select(*[F.col(c) for c in df.columns if c not in names.values()],
+                      *[F.col(f"_bw_out.{k}").alias(v) for k, v in names.items()])
+
+
 # ---- variational net (M3b) -------------------------------------------------------
 
 @dataclass
@@ -193,20 +200,15 @@ class VariationalNet:
         sig = _softplus(self.rho)
         draws = self.mu + sig * rng.standard_normal((n_draws, len(self.mu)))
         bc = df.sparkSession.sparkContext.broadcast(draws)
-        feats, sizes = list(self.features), self.sizes
-        schema = StructType([*df.schema.fields, StructField(mean, DoubleType()),
-                             StructField(std, DoubleType())])
+        sizes = self.sizes
 
-        def run(batches):
-            ws = bc.value
-            for pdf in batches:
-                x = pdf[feats].to_numpy(dtype=float)
-                preds = np.stack([forward(unflatten(w, sizes), x)[0][-1][:, 0] for w in ws])
-                pdf[mean] = preds.mean(axis=0)
-                pdf[std] = preds.std(axis=0)
-                yield pdf
+        @F.pandas_udf("mean double, std double")
+        def run(*columns: pd.Series) -> pd.DataFrame:
+            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            preds = np.stack([forward(unflatten(w, sizes), x)[0][-1][:, 0] for w in bc.value])
+            return pd.DataFrame({"mean": preds.mean(axis=0), "std": preds.std(axis=0)})
 
-        return df.mapInPandas(run, schema)
+        return _with_outputs(df, run, self.features, {"mean": mean, "std": std})
 
 
 def fit_variational_net(df: DataFrame, features, y: str = "y", hidden=VARIATIONAL_LAYERS,
@@ -258,19 +260,14 @@ class MeanVarNet:
 
     def transform(self, df: DataFrame, mu: str = "mu", log_var: str = "log_var") -> DataFrame:
         bc = df.sparkSession.sparkContext.broadcast(self.weights)
-        feats, sizes = list(self.features), self.sizes
-        schema = StructType([*df.schema.fields, StructField(mu, DoubleType()),
-                             StructField(log_var, DoubleType())])
-
-        def run(batches):
-            layers = unflatten(bc.value, sizes)
-            for pdf in batches:
-                out = forward(layers, pdf[feats].to_numpy(dtype=float))[0][-1]
-                pdf[mu] = out[:, 0]
-                pdf[log_var] = out[:, 1]
-                yield pdf
-
-        return df.mapInPandas(run, schema)
+        sizes = self.sizes
+
+        @F.pandas_udf("mu double, log_var double")
+        def run(*columns: pd.Series) -> pd.DataFrame:
+            out = forward(unflatten(bc.value, sizes), np.column_stack([c.to_numpy(dtype=float) for c in columns]))[0][-1]
+            return pd.DataFrame({"mu": out[:, 0], "log_var": out[:, 1]})
+
+        return _with_outputs(df, run, self.features, {"mu": mu, "log_var": log_var})
 
 
 def fit_meanvar_net(df: DataFrame, features, y: str = "y", hidden=MEANVAR_LAYERS,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.functions.constants import BOOST_DEPTH, BOOST_RATE, BOOST_ROUNDS, SEED
+from bandwise.operators.ensembles import FlatTrees, flatten, predict_all
 from bandwise.operators.ranks import exact_percentile
 from bandwise.session import cut_lineage, spread
 
@@ -33,23 +34,17 @@ class QuantileBooster:
     features_col: str
     trees: list = field(default_factory=list)   # (tree model, {leaf index: value})
 
+    def flat(self) -> FlatTrees:
+        """All trees as node arrays, leaves moved by ``rate`` times their quantile."""
+        return flatten([t for t, _ in self.trees], [self.rate] * len(self.trees), self.init, [v for _, v in self.trees])
+
     def transform(self, df: DataFrame, out: str) -> DataFrame:
-        cur = df.withColumn(out, F.lit(float(self.init)))
-        for i, (tree, values) in enumerate(self.trees):
-            cur = _add_tree(cur, tree, values, self.rate, self.features_col, out, f"_bw_t{i}")
-        return cur
-
-
-def _add_tree(df: DataFrame, tree, values: dict, rate: float, features_col: str, out: str,
-              tmp: str) -> DataFrame:
-    m = tree.copy()
-    m.setFeaturesCol(features_col).setLeafCol(LEAF).setPredictionCol(tmp)
-    pairs = []
-    for leaf, v in sorted(values.items()):
-        pairs += [F.lit(float(leaf)), F.lit(float(v))]
-    lookup = F.element_at(F.create_map(*pairs), F.col(LEAF)) if pairs else F.lit(0.0)
-    step = F.lit(float(rate)) * F.coalesce(lookup, F.lit(0.0))
-    return m.transform(df).withColumn(out, F.col(out) + step).drop(LEAF, tmp)
+        return predict_all(df, self.features_col, {out: self.flat()})
+
+
+def flat_gbt(model: GBTRegressionModel) -> FlatTrees:
+    """A boosted mean model as node arrays."""
+    return flatten(model.trees, list(model.treeWeights))
 
 
 def fit_quantile_booster(df: DataFrame, features_col: str, y: str = "y", alpha: float = 0.5,

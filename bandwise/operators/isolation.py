@@ -17,9 +17,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from bandwise.functions.constants import CONTAMINATION, FOREST_SAMPLE, FOREST_TREES, SEED, TRUST_LABELS
+from bandwise.operators.boosting import flat_gbt
+from bandwise.operators.ensembles import predict_all
 from bandwise.operators.ranks import exact_percentile
 
 EULER = 0.5772156649015329
@@ -80,31 +81,29 @@ class IsolationForest:
         return trees
 
     def score(self, df: DataFrame, out: str = "iso_score") -> DataFrame:
-        """Adds s in (0, 1]; Arrow batches, forest broadcast once per executor."""
+        """Adds s in (0, 1]; only the features go to Python, forest broadcast once per executor."""
         spark = df.sparkSession
         bc = spark.sparkContext.broadcast(self._arrays())
         feats, denom = list(self.features), float(c_factor([self.sample])[0])
-        schema = StructType([*df.schema.fields, StructField(out, DoubleType())])
 
-        def run(batches):
+        @F.pandas_udf("double")
+        def run(*columns: pd.Series) -> pd.Series:
             trees = bc.value
-            for pdf in batches:
-                x = pdf[feats].to_numpy(dtype=float)
-                total = np.zeros(len(pdf))
-                for feat, thr, left, right, leaf_len in trees:
-                    node = np.zeros(len(pdf), dtype=np.int64)
+            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            total = np.zeros(len(x))
+            for feat, thr, left, right, leaf_len in trees:
+                node = np.zeros(len(x), dtype=np.int64)
+                active = feat[node] >= 0
+                while active.any():
+                    f = feat[node[active]]
+                    go = x[active, f] <= thr[node[active]]
+                    node[active] = np.where(go, left[node[active]], right[node[active]])
                     active = feat[node] >= 0
-                    while active.any():
-                        f = feat[node[active]]
-                        go = x[active, f] <= thr[node[active]]
-                        node[active] = np.where(go, left[node[active]], right[node[active]])
-                        active = feat[node] >= 0
-                    total += leaf_len[node]
-                # a forest on one row tells nothing apart: every score is 1
-                pdf[out] = np.power(2.0, -(total / len(trees)) / denom) if denom > 0 else np.ones(len(pdf))
-                yield pdf
-
-        return df.mapInPandas(run, schema)
+                total += leaf_len[node]
+            # a forest on one row tells nothing apart: every score is 1
+            return pd.Series(np.power(2.0, -(total / len(trees)) / denom) if denom > 0 else np.ones(len(x)))
+
+        return df.withColumn(out, run(*[F.col(c).cast("double") for c in feats]))
 
     def flag(self, df: DataFrame, score: str = "iso_score") -> DataFrame:
         """weirdness = s - cut (positive = odd); is_anomaly = weirdness > 0."""
@@ -167,11 +166,7 @@ def scan(df: DataFrame, key: str, features_col: str, mean_model, lower_model, up
 
     ``weird_limit`` / ``width_limit`` are optional extra flags, off by default.
     """
-    m = mean_model.copy()
-    m.setFeaturesCol(features_col).setPredictionCol("predicted")
-    cur = m.transform(df)
-    cur = lower_model.transform(cur, "_lo")
-    cur = upper_model.transform(cur, "_hi")
+    cur = predict_all(df, features_col, {"predicted": flat_gbt(mean_model), "_lo": lower_model.flat(), "_hi": upper_model.flat()})
     cur = forest.flag(forest.score(cur))
     out = cur.select(
         key, "predicted",

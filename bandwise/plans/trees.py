@@ -16,6 +16,7 @@ from bandwise.operators.audits import report_card
 from bandwise.operators.boosting import fit_gbt_mean, fit_quantile_booster
 from bandwise.operators.calibration import quantile_interval
 from bandwise.operators.clustering import fit_kmeans_feature
+from bandwise.operators.ensembles import predict_all
 from bandwise.operators.isolation import fit_isolation_forest, scan
 from bandwise.operators.prep import assemble, fit_standardizer
 from bandwise.session import cut_lineage
@@ -53,7 +54,8 @@ def lineitem_quantile_pair(spark: SparkSession, folder: str, rounds: int = QUERY
         lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),
         lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds))
     test = frame.where(F.col("split") == "test")
-    test = quantile_interval(hi.transform(lo.transform(test, "q_lower"), "q_upper"), "q_lower", "q_upper")
+    test = predict_all(test, "features", {"q_lower": lo.flat(), "q_upper": hi.flat()})
+    test = quantile_interval(test, "q_lower", "q_upper")
     return report_card(test, "y", "lower", "upper")
 
 
@@ -86,7 +88,7 @@ def quantile_boost(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS)
         lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),
         lambda: fit_quantile_booster(frame, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds))
     test = frame.where(F.col("split") == "test")
-    test = hi.transform(lo.transform(test, "q_lower"), "q_upper")
+    test = predict_all(test, "features", {"q_lower": lo.flat(), "q_upper": hi.flat()})
     return quantile_interval(test, "q_lower", "q_upper").select(
         "key", "y", "lower", "upper", "width", "crossed")
 

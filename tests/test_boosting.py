@@ -2,7 +2,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from bandwise.operators.boosting import fit_gbt_mean, fit_quantile_booster
+from bandwise.operators.boosting import fit_gbt_mean, fit_quantile_booster, flat_gbt
+from bandwise.operators.ensembles import predict_all
 from bandwise.operators.prep import assemble
 
 
@@ -34,3 +35,36 @@ def test_gbt_mean_reaches_group_means(grouped):
     out = model.transform(df.select("g", "features").distinct()).toPandas().set_index("g")
     for gv in (0.0, 1.0):
         assert out.loc[gv, "prediction"] == pytest.approx(pdf[pdf.g == gv].y.mean(), abs=0.05)
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(800, 3)) * [1, 1e-9, 1e9]
+    pdf = pd.DataFrame(x, columns=["a", "b", "c"]).assign(y=np.sin(x[:, 0]) + x[:, 1] * 1e9 + (x[:, 2] > 0), split="train")
+    return assemble(spark.createDataFrame(pdf), ["a", "b", "c"])
+
+
+def test_flat_mean_model_equals_tree_by_tree(wide):
+    model = fit_gbt_mean(wide, "features", rounds=12)
+    flat = flat_gbt(model)
+    assert flat.depth <= 5 and len(flat.roots) == 12
+    out = predict_all(model.transform(wide), "features", {"flat": flat}).toPandas()
+    assert np.allclose(out.flat, out.prediction, rtol=1e-12, atol=1e-12)
+
+
+def test_flat_quantile_pair_equals_tree_by_tree(wide):
+    models = {a: fit_quantile_booster(wide, "features", alpha=a, rounds=6) for a in (0.1, 0.9)}
+    flat = predict_all(wide, "features", {f"q{int(10 * a)}": m.flat() for a, m in models.items()})
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # both ensembles in one pass
+    got = flat.toPandas()
+    for a, m in models.items():
+        want = np.full(len(got), m.init)
+        for tree, values in m.trees:
+            t = tree.copy()
+            t.setLeafCol("leaf").setPredictionCol("p")
+            leaves = t.transform(wide).select("leaf").toPandas().leaf
+            want = want + m.rate * leaves.map(values).to_numpy()
+        assert np.allclose(got[f"q{int(10 * a)}"], want, rtol=1e-12, atol=1e-12)
+    assert predict_all(wide.limit(0), "features", {"q": models[0.1].flat()}).count() == 0
