@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -117,3 +118,22 @@ def in_table(table: bytes, hashes: np.ndarray) -> np.ndarray:
     """Which of the hashes have their bit set."""
     bit = (hashes.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
     return (np.frombuffer(table, np.uint8)[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def without_ids(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows whose id isn't one of ``ids`` (a column of that name); null ids stay.
+
+    A bit table tells most rows from the ids within their task; only rows whose id may be
+    one of them are shuffled, however many rows stay.
+    """
+    ids = ids.select(F.col(id_col).cast(rows.schema[id_col].dataType).alias(id_col))
+    table = rows.sparkSession.sparkContext.broadcast(bit_table(ids.select(F.xxhash64(id_col).alias("hash")), "hash"))
+
+    @F.pandas_udf("boolean")
+    def maybe(hashes: pd.Series) -> pd.Series:
+        return pd.Series(in_table(table.value, hashes.to_numpy()))
+
+    flag = free_name(rows.columns, "_maybe")
+    marked = rows.withColumn(flag, maybe(F.xxhash64(id_col)))
+    met = marked.where(flag).join(ids, id_col, "left_anti").select(marked.columns)
+    return marked.where(~F.col(flag)).unionByName(met).drop(flag)
