@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.llm import decontam, neardup, packing, pii, toxicity
-from bandwise.llm.common import free_name, table, written
+from bandwise.llm.common import free_name, table, without_ids, written
 from bandwise.llm.queries import SURROGATE_KEY, tokenizer_path, toxicity_chain
 
 
@@ -25,7 +25,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each group of near copies: the one with the smallest id. Of rows
     repeated whole under one id one stays."""
     found = written(neardup.near_duplicates(docs, words=5).where("doc_id is not null"), "near-copies")
-    out = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    out = without_ids(docs, found.where("not kept").select("doc_id").distinct(), "doc_id")
     repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return out
@@ -36,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(written(found.select("doc_id").distinct(), "contaminated"), "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, written(found.select("doc_id").distinct(), "contaminated"), "doc_id")
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
