@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from bandwise.functions.constants import KMEANS_K, KMEANS_STARTS, SEED
+from bandwise.operators.prep import assemble
 from bandwise.session import spread
 
 
@@ -117,3 +118,11 @@ def fit_kmeans_feature(df: DataFrame, features_col: str, k: int = KMEANS_K,
         return min(fits, key=lambda f: (f.cost, f.seed))
     finally:
         src.unpersist()
+
+
+def kmeans_on_columns(df: DataFrame, columns, out: str = "cluster", **fit) -> tuple[DataFrame, KMeansFeature]:
+    """Cluster id from the columns named (P8, for example two coordinates), all other columns kept."""
+    vector = "_bw_chosen"
+    chosen = assemble(df, list(columns), vector)
+    feature = fit_kmeans_feature(chosen, vector, **fit)
+    return feature.transform(chosen, out).drop(vector), feature

@@ -76,6 +76,13 @@ def nll_before_after_report(spark: SparkSession, folder: str) -> DataFrame:
                              ("nll_raw", "nll_cal", "improvement", "coverage_model_scale")])
 
 
+def mse_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Squared error of the per-user mean, summed and averaged, per split."""
+    pred, _ = calibrated_predictions(spark, folder, "user_id")
+    error = F.pow(F.col("y") - F.col("mu"), 2)
+    return pred.groupBy("split").agg(F.count(error).alias("n"), rounded(F.sum(error)).alias("sse"), rounded(F.avg(error)).alias("mse"))
+
+
 def temperature_scale(spark: SparkSession, folder: str) -> DataFrame:
     """Temperature per event type (validation rows) for the per-user Gaussian."""
     pred, _ = calibrated_predictions(spark, folder, "user_id")

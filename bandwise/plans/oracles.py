@@ -144,7 +144,7 @@ st AS (
   SELECT c.segment, exp(c.y) - 1 AS y_real,
          exp(c.mu - sq.q_hat * c.sigma) - 1 AS lower, exp(c.mu + sq.q_hat * c.sigma) - 1 AS upper,
          sq.q_hat, sq.n_cal, sq.rank
-  FROM c JOIN sq USING (segment) WHERE c.split = 'test')
+  FROM c LEFT JOIN sq USING (segment) WHERE c.split = 'test')
 SELECT segment, count(y_real) AS n, {r6(cov)} AS coverage, {cov_verdict(cov)} AS verdict,
   {r6('any_value(q_hat)')} AS q_hat, any_value(n_cal) AS n_cal, any_value(rank) AS rank
 FROM st GROUP BY segment
@@ -541,6 +541,43 @@ ORACLES_EXTRA = {
 }
 
 
+def mse_report() -> str:
+    return f"""
+WITH {events_calibrated('user_id')}
+SELECT split, count(pow(y - mu, 2)) AS n, {r6('sum(pow(y - mu, 2))')} AS sse, {r6('avg(pow(y - mu, 2))')} AS mse
+FROM c GROUP BY split
+"""
+
+
+def anomaly_flags() -> str:
+    return f"""
+WITH o AS (SELECT o_orderkey AS key, o_totalprice::DOUBLE AS s, {split3('o_orderkey')} AS split FROM orders),
+cut AS (SELECT quantile_cont(s, 1.0::DOUBLE - 0.05::DOUBLE) AS q FROM o WHERE split = 'train')
+SELECT key, {r6('s - q')} AS weirdness_score, s - q > 0 AS is_anomaly,
+  CASE WHEN s - q > 0 THEN 'uncommon' ELSE 'normal' END AS trust
+FROM o, cut
+"""
+
+
+def crossing_intervals() -> str:
+    return f"""
+WITH b AS (
+  SELECT (l_extendedprice * (1 - l_discount))::DOUBLE AS lo, l_quantity::DOUBLE * 1500.0::DOUBLE AS hi FROM lineitem)
+SELECT lo > hi AS crossed, count(*) AS n, {r6('avg(hi - lo)', 4)} AS mean_raw_width,
+  {r6('avg(greatest(lo, hi) - least(lo, hi))', 4)} AS mean_width, 0::BIGINT AS n_crossed_after
+FROM b GROUP BY lo > hi
+"""
+
+
+def assembled_features() -> str:
+    return """
+SELECT o_orderkey AS key, 2 AS width, o_totalprice::DOUBLE AS total,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 1.0 WHEN '2-HIGH' THEN 2.0 WHEN '3-MEDIUM' THEN 3.0
+       WHEN '5-LOW' THEN 4.0 ELSE 0.0 END::DOUBLE AS priority
+FROM orders
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "calibration_chain": calibration_chain(),
@@ -571,6 +608,10 @@ def all_oracles() -> dict[str, str]:
         "sharpness_audit": sharpness_report(),
         "report_card": report_card_rows(),
         "row_verdict": row_verdicts(),
+        "mse_report": mse_report(),
+        "anomaly_flags": anomaly_flags(),
+        "crossing_intervals": crossing_intervals(),
+        "assembled_features": assembled_features(),
         **{k: f() for k, f in ORACLES_PHASE6.items()},
         **{k: f() for k, f in ORACLES_PHASE7.items()},
         **{k: f() for k, f in ORACLES_EXTRA.items()},

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,12 +11,12 @@ from bandwise.functions.constants import CONFORMAL_ALPHA, HIST_BINS, QUANTILE_AL
 from bandwise.operators.audits import report_card, skew_audit
 from bandwise.operators.calibration import conformal_rank
 from bandwise.operators.prep import (
-    fit_standardizer, hash_split, ordinal_encode, positive_filter, standardize_train_stats,
+    feature_pipeline, fit_standardizer, hash_split, ordinal_encode, positive_filter, standardize_train_stats,
 )
 from bandwise.operators.ranks import exact_percentiles, order_statistic
 from bandwise.operators.stats import density_curve, histogram
 from bandwise.plans.calibration import conformal_test
-from bandwise.sources.fixtures import LINEITEM_FEATURES, events_frame, lineitem_part_frame
+from bandwise.sources.fixtures import LINEITEM_FEATURES, events_frame, lineitem_part_frame, orders_frame
 from bandwise.sources.tables import read_table
 
 # --- fixed values: TPC-H order priorities, lowest rank first; "4-NOT SPECIFIED" is
@@ -149,3 +150,11 @@ def report_card_rows(spark: SparkSession, folder: str) -> DataFrame:
                       rounded("mean_width").alias("mean_width"),
                       rounded("mean_target").alias("mean_target"),
                       rounded("relative_width_pct").alias("relative_width_pct"), "verdict")
+
+
+def assembled_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The staged pipeline over orders: ordinal stage, then the assembled vector, as an array."""
+    orders = orders_frame(spark, folder)
+    pipeline = feature_pipeline({"o_orderpriority": PRIORITY_LEVELS}, ["y"])
+    made = pipeline.fit(orders).transform(orders).withColumn("a", vector_to_array("features"))
+    return made.select("key", F.size("a").alias("width"), F.col("a")[0].alias("total"), F.col("a")[1].alias("priority"))

@@ -14,6 +14,7 @@ def all_queries() -> dict:
         # phase 2: preparation
         "positive_filter": prep.positive_filter_rows,
         "ordinal_encode": prep.ordinal_encode_rows,
+        "assembled_features": prep.assembled_features,
         "hash_split_counts": prep.hash_split_counts,
         "standardize_train_stats": prep.standardize_train_stats_rows,
         "standardized_check": prep.standardized_check,
@@ -34,6 +35,8 @@ def all_queries() -> dict:
         "gaussian_interval": cal.gaussian_interval_rows,
         "group_quantile_interval": prep.group_quantile_interval,
         "nll_before_after": cal.nll_before_after_report,
+        "mse_report": cal.mse_report,
+        "crossing_intervals": trees.crossing_intervals,
         "temperature_scale": cal.temperature_scale,
         "temperature_batched": cal.temperature_batched,
         "conformal_interval": cal.conformal_interval,
@@ -62,9 +65,12 @@ def all_queries() -> dict:
         "isolation_scores": trees.isolation_scores,
         "combined_scan": trees.combined_scan,
         "enhanced_scan": trees.enhanced_scan,
+        "enhanced_report_card": trees.enhanced_report_card,
+        "anomaly_flags": trees.anomaly_flags,
         # phase 10: nets, data-parallel
         "variational_net": nets.variational_net,
         "net_training_log": nets.net_training_log,
         "mean_logvar_net": nets.mean_logvar_net,
+        "mean_logvar_coverage": nets.mean_logvar_coverage,
         "mean_logvar_linear": nets.mean_logvar_linear,
     }

@@ -11,16 +11,18 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.functions.constants import BOOST_ROUNDS, QUANTILE_ALPHAS
+from bandwise.functions.constants import BOOST_ROUNDS, CONTAMINATION, QUANTILE_ALPHAS
 from bandwise.operators.audits import report_card
 from bandwise.operators.boosting import fit_gbt_mean, fit_quantile_booster
 from bandwise.operators.calibration import quantile_interval
-from bandwise.operators.clustering import fit_kmeans_feature
+from bandwise.operators.clustering import kmeans_on_columns
 from bandwise.operators.ensembles import predict_all
-from bandwise.operators.isolation import fit_isolation_forest, scan
+from bandwise.operators.isolation import IsolationForest, fit_isolation_forest, scan, trust_label
 from bandwise.operators.prep import assemble, fit_standardizer
+from bandwise.operators.ranks import exact_percentile
 from bandwise.session import cut_lineage
-from bandwise.sources.fixtures import LINEITEM_FEATURES, documents_frame, lineitem_part_frame
+from bandwise.sources.fixtures import LINEITEM_FEATURES, documents_frame, lineitem_part_frame, orders_frame
+from bandwise.sources.tables import read_table
 
 FEATURES = ["x_words", "x_lines"]
 # Registered queries run the API default of 100 rounds.
@@ -117,6 +119,21 @@ def combined_scan(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS)
     return scan(frame.where(F.col("split") == "test"), "key", "features", mean, lo, hi, forest)
 
 
+def _enhanced(spark: SparkSession, folder: str, rounds: int, k: int, starts: int):
+    """Frame with the cluster id as a further feature, and the models refitted on it."""
+    frame, _ = kmeans_on_columns(tree_frame(spark, folder), FEATURES, k=k, starts=starts)
+    wide = frame.withColumn("cluster_id", F.col("cluster").cast("double"))
+    cols = [*FEATURES, "cluster_id"]
+    wide = cut_lineage(assemble(wide.drop("features"), cols).select(
+        "key", "split", "y", "features", "cluster", *cols))
+    models = fit_together(
+        lambda: fit_gbt_mean(wide, "features", rounds=rounds),
+        lambda: fit_quantile_booster(wide, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),
+        lambda: fit_quantile_booster(wide, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds),
+        lambda: fit_isolation_forest(wide, cols, "key"))
+    return wide, models
+
+
 def enhanced_scan(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS,
                   k: int = 50, starts: int = 10) -> DataFrame:
     """The scan again with a k-means cluster id as an extra feature.
@@ -126,17 +143,36 @@ def enhanced_scan(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS,
     then the mean, the quantile pair and the isolation forest are refitted
     on the wider features and every test row is scanned.
     """
-    frame = tree_frame(spark, folder)
-    km = fit_kmeans_feature(frame, "features", k=k, starts=starts)
-    wide = km.transform(frame).withColumn("cluster_id", F.col("cluster").cast("double"))
-    cols = [*FEATURES, "cluster_id"]
-    wide = cut_lineage(assemble(wide.drop("features"), cols).select(
-        "key", "split", "y", "features", "cluster", *cols))
-    mean, lo, hi, forest = fit_together(
-        lambda: fit_gbt_mean(wide, "features", rounds=rounds),
-        lambda: fit_quantile_booster(wide, "features", alpha=QUANTILE_ALPHAS[0], rounds=rounds),
-        lambda: fit_quantile_booster(wide, "features", alpha=QUANTILE_ALPHAS[1], rounds=rounds),
-        lambda: fit_isolation_forest(wide, cols, "key"))
+    wide, (mean, lo, hi, forest) = _enhanced(spark, folder, rounds, k, starts)
     test = wide.where(F.col("split") == "test")
     out = scan(test, "key", "features", mean, lo, hi, forest)
     return out.join(test.select("key", "cluster"), on="key", how="inner")
+
+
+def enhanced_report_card(spark: SparkSession, folder: str, rounds: int = QUERY_ROUNDS,
+                         k: int = 50, starts: int = 10) -> DataFrame:
+    """The report card of the pair refitted with the cluster id: coverage and width on the test rows."""
+    wide, (_, lo, hi, _) = _enhanced(spark, folder, rounds, k, starts)
+    test = predict_all(wide.where(F.col("split") == "test"), "features", {"q_lower": lo.flat(), "q_upper": hi.flat()})
+    return report_card(quantile_interval(test, "q_lower", "q_upper"), "y", "lower", "upper")
+
+
+def anomaly_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Cut, weirdness, flag and trust label of given scores (order totals): the part of the scan after the forest."""
+    orders = orders_frame(spark, folder)
+    cut = exact_percentile(orders.where(F.col("split") == "train"), "y", 1.0 - CONTAMINATION, out="q").first()["q"]
+    forest = IsolationForest([], None, 1, float(cut))
+    return forest.flag(orders, "y").select("key", F.round("weirdness_score", 6).alias("weirdness_score"), "is_anomaly",
+                                           trust_label().alias("trust"))
+
+
+def crossing_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Bounds that cross on some rows of lineitem, as they are and repaired."""
+    rows = read_table(spark, folder, "lineitem", ["l_extendedprice", "l_discount", "l_quantity"]).select(
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("q_lower"),
+        (F.col("l_quantity").cast("double") * 1500.0).alias("q_upper"))
+    raw = quantile_interval(rows, "q_lower", "q_upper").withColumnRenamed("width", "raw_width").drop("lower", "upper")
+    both = quantile_interval(raw, "q_lower", "q_upper", repair=True)
+    return both.groupBy("crossed").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("raw_width"), 4).alias("mean_raw_width"),
+        F.round(F.avg("width"), 4).alias("mean_width"), F.sum((F.col("lower") > F.col("upper")).cast("int")).alias("n_crossed_after"))
