@@ -8,7 +8,8 @@ placeholders' fillers must map one to one between the item and the document: the
 numbers or names is still that question, while a chance overlap of phrases is not.
 
 A capitalised word that begins a text or a sentence may be a word or a name: windows are hashed in both
-readings. Scripts written without spaces are cut into characters.
+readings. Every window is also read with all its capitalised words as words: so an item is found
+in Title Case too. A window of placeholders alone that are filled otherwise counts only beside one with a word. Scripts written without spaces are cut into characters.
 """
 
 from __future__ import annotations
@@ -84,15 +85,15 @@ class Canonical:
             self.at.clear()
             self.fill.clear()
 
-    def codes(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def codes(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Codes of a text's words (a capitalised word that doesn't begin a sentence is a name), their
-        memo rows, and which may be names as well: capitalised words that begin the text or a sentence.
-        Words without a letter, digit or unit sign are left out."""
+        memo rows, which may be names as well (capitalised words that begin the text or a sentence), and
+        the codes without names. Words without a letter, digit or unit sign are left out."""
         if text and not text.isascii() and _UNSPACED.search(text):
             text = _UNSPACED.sub(r" \g<0> ", text)
         parts, at = text.split() if text else [], self.at
         if not parts:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.uint64)
         found = list(map(at.get, parts))
         if None in found:
             for i, row in enumerate(found):
@@ -104,10 +105,17 @@ class Canonical:
         word, name = self.code[rows], self.name[rows]
         out = np.where(begins, word, name)
         some = out != 0
-        return out[some], rows[some], (begins & (word != name))[some]
+        return out[some], rows[some], (begins & (word != name))[some], word[some]
 
 
-def _readings(codes: np.ndarray, maybe: np.ndarray, n: int, text: np.ndarray | None = None) -> Iterator[
+def _sums(codes: np.ndarray, n: int) -> np.ndarray:
+    total = np.zeros(len(codes) - n + 1, np.uint64)
+    for i in range(n):
+        total = total * _UP[1] + codes[i:i + len(total)]
+    return total
+
+
+def _readings(codes: np.ndarray, maybe: np.ndarray, n: int, plain: np.ndarray, text: np.ndarray | None = None) -> Iterator[
         tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(place, hash, names) of all readings of the windows of n words; the bits of ``names`` tell which
     of the window's words that may be names are read as such. The sum under a reading's hash is
@@ -122,6 +130,10 @@ def _readings(codes: np.ndarray, maybe: np.ndarray, n: int, text: np.ndarray | N
     within = np.ones(m, bool) if text is None else text[:m] == text[n - 1:]
     whole = np.flatnonzero(within)
     yield whole, mix(total[whole] + np.uint64(n)), np.zeros(len(whole), np.int64)
+    inside = np.concatenate(([0], np.cumsum(plain != codes)))
+    named = np.flatnonzero((inside[n:] > inside[:m]) & within)
+    if len(named):
+        yield named, mix(_sums(plain, n)[named] + np.uint64(n)), np.full(len(named), -1)
     places = np.flatnonzero(maybe)
     if not len(places):
         return
@@ -140,11 +152,15 @@ def _readings(codes: np.ndarray, maybe: np.ndarray, n: int, text: np.ndarray | N
                    np.repeat(np.arange(1, len(read)), len(at)))
 
 
-def _fillers(canon: Canonical, codes: np.ndarray, rows, maybe, at: int, n: int, names: int) -> tuple[list[str], list[bool]]:
+def _fillers(canon: Canonical, codes: np.ndarray, rows, maybe, plain, at: int, n: int, names: int) -> tuple[list[str], list[bool]]:
     """Fillers of a reading's placeholders, and which of them are words read as names."""
     fill, begin = [], []
     for i in range(at, at + n):
-        if maybe[i]:
+        if names < 0:
+            if plain[i] in (NUMBER, UNIT):
+                fill.append(canon.fill[rows[i]])
+                begin.append(False)
+        elif maybe[i]:
             if names & 1:
                 fill.append(canon.fill[rows[i]])
                 begin.append(True)
@@ -161,11 +177,11 @@ def _item_windows(window: int):
         for b in batches:
             for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 canon.trim()
-                codes, rows, maybe = canon.codes(text)
+                codes, rows, maybe, plain = canon.codes(text)
                 n = min(window, len(codes))
-                for ats, hashes, names in _readings(codes, maybe, n) if n else ():
+                for ats, hashes, names in _readings(codes, maybe, n, plain) if n else ():
                     for at, h, name in zip(ats.tolist(), hashes.view(np.int64).tolist(), names.tolist()):
-                        out.append((item, n, h, at, len(codes) - n + 1, *_fillers(canon, codes, rows, maybe, at, n, name)))
+                        out.append((item, n, h, at, len(codes) - n + 1, *_fillers(canon, codes, rows, maybe, plain, at, n, name)))
         if out:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
@@ -187,16 +203,16 @@ def _doc_windows(shared):
             out, docs = [], chunk.column(0).to_pylist()
             canon.trim()
             got = [canon.codes(text) for text in chunk.column(1).to_pylist()]
-            sizes = np.array([len(codes) for codes, _, _ in got])
+            sizes = np.array([len(parts[0]) for parts in got])
             starts, text = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(got)), sizes)
-            codes, rows, maybe = (np.concatenate(x) for x in zip(*got))
+            codes, rows, maybe, plain = (np.concatenate(x) for x in zip(*got))
             for n in widths:
-                for ats, hashes, names in _readings(codes, maybe, n, text):
+                for ats, hashes, names in _readings(codes, maybe, n, plain, text):
                     bit = _bits(hashes)
                     for i in np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).tolist():
                         at = int(ats[i])
                         out.append((docs[text[at]], n, int(hashes[i].view(np.int64)), at - int(starts[text[at]]),
-                                    *_fillers(canon, codes, rows, maybe, at, n, int(names[i]))))
+                                    *_fillers(canon, codes, rows, maybe, plain, at, n, int(names[i]))))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(),
@@ -223,7 +239,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A document holds an item if windows with consistent slots cover ``least`` of the item's windows.
     An item of fewer than ``window`` canonical words is one window of its own length, in which a word that begins
     a sentence must be the same; one of fewer than ``shortest`` must be there word for word, numbers, names and units
-    included. Words that begin a sentence and differ are slots like names if the slots of all windows are
+    included. Windows of placeholders alone, filled otherwise than the item's, count only if
+    a window with a word, or with equal fillers, stands in line with them. Words that begin a sentence and differ are slots like names if the slots of all windows are
     consistent with them; else the windows without them decide. ``reparameterised``: some filler differs. Null and
     empty texts, and those without a letter, digit or unit sign, hold nothing; rows with null ids are left out, repeated rows count once, repeated items count by id; an empty table on either
     side gives no rows; other columns are ignored.
@@ -246,13 +263,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = hits.select("doc_id", "item_id", "item_windows", "item_at", (F.col("doc_at") - F.col("item_at")).alias("shift"),
                        pairs.alias("pairs"), F.exists(told, lambda p: begins(p) & differs(p)).alias("loose"),
                        F.when(F.col("width") < shortest, ~F.exists(told, differs)).otherwise(True).alias("exact"),
-                       "width").where("exact").where(~F.col("loose") | (F.col("width") == window))
+                       ((F.size("item_fill") < F.col("width")) | ~F.exists(told, differs)).alias("told"), "width").where("exact").where(~F.col("loose") | (F.col("width") == window))
     # one alignment of a document with an item: its windows, and the fillers they pair
     distinct = lambda c: F.array_distinct(F.flatten(F.collect_set(c)))
     strict = lambda c: F.when(~F.col("loose"), F.col(c))
     lines = hits.groupBy("doc_id", "item_id", "item_windows", "shift").agg(
         F.struct(F.collect_set("item_at").alias("at"), distinct("pairs").alias("pairs")).alias("all"),
-        F.struct(F.collect_set(strict("item_at")).alias("at"), distinct(strict("pairs")).alias("pairs")).alias("strict"))
+        F.struct(F.collect_set(strict("item_at")).alias("at"), distinct(strict("pairs")).alias("pairs")).alias("strict"), F.max("told").alias("told")).where("told")
     size = lambda pairs, side: F.size(F.array_distinct(F.transform(pairs, lambda p: p[side])))
     fits = lambda pairs: (size(pairs, "item_fill") == F.size(pairs)) & (size(pairs, "doc_fill") == F.size(pairs))
     lines = lines.withColumn("line", F.when(fits(F.col("all.pairs")), F.col("all")).when(

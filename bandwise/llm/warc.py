@@ -15,6 +15,7 @@ import gzip
 import hashlib
 import io
 import json
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,6 +34,8 @@ READ_SCHEMA = ("record_id string, record_type string, target_uri string, refers_
 HEADERS = {"record_id": "warc-record-id", "record_type": "warc-type", "target_uri": "warc-target-uri",
            "refers_to": "warc-refers-to", "payload_digest": "warc-payload-digest"}
 MANIFEST = "_files.json"
+#: Names that the writer gives.
+OWN = re.compile(r"part-[0-9a-f]{32}\.warc\.gz$")
 #: Records carry this date where the rows name none: equal input gives equal archives.
 DATE = "1970-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -71,14 +74,27 @@ def record_bytes(row: dict) -> bytes:
     return ("WARC/1.1\r\n" + "\r\n".join(head) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
 
 
+def _listed(fs, path: str, unlisted: bool = True) -> list:
+    """Names and sizes of a folder's archives: those of its list, or of a folder without one all that
+    are there (without ``unlisted`` only those that no writer of this module made)."""
+    from pyarrow.fs import FileSelector, FileType
+
+    if fs.get_file_info(f"{path}/{MANIFEST}").type == FileType.File:
+        with fs.open_input_stream(f"{path}/{MANIFEST}", compression=None) as f:
+            return [[name, size] for name, size in json.loads(f.read())]
+    return sorted([i.base_name, i.size] for i in fs.get_file_info(FileSelector(path))
+                  if i.type == FileType.File and i.base_name.endswith((".warc", ".warc.gz"))
+                  and (unlisted or not OWN.match(i.base_name)))
+
+
 @dataclass
 class Written(WriterCommitMessage):
     files: list
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, options):
-        self.path = options["path"].rstrip("/")
+    def __init__(self, options, overwrite: bool):
+        self.path, self.overwrite = options["path"].rstrip("/"), overwrite
         self.file_bytes = int(options.get("file_bytes", 128 << 20))
         self.level = int(options.get("compression_level", 1))
 
@@ -109,6 +125,8 @@ class WarcWriter(DataSourceArrowWriter):
         fs, path = _open(self.path)
         fs.create_dir(path)
         listed = sorted(f for m in messages if m is not None for f in m.files)
+        if not self.overwrite:
+            listed = _listed(fs, path, unlisted=False) + listed  # one writer at a time appends
         with fs.open_output_stream(f"{path}/{MANIFEST}", compression=None) as out:
             out.write(json.dumps(listed).encode())
 
@@ -141,14 +159,7 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         fs, path = _open(self.path)
-        from pyarrow.fs import FileSelector, FileType
-
-        if fs.get_file_info(f"{path}/{MANIFEST}").type == FileType.File:
-            with fs.open_input_stream(f"{path}/{MANIFEST}", compression=None) as f:
-                found = [(name, size) for name, size in json.loads(f.read())]
-        else:
-            found = sorted((i.base_name, i.size) for i in fs.get_file_info(FileSelector(path))
-                           if i.type == FileType.File and i.base_name.endswith((".warc", ".warc.gz")))
+        found = _listed(fs, path)
         parts, size = [], 0
         for name, n in found:
             if not parts or size + n > self.partition_bytes:
@@ -237,7 +248,7 @@ class WarcDataSource(DataSource):
         return WarcReader(schema, self.options)
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:

@@ -229,6 +229,58 @@ def test_rare_languages_are_learned_beside_a_common_one(spark):
     assert {r["lang"]: r["count"] for r in least}["cc"] == 3 and all(50 < r["count"] < 150 for r in least if r["lang"] != "cc")
 
 
+def test_rare_words_of_a_large_language_arent_given_to_a_tiny_one(spark):
+    rng = np.random.default_rng(3)
+    made = lambda letters, n: ["".join(rng.choice(list(letters), rng.integers(3, 9))) for _ in range(n)]
+    vocabulary = np.array(made("abdeghilmnorstu", 20_000))
+    weight = 1 / np.arange(1, 20_001)
+    texts = [" ".join(rng.choice(vocabulary, 60, p=weight / weight.sum())) for _ in range(2100)]
+    tiny = np.array(made("cefjkopqvwyz", 40))
+    rows = [(i, t, "aa") for i, t in enumerate(texts)] + [(9000 + i, " ".join(rng.choice(tiny, 20)), "cc") for i in range(3)]
+    model = langid.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = [(i, " ".join(rng.choice(vocabulary[5000:], 30)), "aa") for i in range(300)]
+    asked += [(500 + i, " ".join(rng.choice(tiny, 20)), "cc") for i in range(50)]
+    df = spark.createDataFrame(asked, "doc_id long, text string, lang string")
+    got = langid.identify(df, model).join(df, "doc_id").groupBy("lang").agg(
+        F.avg((F.col("lang") == F.col("lang_pred")).cast("double")).alias("right")).collect()
+    assert {r.lang: r.right >= 0.95 for r in got} == {"aa": True, "cc": True}
+
+
+def test_language_arrays_follow_words(spark, monkeypatch):
+    assert langid.words_of("½ ² Ⅷ 12_") == {} and langid.words_of("x²Y a½") == {"x": 1, "y": 1, "a": 1}
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abÉß\u0130ж日²Ⅷ_ 1.\n") for _ in range(rng.randrange(0, 70))) for _ in range(40)] + ["", None, "ab" * 90]
+    rows = [(i, t, ("aa", "bb")[i % 2]) for i, t in enumerate(texts)]
+    model = langid.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), min_count=2)
+    hasher = langid.Hasher()
+
+    def row_of(word):  # the definition, word by word
+        at = model.words.rows(hasher.words(langid._points(word), np.array([0]), np.array([len(word)])))[0]
+        if at >= 0:
+            return model.words.scores[at]
+        marked, total = f"^{word}$", np.zeros(2)
+        for i in range(len(marked) - 1):
+            for n in range(min(model.longest, len(marked) - i), 0, -1):
+                at = model.grams.rows(langid.gram_hashes(langid._points(marked[i:i + n]), n))[0]
+                if at >= 0:
+                    total += model.grams.scores[at] + model.penalty * (model.longest - n)
+                    break
+            else:
+                total += model.unknown + model.penalty * model.longest
+        return total / (len(marked) - 1)
+
+    want = [sum((n * row_of(w) for w, n in langid.words_of(t).items()), np.zeros(2)) if t else np.zeros(2) for t in texts]
+    for step, gather in ((1 << 19, 1 << 22), (50, 16)):
+        monkeypatch.setattr(langid, "STEP", step)
+        monkeypatch.setattr(langid, "GATHER", gather)
+        total = np.zeros((len(texts), 2))
+        for points, owner in langid._steps(texts):
+            total += model.step_sums(langid.Hasher(), points, owner, len(texts))[0]
+        assert np.allclose(total, want)
+    langs, scores = model.judge(hasher, ["½ ² Ⅷ", None, texts[0] + "ab"])
+    assert langs[:2] == ["und", "und"] and langs[2] in ("aa", "bb") and scores[0] == 0
+
+
 def test_quality_learns_and_isotonic_is_monotone(spark, empty):
     v, w = np.array([0.0, 1, 0, 0.5, 0, 1]), np.array([0, 1, 1, 2, 0, 1.0])
     fit = quality.isotonic(v, w)
@@ -320,11 +372,27 @@ def test_decontamination_reads_begins_both_ways_and_keeps_short_items(spark):
                    (12, 5): False, (13, 6): False}
 
 
+def test_decontamination_reads_title_case_and_ignores_tables_of_numbers(spark):
+    count = "Write all the numbers in order: " + " ".join(map(str, range(1, 13)))
+    items = spark.createDataFrame(
+        [(1, "What is the largest lake between Chad and the city of Paris in summer?"), (2, count),
+         (3, " ".join(map(str, range(1, 13)))), (4, "Which Old River Runs Past The Great Stone Bridge Of Wend")],
+        "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "Quiz: What Is The Largest Lake Between Chad And The City Of Paris In Summer?"),
+         (2, " ".join(map(str, range(100, 400)))), (3, "so " + count), (4, "Write all the numbers in order: 7 " + " ".join(
+             map(str, range(21, 32)))), (5, "0 " + " ".join(map(str, range(1, 13))) + " 13"),
+         (6, "say which old river runs past the great stone bridge of wend"), (7, "The Names Of Ten Odd Men Were Given Once Here Now")],
+        "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.reparameterised for r in decontam.contaminated(docs, items).collect()}
+    assert got == {(1, 1): False, (3, 2): False, (3, 3): False, (4, 2): True, (5, 3): False, (6, 4): False}  # 5 of 11 windows of item 2 are in 5
+
+
 def test_readings_are_windows_of_every_choice():
     rng = np.random.default_rng(1)
     codes, maybe = rng.integers(16, 1 << 62, 60).astype(np.uint64), rng.random(60) < 0.4
     got = {}
-    for at, h, names in decontam._readings(codes, maybe, 8):
+    for at, h, names in decontam._readings(codes, maybe, 8, codes):
         for a, x, k in zip(at.tolist(), h.tolist(), names.tolist()):
             assert got.setdefault((a, k), x) == x
     for at in range(53):
@@ -439,6 +507,8 @@ def test_warc_round_trip(spark, tmp_path):
     assert by["<urn:page:3>"][0].payload_digest == warc.base32_digest(hashlib.sha1(page.encode()).hexdigest())
     slim = warc.read_warc(spark, path, "record_id string, target_uri string").where("target_uri = 'v'")
     assert slim.count() == 2
+    warc.write_warc(warc.page_records(spark.createDataFrame([(77, "v", "more", 1)], pages.schema), lambda df: written(df, "first")), path)
+    assert warc.read_warc(spark, path).where("record_type in ('response', 'revisit')").count() == len(rows) + 1  # appended
     empty_path = f"file://{tmp_path}/b"
     warc.write_warc(warc.page_records(pages.where("false"), lambda df: written(df, "first")), empty_path)
     assert warc.read_warc(spark, empty_path).where("record_type = 'response'").count() == 0
