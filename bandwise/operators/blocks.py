@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bandwise.operators.resume import TrainingState
 from bandwise.session import spread
 from bandwise.functions.constants import (
     ADAM_RATE, MC_DRAWS, MEANVAR_LAYERS, MEANVAR_STEPS, MU_INIT, RHO_INIT, SEED,
@@ -214,9 +215,11 @@ class VariationalNet:
 def fit_variational_net(df: DataFrame, features, y: str = "y", hidden=VARIATIONAL_LAYERS,
                         steps: int = VARIATIONAL_STEPS, rate: float = ADAM_RATE,
                         kl_weight: float | None = None, seed: int = SEED,
-                        split_col: str | None = "split", fit_on: str = "train") -> VariationalNet:
+                        split_col: str | None = "split", fit_on: str = "train",
+                        state_path: str | None = None, save_every: int = 100) -> VariationalNet:
     """Minimise SSE(sampled weights) + kl_weight * KL(q || N(0,1)), one weight draw per
-    step shared by all rows, Adam on (mu, rho)."""
+    step shared by all rows, Adam on (mu, rho). With ``state_path``, a folder of the shared storage, the state is
+    kept there every ``save_every`` steps, and a run that was stopped goes on from it."""
     features = list(features)
     sizes = [len(features), *hidden, 1]
     p = n_params(sizes)
@@ -226,9 +229,17 @@ def fit_variational_net(df: DataFrame, features, y: str = "y", hidden=VARIATIONA
     rows = _train_rows(df, features, y, split_col, fit_on)
     opt = Adam(2 * p, rate)
     net = VariationalNet(features, sizes, mu, rho, 0.0)
+    kept = TrainingState(df.sparkSession, state_path, save_every, {
+        "net": "variational", "sizes": sizes, "rate": rate, "kl_weight": kl_weight, "seed": seed})
+    begin = 0
+    if (found := kept.load(steps)) is not None:
+        begin, opt.t, both, opt.m, opt.v, rng.bit_generator.state, net.history = found
+        mu, rho = both[:p], both[p:]
     try:
         lam = kl_weight
-        for step in range(steps):
+        if lam is None and begin == steps and steps:
+            lam = 1.0 / rows.map(len).sum()  # no step left to count the rows
+        for step in range(begin, steps):
             sig = _softplus(rho)
             eps = rng.standard_normal(p)
             g, sse, _, n = block_sums(rows, mu + sig * eps, sizes, "sse")
@@ -240,6 +251,7 @@ def fit_variational_net(df: DataFrame, features, y: str = "y", hidden=VARIATIONA
             g_rho = (g * eps + lam * (sig - 1.0 / sig)) * _sigmoid(rho)
             both = opt.step(np.concatenate([mu, rho]), np.concatenate([g_mu, g_rho]))
             mu, rho = both[:p], both[p:]
+            kept.save(step + 1, steps, both, opt, rng, net.history)
     finally:
         rows.unpersist()
     net.mu, net.rho, net.kl_weight = mu, rho, float(lam or 0.0)
@@ -272,9 +284,10 @@ class MeanVarNet:
 
 def fit_meanvar_net(df: DataFrame, features, y: str = "y", hidden=MEANVAR_LAYERS,
                     steps: int = MEANVAR_STEPS, rate: float = ADAM_RATE, seed: int = SEED,
-                    split_col: str | None = "split", fit_on: str = "train") -> MeanVarNet:
+                    split_col: str | None = "split", fit_on: str = "train",
+                    state_path: str | None = None, save_every: int = 100) -> MeanVarNet:
     """Minimise the mean Gaussian NLL 0.5*mean(lv + (y-mu)^2 e^-lv) with two linear heads
-    (mean, log-variance) on a shared ReLU trunk; full batch, Adam."""
+    (mean, log-variance) on a shared ReLU trunk; full batch, Adam. ``state_path`` as in ``fit_variational_net``."""
     features = list(features)
     sizes = [len(features), *hidden, 2]
     rng = np.random.default_rng(seed)
@@ -286,11 +299,17 @@ def fit_meanvar_net(df: DataFrame, features, y: str = "y", hidden=MEANVAR_LAYERS
     rows = _train_rows(df, features, y, split_col, fit_on)
     opt = Adam(len(w), rate)
     net = MeanVarNet(features, sizes, w)
+    kept = TrainingState(df.sparkSession, state_path, save_every, {
+        "net": "mean and log-variance", "sizes": sizes, "rate": rate, "seed": seed})
+    begin = 0
+    if (found := kept.load(steps)) is not None:
+        begin, opt.t, w, opt.m, opt.v, rng.bit_generator.state, net.history = found
     try:
-        for step in range(steps):
+        for step in range(begin, steps):
             g, loss, sig, n = block_sums(rows, w, sizes, "gauss")
             net.history.append((step, float(loss / n), float(sig / n)))
             w = opt.step(w, g / n)
+            kept.save(step + 1, steps, w, opt, rng, net.history)
     finally:
         rows.unpersist()
     net.weights = w

@@ -114,7 +114,9 @@ class IsolationForest:
 def fit_isolation_forest(df: DataFrame, features, key: str, trees: int = FOREST_TREES,
                          sample: int = FOREST_SAMPLE, contamination: float = CONTAMINATION,
                          seed: int = SEED, split_col: str | None = "split",
-                         fit_on: str = "train", oversample: float = 4.0) -> IsolationForest:
+                         fit_on: str = "train") -> IsolationForest:
+    """A forest in which every tree grows from exactly ``sample`` rows chosen by hash (all, of fewer): candidates
+    under a hash bound are counted, and the bound is raised until no tree is short."""
     features = list(features)
     src = df.where(F.col(split_col) == fit_on) if split_col else df
     src = src.select(key, *[F.col(c).cast("double").alias(c) for c in features])
@@ -122,15 +124,19 @@ def fit_isolation_forest(df: DataFrame, features, key: str, trees: int = FOREST_
     if n == 0:
         raise ValueError("no training rows")
     m = min(sample, n)
-    p = min(1.0, oversample * m / n)          # chance a row is a candidate for one tree
-    q = min(1.0, trees * p)                   # pre-filter: candidate for any tree
-    h = lambda *parts: (F.pmod(F.xxhash64(F.lit(seed), F.col(key), *parts),
+    # equal keys of different rows get hashes of their own; equal rows can stand for each other
+    h = lambda *parts: (F.pmod(F.xxhash64(F.lit(seed), F.col(key), *[F.col(c) for c in features], *parts),
                                F.lit(1 << 53)).cast("double") / float(1 << 53))
-    pre = src.where(h(F.lit(-1)) < F.lit(q))
-    picks = F.filter(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)),
-                                 lambda t: F.struct(t.alias("tree"), h(t).alias("u"))),
-                     lambda s: s["u"] < F.lit(p / q))
-    cand = pre.select(*features, key, F.explode(picks).alias("s")).select(*features, key, "s.*")
+    p, short = min(1.0, 2.0 * m / n), True     # bound of the hash under which a row is a candidate for a tree
+    while short:
+        q = min(1.0, trees * p)                # one hash tells most rows from the candidates of any tree
+        picks = F.filter(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)),
+                                     lambda t: F.struct(t.alias("tree"), h(t).alias("u"))),
+                         lambda s: s["u"] < F.lit(p / q))
+        cand = src.where(h(F.lit(-1)) < F.lit(q)).select(*features, key, F.explode(picks).alias("s")).select(*features, key, "s.*")
+        sizes = [r["count"] for r in cand.groupBy("tree").count().collect()] if p < 1.0 else [m] * trees
+        short = len(sizes) < trees or min(sizes) < m
+        p = min(1.0, 4.0 * p) if short else p
     ranked = cand.withColumn("_rn", F.row_number().over(
         Window.partitionBy("tree").orderBy("u", key)))
     chosen = ranked.where(F.col("_rn") <= m).select("tree", *features)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,29 +96,41 @@ def credible_interval(df: DataFrame, mean: str = "mc_mean", std: str = "mc_std",
             .withColumn("upper", inverse(F.col(mean) + F.lit(k) * F.col(std), transform)))
 
 
+def gram_sums(df: DataFrame, features, y: str) -> tuple[int, np.ndarray, np.ndarray, float]:
+    """(n, X'X, X'y, y'y) with a bias column last in X. Every task sums its Arrow batches as matrix products into one vector of
+    (p + 2)(p + 1) / 2 numbers, p the columns of X; these are summed by place, partial sums first. Nulls count as
+    not-a-number and show in the sums they belong to."""
+    cols = [*features, y]
+    k = len(cols) + 1
+    upper = np.triu_indices(k)
+
+    def sums(batches):
+        total = np.zeros((k, k))
+        for b in batches:
+            x = np.column_stack([*(np.asarray(c.to_numpy(zero_copy_only=False), float) for c in b.columns), np.ones(b.num_rows)])
+            total += x.T @ x
+        if total[-1, -1]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(upper[0]), dtype=np.int32)), pa.array(total[upper])], ["at", "v"])
+
+    slim = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    found = slim.mapInArrow(sums, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
+    full = np.zeros((k, k))
+    for r in found:
+        full[upper[0][r["at"]], upper[1][r["at"]]] = r["v"]
+    full = full + np.triu(full, 1).T
+    x = [*range(k - 2), k - 1]  # the truth stands before the bias
+    return int(full[-1, -1]), full[np.ix_(x, x)], full[x, k - 2], float(full[k - 2, k - 2])
+
+
 def fit_linear_posterior(df: DataFrame, features, y: str = "y", split_col: str | None = "split",
                          fit_on: str = "train", kl_weight: float | None = None) -> LinearPosterior:
     features = list(features)
     src = df.where(F.col(split_col) == fit_on) if split_col else df
-    xs = [F.col(c).cast("double") for c in features] + [F.lit(1.0)]
-    p = len(xs)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for j in range(p):
-        for k in range(j, p):
-            aggs.append(F.sum(xs[j] * xs[k]).alias(f"a_{j}_{k}"))
-        aggs.append(F.sum(xs[j] * F.col(y)).alias(f"c_{j}"))
-    row = src.where(F.col(y).isNotNull()).agg(*aggs).first()
-    n = int(row["n"])
+    n, a, c, _ = gram_sums(src.where(F.col(y).isNotNull()), features, y)
     if n == 0:
         raise ValueError("no training rows")
-    a = np.zeros((p, p))
-    c = np.zeros(p)
-    for j in range(p):
-        for k in range(j, p):
-            a[j, k] = a[k, j] = row[f"a_{j}_{k}"]
-        c[j] = row[f"c_{j}"]
     lam = (1.0 / n) if kl_weight is None else float(kl_weight)
-    mu = np.linalg.solve(a + 0.5 * lam * np.eye(p), c)
+    mu = np.linalg.solve(a + 0.5 * lam * np.eye(len(c)), c)
     sigma = np.sqrt(lam / (lam + 2.0 * np.diag(a)))
     return LinearPosterior(features, mu, sigma, lam, n)
 

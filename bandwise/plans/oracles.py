@@ -578,10 +578,17 @@ FROM orders
 """
 
 
+def csv_round_trip() -> str:
+    return """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 0::BIGINT AS n_rejected FROM customer
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "calibration_chain": calibration_chain(),
         "positive_filter": positive_filter_rows(),
+        "csv_round_trip": csv_round_trip(),
         "ordinal_encode": ordinal_encode_rows(),
         "hash_split_counts": hash_split_counts(),
         "standardize_train_stats": standardize_train_stats_rows(),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,8 @@ from bandwise.operators.ranks import exact_percentiles, order_statistic
 from bandwise.operators.stats import density_curve, histogram
 from bandwise.plans.calibration import conformal_test
 from bandwise.sources.fixtures import LINEITEM_FEATURES, events_frame, lineitem_part_frame, orders_frame
-from bandwise.sources.tables import read_table
+from bandwise.session import ensure_checkpoint_dir
+from bandwise.sources.tables import read_csv_checked, read_table
 
 # --- fixed values: TPC-H order priorities, lowest rank first; "4-NOT SPECIFIED" is
 # left out on purpose so that an unknown level shows the 0 score.
@@ -29,6 +32,15 @@ def positive_filter_rows(spark: SparkSession, folder: str) -> DataFrame:
     return positive_filter(c, ["c_custkey", "c_acctbal"])
 
 
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer table written as CSV to the shared folder and read with its declared schema, with the number of rejected lines."""
+    c = read_table(spark, folder, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    path = f"{ensure_checkpoint_dir(spark)}/customer-csv-{uuid.uuid4().hex}"
+    c.write.option("header", "true").option("escape", '"').csv(path)
+    rows, rejects = read_csv_checked(spark, path, c.schema)
+    return rows.withColumn("n_rejected", F.lit(rejects.count()).cast("long"))
+
+
 def ordinal_encode_rows(spark: SparkSession, folder: str) -> DataFrame:
     o = read_table(spark, folder, "orders", ["o_orderkey", "o_orderpriority"])
     enc = ordinal_encode(o, {"o_orderpriority": PRIORITY_LEVELS})

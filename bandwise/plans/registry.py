@@ -13,6 +13,7 @@ def all_queries() -> dict:
         "calibration_chain": cal.calibration_chain,
         # phase 2: preparation
         "positive_filter": prep.positive_filter_rows,
+        "csv_round_trip": prep.csv_round_trip,
         "ordinal_encode": prep.ordinal_encode_rows,
         "assembled_features": prep.assembled_features,
         "hash_split_counts": prep.hash_split_counts,

@@ -76,6 +76,30 @@ def test_isolation_forest_flags_outliers(spark):
     assert scored[scored.key < 30].is_anomaly.all()
 
 
+def test_every_tree_has_its_rows(spark):
+    """Few distinct keys, repeated rows and a key that holds a third of all rows: no tree is short."""
+    rng = np.random.default_rng(2)
+    n = 20_000
+    pdf = pd.DataFrame({"key": np.where(np.arange(n) % 3 == 0, 1, np.arange(n) // 50), "a": rng.integers(0, 40, n).astype(float),
+                        "split": "train"})
+    forest = fit_isolation_forest(spark.createDataFrame(pdf), ["a"], "key", trees=40)
+    assert (forest.nodes.groupby("tree")["size"].first() == 256).all() and forest.nodes.tree.nunique() == 40
+    few = fit_isolation_forest(spark.createDataFrame(pdf.head(100)), ["a"], "key", trees=40)
+    assert (few.nodes.groupby("tree")["size"].first() == 100).all()
+
+
+def test_gram_sums_of_a_wide_frame(spark):
+    from bandwise.operators.variational import gram_sums
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(500, 64)), rng.normal(size=500)
+    df = spark.createDataFrame(pd.DataFrame({**{f"x{i}": x[:, i] for i in range(64)}, "y": y})).repartition(5)
+    n, a, c, yy = gram_sums(df, [f"x{i}" for i in range(64)], "y")
+    full = np.column_stack([x, np.ones(500)])
+    assert n == 500 and yy == pytest.approx(y @ y)
+    assert a == pytest.approx(full.T @ full) and c == pytest.approx(full.T @ y)
+    assert gram_sums(df.where("false"), ["x0"], "y")[0] == 0
+
+
 def test_nearest_center_ties_to_smallest_id(spark):
     df = spark.createDataFrame([([0.0, 0.0],), ([2.0, 2.0],)], "v array<double>")
     out = nearest_center(df, "v", {1: [1.0, 1.0], 0: [1.0, 1.0], 5: [2.0, 2.0]}).collect()

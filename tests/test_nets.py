@@ -71,6 +71,41 @@ def test_variational_net_without_hidden_layer_reaches_closed_form(spark):
     assert net.history[-1][2] < net.history[0][2]              # mse falls
 
 
+@pytest.mark.parametrize("kind", ["meanvar", "variational"])
+def test_a_stopped_run_goes_on_from_its_state(spark, tmp_path, kind):
+    from bandwise.operators import blocks
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=300)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": 0.5 * x + rng.normal(0, 0.2, 300), "split": "train"})).coalesce(1).cache()
+    fit = {"meanvar": fit_meanvar_net, "variational": blocks.fit_variational_net}[kind]
+    run = lambda steps, **kw: fit(df, ["x"], hidden=(4,), steps=steps, rate=0.02, **kw)
+    weights = lambda net: net.weights if kind == "meanvar" else np.concatenate([net.mu, net.rho])
+    whole, path = run(24), f"file://{tmp_path}/state"
+    kept = blocks.TrainingState.save
+
+    def lost(self, step, *rest):   # the driver is lost between two saved steps
+        if step == 17:
+            raise RuntimeError("lost")
+        kept(self, step, *rest)
+
+    blocks.TrainingState.save = lost
+    try:
+        with pytest.raises(RuntimeError):
+            run(24, state_path=path, save_every=5)
+    finally:
+        blocks.TrainingState.save = kept
+    assert spark.read.parquet(path).agg({"step": "max"}).first()[0] == 15
+    again = run(24, state_path=path, save_every=5)
+    assert weights(again) == pytest.approx(weights(whole), rel=1e-9)
+    assert np.array(again.history) == pytest.approx(np.array(whole.history), rel=1e-9)
+    ended = run(24, state_path=path, save_every=5)   # nothing left to do
+    assert weights(ended) == pytest.approx(weights(whole), rel=1e-9) and len(ended.history) == 24
+    if kind == "variational":
+        assert ended.kl_weight == whole.kl_weight
+    with pytest.raises(ValueError, match="other settings"):
+        fit(df, ["x"], hidden=(3,), steps=24, rate=0.02, state_path=path)
+
+
 def test_registered_queries_train_for_the_defaults():
     import inspect
 

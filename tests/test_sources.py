@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from bandwise.functions.constants import CLARITY_LEVELS, COLOR_LEVELS, CUT_LEVELS
 from bandwise.operators.prep import feature_pipeline, ordinal_encode, positive_filter
 from bandwise.sources.sinks import write_report
-from bandwise.sources.tables import read_catalog, read_csv, read_table
+from bandwise.sources.tables import read_catalog, read_csv, read_csv_checked, read_table
 from tests.conftest import SMOKE
 
 SCHEMA = "c_custkey bigint, c_acctbal double"
@@ -46,3 +46,16 @@ def test_feature_pipeline_equals_expression_encoding(spark):
     b = [[r.carat, r.depth, r.table, r.cut_score, r.color_score, r.clarity_score] for r in enc.collect()]
     assert a == b
     assert [r[3:] for r in b] == [[5, 6, 2], [4, 6, 3], [2, 0, 5], [0, 2, 4]]
+
+
+def test_csv_rejects_are_kept_whole(spark):
+    folder = tempfile.mkdtemp(prefix="bw-csv-")
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write('key,name,x\n1,"a, ""b""",2.5\nzwei,c,3\n3,d\n4,e,1,9\n5,"",\n6,f,oops\n')
+    rows, rejects = read_csv_checked(spark, folder, "key int, name string, x double")
+    assert sorted((r.key, r.name, r.x) for r in rows.collect()) == [(1, 'a, "b"', 2.5), (5, None, None)]
+    assert sorted(r.line for r in rejects.collect()) == ["3,d", "4,e,1,9", "6,f,oops", "zwei,c,3"]
+    assert rejects.count() == 4 and rows.count() == 2 and rows.select("name").count() == 2
+    assert {os.path.basename(r.file) for r in rejects.collect()} == {"a.csv"}
+    clash, _ = read_csv_checked(spark, folder, "key int, _rejected_line string, x double")
+    assert clash.columns == ["key", "_rejected_line", "x"] and clash.count() == 2
