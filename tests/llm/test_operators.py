@@ -446,17 +446,63 @@ def test_every_pattern_alone_in_a_text(spark):
         assert got[100 + i].text == "in 1999 " + got[i].text
 
 
+NAMED = [
+    (1, "Dr Anna Weber called. Mrs Anna Weber left. Weber said no. Ask Anna Weber or WEBER, not Webern. Weber's car."),
+    (2, "Dr Anna Weber said. Mr Karl Weber-Otto. Mr Brown eats brown bread, Brown says. Mr O'Brien and O'Brien."),
+    (3, "Dr Juan Carlos Garcia Lopez met Herr Weber. Господин Иван Петров и Петров."),
+    (4, "Anna Weber is named without a title."), (5, None), (6, "")]
+
+
+@pytest.mark.parametrize("most", [0, 50_000])
+def test_names_are_replaced_wherever_the_text_says_them(spark, monkeypatch, most):
+    """One word has one surrogate, whatever its title and text; both ways of handing out later attempts agree."""
+    monkeypatch.setattr(pii, "MOST_LATER", most)
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(NAMED, "doc_id long, text string"), "k").collect()}
+    one = got[1].text
+    words = re.match(r"Dr (\w+) (\w+) called\. Mrs (\w+) (\w+) left\. (\w+) said no\. Ask (\w+) (\w+) or (\w+), not Webern\. (\w+)'s car\.$", one)
+    anna, weber = words.group(1, 2)
+    assert words.groups() == (anna, weber, anna, weber, weber, anna, weber, weber.upper(), weber)
+    assert anna[-1] == "a" and got[1].n_replaced == 7
+    two = re.match(r"Dr (\w+) (\w+) said\. Mr (\w+) (\w+)\. Mr (\w+) eats brown bread, Brown says\. Mr (\w+) and (\w+)\.$", got[2].text)
+    assert two.group(1, 2) == (anna, weber) and two.group(6) == two.group(7) and len(set(two.groups())) == 6
+    three = re.match(r"Dr (\w+) (\w+) (\w+) (\w+) met Herr (\w+)\. Господин (\w+) (\w+) и (\w+)\.$", got[3].text)
+    assert three.group(5) == weber and three.group(7) == three.group(8) and not {"Juan", "Lopez", "Иван", "Петров"} & set(three.groups())
+    assert got[4].text == NAMED[3][1] and got[5].text is None and got[6].text == ""
+    assert [got[i].n_replaced for i in (2, 3, 4, 5, 6)] == [5, 4, 0, 0, 0] and len(set(three.groups())) == 7
+
+
+def test_a_name_has_the_gender_that_most_texts_tell(spark):
+    texts = [(i, f"{t} Kim Weber") for i, t in enumerate(["Mrs", "Mrs", "Mr", "Dr"])] + [(4, "Mr Kim Weber. Mrs Kim Weber.")]
+    got = {r.doc_id: r.text for r in pii.pseudonymise(spark.createDataFrame(texts, "doc_id long, text string"), "k").collect()}
+    said = {w for t in got.values() for w in re.findall(r"(\w+) \w+(?:\.|$)", t)}
+    assert len(said) == 1 and said.pop()[-1] == "a"
+
+
+def test_one_phone_number_in_many_forms(spark):
+    forms = ["+1 583 555-8469", "(583) 555-8469", "+15835558469", "583-555-8469", "+1 (583) 555.8469"]
+    texts = spark.createDataFrame(list(enumerate(forms)) + [(10, "+49 30 1234 567"), (11, "+4930 1234567")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.pseudonymise(texts, "k").collect()}
+    assert len({re.sub(r"\D", "", got[i])[-10:] for i in range(5)}) == 1 and re.sub(r"\D", "", got[10]) == re.sub(r"\D", "", got[11])
+    assert all(re.sub(r"\d", "0", got[i]) == re.sub(r"\d", "0", f) for i, f in enumerate(forms))
+
+
+def test_no_text_is_shuffled_for_surrogates(spark):
+    texts = spark.range(50).selectExpr("id AS doc_id", "concat('Mrs Kim Weber', id) AS text").unionByName(
+        spark.createDataFrame([(99, "Dr Kim Weber1")], "doc_id long, text string"))
+    plan = pii.pseudonymise(texts, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_surrogates_stay_distinct(spark):
     """Every one of many short entities keeps a surrogate of its own, and none is an entity."""
     entities = [(f"{a:03d}-00-000{b}",) for a in range(60) for b in range(10)]
-    found = spark.createDataFrame([("name", "given_m", f"n{i}") for i in range(3000)], "x string, kind string, norm string")
-    found = found.select("kind", "norm")
-    later = {(r.kind, r.norm): r.attempt for r in pii.resolve(found, "k").collect()}
-    assert later  # three thousand names of some fifty thousand do collide
-    state = found.withColumn("attempt", F.coalesce(F.element_at(F.create_map(*[
-        F.lit(x) for k, v in later.items() for x in (k[1], v)]), F.col("norm")), F.lit(0)))
-    named = state.select(pii.surrogate_of(F.col("kind"), F.col("norm"), F.col("attempt"), "k").alias("s"))
-    assert named.distinct().count() == 3000
+    found = spark.range(20_000).select(F.lit("name").alias("kind"), F.concat(F.lit("n"), F.col("id")).alias("norm"),
+                                       F.lit("m").alias("role"), F.lit(False).alias("mixed"))
+    later = pii.resolve(found, "k")
+    assert not later.isEmpty()  # twenty thousand names of some thirty million do collide
+    state = found.drop("role").join(later.drop("role"), ["kind", "norm"], "left").fillna({"attempt": 0})
+    named = state.select(pii.surrogate_of(F.col("kind"), F.col("norm"), F.col("attempt"), "k", F.lit("m")).alias("s"))
+    assert named.distinct().count() == 20_000
     texts = spark.createDataFrame([(i, f"Mr. N{i} Abc {e[0]}") for i, e in enumerate(entities)], "doc_id long, text string")
     assert pii.pseudonymise(texts, "k").select("text").distinct().count() == len(entities)
 
