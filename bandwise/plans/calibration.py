@@ -18,18 +18,18 @@ from bandwise.operators.calibration import (
 from bandwise.operators.gaussian import fit_group_gaussian, gaussian_interval
 from bandwise.operators.params import attach
 from bandwise.operators.stats import hash_sample, sorted_positions, spearman, top_by
-from bandwise.session import cut_lineage
+from bandwise.session import stored
 from bandwise.sources.fixtures import events_frame
 
 
 def calibrated_predictions(spark: SparkSession, folder: str, group: str = "segment"):
-    """events rows with mu, log_var (group Gaussian fitted on train), the temperature
-    fitted on val, calibrated log_var_cal and sigma, all on the log1p scale."""
+    """Validation and test rows of events with mu, log_var (group Gaussian fitted on train), the
+    temperature fitted on val, calibrated log_var_cal and sigma, all on the log1p scale."""
     frame = events_frame(spark, folder)
     model = fit_group_gaussian(frame, by=[group])
-    # Every later step (temperature, conformal ranks, reports) reads these rows:
-    # write them once to the shared checkpoint folder instead of rescanning events.
-    pred = cut_lineage(model.transform(frame), spread_out=True)
+    # Every later step (temperature, conformal ranks, reports) reads held-out rows alone: these are
+    # written once to the shared checkpoint folder; train rows are read by the fit and never written.
+    pred = stored(model.transform(frame.where(F.col("split").isin("val", "test"))), spread_out=True)
     temp = fit_temperature(pred)
     pred = temp.transform(pred).withColumn("sigma", F.exp(F.lit(0.5) * F.col("log_var_cal")))
     return pred, temp
@@ -78,7 +78,8 @@ def nll_before_after_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def mse_report(spark: SparkSession, folder: str) -> DataFrame:
     """Squared error of the per-user mean, summed and averaged, per split."""
-    pred, _ = calibrated_predictions(spark, folder, "user_id")
+    frame = events_frame(spark, folder)
+    pred = fit_group_gaussian(frame, by=["user_id"]).transform(frame)
     error = F.pow(F.col("y") - F.col("mu"), 2)
     return pred.groupBy("split").agg(F.count(error).alias("n"), rounded(F.sum(error)).alias("sse"), rounded(F.avg(error)).alias("mse"))
 
@@ -138,7 +139,7 @@ def coverage_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     pred, _ = calibrated_predictions(spark, folder, "user_id")
     raw = gaussian_interval(pred, log_var="log_var", transform="log1p", prefix="r_")
     both = gaussian_interval(raw, log_var="log_var_cal", transform="log1p", prefix="c_")
-    both = both.withColumn("y_real", inverse(F.col("y"), "log1p")).where(F.col("split") != "train")
+    both = both.withColumn("y_real", inverse(F.col("y"), "log1p"))
     # both stages in one pass: stack (stage, lower, upper) per row, then one grouped audit
     stacked = both.select("split", "y_real", F.explode(F.array(
         F.struct(F.lit("raw").alias("stage"), F.col("r_lower").alias("lower"), F.col("r_upper").alias("upper")),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,3 +64,11 @@ def cut_lineage(df: DataFrame, spread_out: bool = False) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return (spread(df) if spread_out else df).checkpoint(eager=True)
+
+
+def stored(df: DataFrame, spread_out: bool = False) -> DataFrame:
+    """``df`` written as Parquet beside the checkpoints and read back: survives executor loss like
+    a checkpoint, and later passes read only the columns they use."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    (spread(df) if spread_out else df).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -148,3 +148,16 @@ def test_segment_without_validation_rows_stays_in_the_report(spark, tmp_path):
     assert set(rep) == {"common", "rare"}
     assert (rep["rare"]["n"], rep["rare"]["coverage"], rep["rare"]["q_hat"], rep["rare"]["n_cal"]) == (n, 0.0, None, None)
     assert rep["common"]["q_hat"] is not None and rep["common"]["coverage"] > 0
+
+
+def test_chain_writes_held_out_rows_alone(spark):
+    """The stored predictions hold validation and test rows, each once; later passes read only their columns."""
+    from bandwise.plans.calibration import calibrated_predictions
+    from bandwise.sources.fixtures import events_frame
+    folder = "/root/testdata/sf0.001"
+    pred, _ = calibrated_predictions(spark, folder)
+    held = events_frame(spark, folder).where(F.col("split") != "train")
+    assert {r.split for r in pred.select("split").distinct().collect()} == {"val", "test"}
+    assert sorted(r.key for r in pred.select("key").collect()) == sorted(r.key for r in held.select("key").collect())
+    plan = pred.select("sigma")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "segment" not in plan.split("FileScan parquet")[1]
