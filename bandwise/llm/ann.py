@@ -175,14 +175,15 @@ def _rank_block(k: int):
 
 def nearest_neighbours(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str = "embedding",
                        k: int = 10, recall: float = 0.97, max_fit_rows: int = 8192,
-                       rows_per_part: int = 1024, max_parts: int = 256, block: int = 8192,
+                       rows_per_part: int = 128, max_parts: int = 256, block: int = 8192,
                        query_block: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query row, nearest first, ties by id.
 
     ``queries`` is a condition on ``vec_id``; candidates are all rows but the query's own.
     Rows whose id or vector is null, or whose vector is zero, holds a null or non-finite
     component or hasn't the table's most frequent length take no part. Rows repeated with the
-    same id count once. With fewer candidates than k all are returned; without usable
+    same id and vector count once; an id with several vectors is a candidate with each, and asks with the least.
+    There is a part for every ``rows_per_part`` distinct vectors, at most ``max_parts``, which the sample must fill. With fewer candidates than k all are returned; without usable
     rows the result is empty. Other columns are ignored. ``max_fit_rows`` bounds the fitting sample.
     """
     spark = vectors.sparkSession
@@ -212,7 +213,7 @@ def nearest_neighbours(vectors: DataFrame, queries, id_col: str = "vec_id", vect
     filed = index.mapInArrow(_route(shared, 1), "vector array<double>, ids array<long>, parts array<int>").select(
         F.col("parts")[0].alias("part"), "vector", "ids")
     filed = written(filed, "ann-filed")
-    asked = slim.where(queries).dropDuplicates(["vec_id"]).withColumnRenamed("vec_id", "query_id").mapInArrow(
+    asked = slim.where(queries).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector")).mapInArrow(
         _route(shared, None), "query_id long, vector array<double>, parts array<int>")
     asked = written(asked.select("query_id", "vector", F.explode("parts").alias("part")), "ann-asked")
     # how many blocks each part has of either side: max_parts rows
