@@ -175,7 +175,7 @@ def _rank_block(k: int):
 
 def nearest_neighbours(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str = "embedding",
                        k: int = 10, recall: float = 0.97, max_fit_rows: int = 8192,
-                       rows_per_part: int = 128, max_parts: int = 256, block: int = 8192,
+                       rows_per_part: int = 1024, least_parts: int = 16, max_parts: int = 256, block: int = 8192,
                        query_block: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query row, nearest first, ties by id.
 
@@ -183,7 +183,8 @@ def nearest_neighbours(vectors: DataFrame, queries, id_col: str = "vec_id", vect
     Rows whose id or vector is null, or whose vector is zero, holds a null or non-finite
     component or hasn't the table's most frequent length take no part. Rows repeated with the
     same id and vector count once; an id with several vectors is a candidate with each, and asks with the least.
-    There is a part for every ``rows_per_part`` distinct vectors, at most ``max_parts``, which the sample must fill. With fewer candidates than k all are returned; without usable
+    There is a part for every ``rows_per_part`` distinct vectors, but ``least_parts`` if each gets an
+    eighth of that, and at most ``max_parts``, which the sample must fill. With fewer candidates than k all are returned; without usable
     rows the result is empty. Other columns are ignored. ``max_fit_rows`` bounds the fitting sample.
     """
     spark = vectors.sparkSession
@@ -207,7 +208,7 @@ def nearest_neighbours(vectors: DataFrame, queries, id_col: str = "vec_id", vect
         if share < 1 else index
     x = np.array([r["vector"] for r in sample.select("vector").orderBy(F.xxhash64("vector")).limit(
         max_fit_rows).collect()], float)
-    parts = max(1, min(max_parts, n // rows_per_part))
+    parts = max(1, min(least_parts, 8 * n // rows_per_part), min(max_parts, n // rows_per_part))
     shared = spark.sparkContext.broadcast(fit_router(x, parts, recall, k) if len(x) > 1 else
                                           Router(np.zeros(lengths["n"]), np.zeros((lengths["n"], 1)), np.zeros(1), 1))
     filed = index.mapInArrow(_route(shared, 1), "vector array<double>, ids array<long>, parts array<int>").select(
