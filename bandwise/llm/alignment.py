@@ -29,6 +29,10 @@ from bandwise.llm.packing import ByteBpe
 
 #: A block ends at this many documents, or at about this many (pair, document) rows.
 BLOCK_DOCS, BLOCK_ROWS = 1 << PLACE_BITS, 4_000_000
+#: (pair, document) rows whose planes are made at once.
+SLICE_ROWS = 250_000
+#: Bytes of text that are cut and linked at once.
+CHUNK_BYTES = 1_000_000
 #: Groups with more links than this are linked through their distinct ids.
 WIDE_GROUP = 1024
 #: Places of the second tokenizer's ids in a pair's key.
@@ -155,18 +159,16 @@ def _indexer(make_aligner):
         place = rows = 0
 
         def pair_rows() -> Iterator[pa.RecordBatch]:
-            keys, n, planes = PairLists.merged(lists).planes(place)
-            for at in range(0, len(keys), 100_000):
-                k = keys[at:at + 100_000]
+            for some in PairLists.merged(lists).slices(SLICE_ROWS):  # the planes of a stretch of keys at a time
+                k, n, planes = some.planes(place)
                 none = [pa.nulls(len(k), t) for t in (pa.int32(), doc_type, *(pa.int64(),) * 4, pa.string())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(k), block)), *none, pa.array((k >> ID_BITS).astype(np.int32)),
-                     pa.array((k & ((1 << ID_BITS) - 1)).astype(np.int32)), pa.array(n[at:at + 100_000]),
-                     planes.slice(at, 100_000)], names)
+                     pa.array((k & ((1 << ID_BITS) - 1)).astype(np.int32)), pa.array(n), planes], names)
 
         names = ["block", "place", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b", "n_docs", "planes"]
         doc_type = None
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, chars=CHUNK_BYTES):
             doc_type = chunk.column(0).type
             for at in range(0, chunk.num_rows, 1024):
                 part = chunk.slice(at, 1024)

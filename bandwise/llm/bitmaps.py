@@ -15,47 +15,77 @@ PLACE_BITS = 16
 
 
 class PairLists:
-    """Lists by key: rows (key, place, times), sorted by key, then place, each pair once."""
+    """Lists by key: rows (key, place, times), sorted by key, then place, each pair once. A row is held as one number
+    of 64 bits, and its multiplicity in as few bytes as the largest needs."""
 
-    def __init__(self, keys: np.ndarray, places: np.ndarray, times: np.ndarray):
-        self.keys, self.places, self.times = keys, places, times
+    def __init__(self, code: np.ndarray, times: np.ndarray):
+        self.code = code
+        self.times = times.astype(np.min_scalar_type(int(times.max(initial=0))), copy=False)
+
+    @property
+    def keys(self) -> np.ndarray:
+        return (self.code >> np.uint64(PLACE_BITS)).astype(np.int64)
+
+    @property
+    def places(self) -> np.ndarray:
+        return (self.code & np.uint64(0xFFFF)).astype(np.int64)
 
     @classmethod
     def counted(cls, keys: np.ndarray, places: np.ndarray, times: np.ndarray | None = None) -> PairLists:
         """Lists of links, in any order and repeated; keys below 2^48."""
-        code = (keys.astype(np.uint64) << np.uint64(PLACE_BITS)) | places.astype(np.uint64)
+        return cls._summed((keys.astype(np.uint64) << np.uint64(PLACE_BITS)) | places.astype(np.uint64), times)
+
+    @classmethod
+    def _summed(cls, code: np.ndarray, times: np.ndarray | None) -> PairLists:
+        """Rows in order, the multiplicities of equal ones added up. ``code`` may be sorted in place."""
         if times is None:
             code.sort()
         else:
             order = np.argsort(code, kind="stable")
             code, times = code[order], times[order]
-        first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.zeros(0, np.int64)
-        n = np.diff(np.append(first, len(code))) if times is None else np.add.reduceat(times, first) if len(first) else times
-        code = code[first]
-        return cls((code >> np.uint64(PLACE_BITS)).astype(np.int64), (code & np.uint64(0xFFFF)).astype(np.int64),
-                   n.astype(np.int64))
+        new = np.concatenate(([True], code[1:] != code[:-1])) if len(code) else np.zeros(0, bool)
+        if times is not None and new.all():
+            return cls(code, times)
+        first = np.flatnonzero(new)
+        n = np.diff(np.append(first, len(code))) if times is None else np.add.reduceat(times, first, dtype=np.int64)
+        return cls(code[first], n)
 
     @classmethod
     def merged(cls, parts: list[PairLists]) -> PairLists:
-        """The union (OR) of lists; multiplicities of one place add up."""
+        """The union (OR) of lists; multiplicities of one place add up. ``parts`` is emptied, so that
+        no row is held twice for long."""
         if not parts:
-            return cls(*(np.zeros(0, np.int64),) * 3)
-        return cls.counted(*(np.concatenate([getattr(p, c) for p in parts]) for c in ("keys", "places", "times")))
+            return cls(np.zeros(0, np.uint64), np.zeros(0, np.uint8))
+        code, times = np.concatenate([p.code for p in parts]), np.concatenate([p.times for p in parts])
+        parts.clear()
+        return cls._summed(code, times)
+
+    def slices(self, rows: int):
+        """The lists in stretches of about ``rows`` rows; a key's list is never cut."""
+        at = 0
+        while at < len(self):
+            end = min(at + rows, len(self))
+            if end < len(self):
+                end = int(np.searchsorted(self.code, self.code[end - 1] | np.uint64(0xFFFF), "right"))
+            yield PairLists(self.code[at:end], self.times[at:end])
+            at = end
 
     def __len__(self) -> int:
-        return len(self.keys)
+        return len(self.code)
 
     def planes(self, n_places: int) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
         """Distinct keys, numbers of places (the popcount of the first plane) and stored planes of each."""
-        first = np.flatnonzero(np.concatenate(([True], self.keys[1:] != self.keys[:-1]))) if len(self) else np.zeros(0, int)
-        rows = np.cumsum(np.concatenate(([0], self.keys[1:] != self.keys[:-1]))) if len(self) else np.zeros(0, int)
-        row, plane, place = [rows], [np.zeros(len(rows), np.int64)], [self.places]
-        more, j = self.times - 1, 1
+        keys = self.keys
+        new = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, bool)
+        first, rows = np.flatnonzero(new), np.cumsum(new) - 1
+        places, times = self.places, self.times.astype(np.int64)
+        row, plane, place = [rows], [np.zeros(len(rows), np.int64)], [places]
+        more, j = times - 1, 1
         while (more > 0).any():
             has = (more & 1).astype(bool)
             row.append(rows[has])
             plane.append(np.full(int(has.sum()), j))
-            place.append(self.places[has])
+            place.append(places[has])
             more, j = more >> 1, j + 1
         row, plane, place = (np.concatenate(x) for x in (row, plane, place))
         # highest plane of each list, so that empty planes below it are stored as empty
@@ -64,7 +94,7 @@ class PairLists:
         base = np.concatenate(([0], np.cumsum(top + 1)))
         slot = base[row] + plane
         order = np.argsort(slot, kind="stable")  # places stay in order within a plane
-        return (self.keys[first], np.diff(np.append(first, len(self))),
+        return (keys[first], np.diff(np.append(first, len(self))),
                 pa.ListArray.from_arrays(pa.array(base, pa.int32()),
                                          stored(slot[order], place[order], int(base[-1]), n_places)))
 

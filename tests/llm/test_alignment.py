@@ -143,3 +143,30 @@ def test_lists_come_back_as_they_were_stored():
             times[r, p] += w
         assert times == Counter(zip(keys.tolist(), places.tolist()))
         assert n.tolist() == [len(set(places[keys == k].tolist())) for k in distinct]
+
+
+def test_a_block_of_lists_stays_small_in_memory():
+    """A block of a million (pair, document) rows: every pair comes back once, and no step holds many bytes a row."""
+    import tracemalloc
+
+    class Links:
+        rng = np.random.default_rng(4)
+
+        def chunk(self, texts):
+            n = len(texts)
+            rng = self.rng
+            a = rng.integers(0, 4000, 1000 * n)
+            zero = np.zeros(n, np.int64)
+            links = (a, rng.integers(0, 50, len(a)), np.repeat(np.arange(n), 1000), np.where(a == 7, 300, 1))
+            return zero, zero, zero, zero, [""] * n, links
+
+    docs = pa.record_batch([pa.array(range(1000), pa.int64()), pa.array(["x"] * 1000)], ["doc_id", "text"])
+    tracemalloc.start()
+    pairs = rows = 0
+    for b in alignment._indexer(Links)(iter([docs.slice(i, 100) for i in range(0, 1000, 100)])):
+        if b.column("place").null_count:
+            pairs, rows = pairs + b.num_rows, rows + sum(b.column("n_docs").to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs > 190_000 and rows > 900_000
+    assert peak < 120 << 20
