@@ -1,10 +1,12 @@
 """Data-parallel full-batch training of small ReLU nets.
 
-One step = one Spark job: the current weights are broadcast, every partition
-runs forward and backward passes over its matrices (numpy) and emits one
+One step = one Spark job: the current weights travel with the tasks, every partition
+runs forward and backward passes over its matrices (numpy, a few rows at a time, so that the
+activations stay in the processor's cache) and emits one
 gradient-sum vector, and the vectors are summed, in two levels if there are many. Only
 parameter-sized vectors reach the driver, where Adam updates the weights. The
-training rows are packed into matrices and persisted once for all steps.
+training rows are packed into matrices and persisted once for all steps, in no more partitions than
+there are cores, or than bound a partition's size.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ from bandwise.functions.constants import (
 
 #: Gradient vectors of so many partitions are summed without a second level.
 DIRECT_PARTITIONS = 64
+#: Numbers in a partition of packed rows; there are as many partitions as cores at least.
+PART_NUMBERS = 1 << 23
+#: Rows that one forward and backward pass takes.
+PASS_ROWS = 512
 
 
 # ---- a plain MLP as a flat parameter vector ------------------------------------
@@ -98,30 +104,49 @@ def packed_blocks(df: DataFrame, features, y: str):
 
     k = len(cols)
     packed = df.select(*[F.col(c).cast("double") for c in cols]).mapInArrow(pack, "block binary")
-    return packed.rdd.map(lambda r: np.frombuffer(r[0]).reshape(-1, k)).persist(StorageLevel.MEMORY_AND_DISK)
+    return few_partitions(packed.rdd.map(lambda r: np.frombuffer(r[0]).reshape(-1, k)).persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def few_partitions(blocks):
+    """Persisted matrices in as few partitions as keep every core busy and each at about PART_NUMBERS numbers: a job
+    for every step costs a task for every partition, and the input's partitions follow its bytes, not its rows."""
+    have, cores = blocks.getNumPartitions(), blocks.context.defaultParallelism
+    if have <= cores:
+        return blocks
+    wanted = max(cores, -(-blocks.map(lambda m: m.size).sum() // PART_NUMBERS))
+    if have <= wanted:
+        return blocks
+    fewer = blocks.coalesce(wanted).persist(StorageLevel.MEMORY_AND_DISK)
+    fewer.count()
+    blocks.unpersist()
+    return fewer
 
 
 def block_sums(blocks, weights: np.ndarray, sizes, kind: str):
     """Sum over all blocks of the loss gradient; returns (grad, loss_sum, monitor_sum, n)."""
-    bc, p = blocks.context.broadcast(weights), n_params(sizes)
+    p = n_params(sizes)
 
     def run(part):
-        layers = unflatten(bc.value, sizes)
+        layers = unflatten(weights, sizes)
         acc = np.zeros(p + 3)
         for m in part:
-            acts, zs = forward(layers, m[:, :-1])
-            loss, delta, mon = _row_losses(kind, acts[-1], m[:, -1])
-            acc[:p] += backward(layers, acts, zs, delta)
-            acc[p:] += [loss, mon, len(m)]
+            for at in range(0, len(m), PASS_ROWS):
+                rows = m[at:at + PASS_ROWS]
+                acts, zs = forward(layers, rows[:, :-1])
+                loss, delta, mon = _row_losses(kind, acts[-1], rows[:, -1])
+                acc[:p] += backward(layers, acts, zs, delta)
+                acc[p:] += [loss, mon, len(rows)]
         yield acc
 
-    sums = blocks.mapPartitions(run)
-    # many partitions' vectors are summed in two levels, a few by the driver
-    summed = sums.treeReduce(np.add) if blocks.getNumPartitions() > DIRECT_PARTITIONS else sums.reduce(np.add)
-    bc.destroy()
+    summed = summed_vectors(blocks.mapPartitions(run))
     return summed[:p], summed[p], summed[p + 1], summed[p + 2]
 
 
+def summed_vectors(sums):
+    """The sum of an RDD of vectors, one a partition: many are summed in two levels, a few by the driver."""
+    return sums.treeReduce(np.add) if sums.getNumPartitions() > DIRECT_PARTITIONS else sums.reduce(np.add)
+
+
 def gradient_sums(df: DataFrame, features, y: str, weights: np.ndarray, sizes, kind: str):
     """``block_sums`` over the rows of a DataFrame."""
     blocks = packed_blocks(df, features, y)

@@ -116,3 +116,18 @@ def test_registered_queries_train_for_the_defaults():
         assert given(f, "steps") == 2000
     for f in (trees.gbt_mean, trees.quantile_boost, trees.quantile_report_card, trees.combined_scan, trees.enhanced_scan):
         assert given(f, "rounds") == 100
+
+
+def test_packed_rows_have_few_partitions(spark):
+    """A step's job has as many tasks as there are cores, however many partitions the rows came in; sums are the same."""
+    from bandwise.operators.blocks import packed_blocks
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": rng.normal(size=3000), "y": rng.normal(size=3000)})
+    many = spark.createDataFrame(pdf).repartition(3 * spark.sparkContext.defaultParallelism)
+    blocks = packed_blocks(many, ["a"], "y")
+    try:
+        assert blocks.getNumPartitions() == spark.sparkContext.defaultParallelism
+        rows = np.concatenate(blocks.collect())
+    finally:
+        blocks.unpersist()
+    assert sorted(map(tuple, rows)) == sorted(zip(pdf.a, pdf.y))
