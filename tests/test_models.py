@@ -126,3 +126,47 @@ def test_money_and_percent(spark):
     r = spark.createDataFrame([(12.3456, 0.95123)], "a double, b double").select(
         money("a", scale=100000.0).alias("m"), percent("b").alias("p")).first()
     assert r.m == "$1,234,560.00" and r.p == "95.1%"
+
+
+def test_kmeans_starts_that_move_together_end_as_sparks_do(spark):
+    """Every start's centres and cost are those of Spark's KMeans with that seed; one job an iteration serves all."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    from bandwise.operators import clustering
+    from bandwise.session import spread
+    rng = np.random.default_rng(31)
+    pts = rng.normal(size=(600, 3)) + 1e3
+    df = spread(spark.createDataFrame(pd.DataFrame({"v": list(pts)})).select(array_to_vector("v").alias("features"))).persist()
+    begun, want = [], []
+    for seed in (7, 8, 9):
+        begun.append(np.array([list(c) for c in KMeans(k=12, seed=seed, maxIter=0).fit(df).clusterCenters()]))
+        model = KMeans(k=12, seed=seed, maxIter=300, tol=1e-4).fit(df)
+        want.append((np.array([list(c) for c in model.clusterCenters()]), model.summary.trainingCost))
+    blocks = clustering._vector_blocks(df, "features", 3)
+    jobs = []
+    real = clustering.summed_vectors
+    clustering.summed_vectors = lambda sums: jobs.append(1) or real(sums)
+    try:
+        got = clustering.lloyd(blocks, begun, 300, 1e-4)
+    finally:
+        clustering.summed_vectors = real
+        blocks.unpersist()
+    for (centers, cost), (want_centers, want_cost) in zip(got, want):
+        assert np.allclose(centers, want_centers, rtol=1e-9) and cost == pytest.approx(want_cost, rel=1e-9)
+    assert len(jobs) < 300
+    feat = clustering.fit_kmeans_feature(df, "features", k=12, starts=3, seed=7, split_col=None)
+    least = min(range(3), key=lambda i: want[i][1])
+    assert feat.seed == 7 + least and feat.cost == pytest.approx(want[least][1], rel=1e-9)
+    rows = feat.transform(df).collect()
+    sums = [((np.array(r["features"]) - np.array(feat.centers)) ** 2).sum(axis=1) for r in rows]
+    assert [r["cluster"] for r in rows] == [int(s.argmin()) for s in sums]
+    df.unpersist()
+
+
+def test_nearest_centre_near_ties_are_told_by_sums():
+    from bandwise.operators.clustering import assigned
+    centers = np.array([[1e8, 0.0], [1e8 + 2.0, 0.0], [1e8, 5.0]])
+    x = np.array([[1e8 + 1.0, 0.0], [1e8 + 1.0001, 0.0], [1e8, 4.0]])
+    best, dist = assigned(x, centers)
+    assert best.tolist() == [0, 1, 2] and dist == pytest.approx(((x - centers[best]) ** 2).sum(axis=1))
