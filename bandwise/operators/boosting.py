@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from bandwise.functions.constants import BOOST_DEPTH, BOOST_RATE, BOOST_ROUNDS, SEED
 from bandwise.operators.ensembles import FlatTrees, flatten, predict_all
 from bandwise.operators.ranks import exact_percentile
-from bandwise.session import cut_lineage, spread
+from bandwise.session import cut_lineage, for_loops
 
 LEAF = "_bw_leaf"
 
@@ -58,27 +58,29 @@ def fit_quantile_booster(df: DataFrame, features_col: str, y: str = "y", alpha:
     negative gradient (alpha where y > F, alpha - 1 otherwise); each leaf then
     moves by ``rate`` times the alpha-quantile of the residuals y - F it holds
     (a mergeable percentile sketch per leaf, so a huge leaf is no hot spot).
-    The running prediction is persisted, and its lineage is cut by a reliable
-    checkpoint every ``checkpoint_every`` rounds.
+    Each round persists one frame, the rows with their leaves, on which the next prediction is a column; its
+    lineage is cut by a reliable checkpoint every ``checkpoint_every`` rounds.
     """
     src = df.where(F.col(split_col) == fit_on) if split_col else df
     src = src.select(features_col, F.col(y).cast("double").alias("_y")).where(F.col("_y").isNotNull())
     init = exact_percentile(src, "_y", alpha, out="q").first()["q"]
     model = QuantileBooster(alpha, float(init), rate, features_col)
-    cur = spread(src).withColumn("_F", F.lit(float(init))).persist()
+    cur = for_loops(src).withColumn("_F", F.lit(float(init))).persist()
     grad = F.when(F.col("_y") > F.col("_F"), F.lit(alpha)).otherwise(F.lit(alpha - 1.0))
-    leaves = None
+    kept = [cur]   # the frame that ``cur`` reads, and the one that replaces it
     try:
         for r in range(rounds):
             data = cur.withColumn("_g", grad)
             tree = DecisionTreeRegressor(featuresCol=features_col, labelCol="_g", maxDepth=depth,
                                          seed=seed + r, leafCol=LEAF).fit(data)
-            # each row's leaf, computed once: read by the leaf quantiles and the update
+            # each row's leaf, computed once: read by the leaf quantiles and the next round
             m = tree.copy()
             m.setPredictionCol("_bw_tp")
             leaves = m.transform(cur).drop("_bw_tp").persist()
+            kept.append(leaves)
             vals = {row[LEAF]: row["v"] for row in leaves.groupBy(LEAF).agg(
                 F.percentile_approx(F.col("_y") - F.col("_F"), alpha, accuracy).alias("v")).collect()}
+            kept.pop(0).unpersist()
             model.trees.append((tree, vals))
             if r == rounds - 1:
                 break                      # the state after the last tree is never read
@@ -87,16 +89,12 @@ def fit_quantile_booster(df: DataFrame, features_col: str, y: str = "y", alpha:
                 pairs += [F.lit(float(leaf)), F.lit(float(v))]
             step = F.lit(float(rate)) * F.coalesce(
                 F.element_at(F.create_map(*pairs), F.col(LEAF)), F.lit(0.0))
-            nxt = leaves.withColumn("_F", F.col("_F") + step).drop(LEAF)
+            cur = leaves.withColumn("_F", F.col("_F") + step).drop(LEAF)
             if checkpoint_every and (r + 1) % checkpoint_every == 0:
-                nxt = cut_lineage(nxt)
-            else:
-                nxt = nxt.persist()
-            cur.unpersist()
-            leaves.unpersist()
-            cur = nxt
+                cur = cut_lineage(cur).persist()
+                kept.append(cur)
+                kept.pop(0).unpersist()
     finally:
-        cur.unpersist()
-        if leaves is not None:
-            leaves.unpersist()
+        for frame in kept:
+            frame.unpersist()
     return model

@@ -60,6 +60,21 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
+#: Rows of a narrow frame that one partition may hold where a loop reads it.
+LOOP_ROWS = 1_000_000
+
+
+def for_loops(df: DataFrame) -> DataFrame:
+    """A narrow frame that a loop reads, in as few partitions as keep every core busy (``spread``) and each at about
+    LOOP_ROWS rows: a loop pays a task for every partition in every stage, and a scan's partitions follow the
+    bytes of all the table's columns, not the rows."""
+    have, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    if have <= cores:
+        return spread(df)
+    wanted = max(cores, -(-df.count() // LOOP_ROWS))
+    return df.coalesce(wanted) if wanted < have else df
+
+
 def cut_lineage(df: DataFrame, spread_out: bool = False) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -68,3 +68,12 @@ def test_flat_quantile_pair_equals_tree_by_tree(wide):
             want = want + m.rate * leaves.map(values).to_numpy()
         assert np.allclose(got[f"q{int(10 * a)}"], want, rtol=1e-12, atol=1e-12)
     assert predict_all(wide.limit(0), "features", {"q": models[0.1].flat()}).count() == 0
+
+
+def test_a_loop_reads_few_partitions(spark):
+    """The frame that boosting loops over has as many partitions as there are cores, and all rows."""
+    from bandwise.operators import boosting
+    cores = spark.sparkContext.defaultParallelism
+    many = boosting.for_loops(spark.range(0, 5000, 1, 4 * cores))
+    assert many.rdd.getNumPartitions() == cores and many.agg({"id": "sum"}).first()[0] == 4999 * 2500
+    assert boosting.for_loops(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
