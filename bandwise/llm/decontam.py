@@ -40,7 +40,9 @@ _STOPS = frozenset(".!?:。！？：")
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
                        "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 #: Readings that one vectorised step makes at most.
-_STEP = 1 << 20
+_STEP = 1 << 18
+#: Words that a task's memo keeps from one chunk of texts to the next (about 250 bytes each), and bytes of text in a chunk.
+MEMO_WORDS, MEMO_CHARS = 100_000, 500_000
 #: Bits of the table that tells windows which can't be a benchmark window (8 MB, whatever the benchmark's size).
 TABLE_BITS = 26
 
@@ -49,7 +51,7 @@ class Canonical:
     """Canonical codes of words, with a bounded memo: code, code within a sentence, ends a
     sentence, filler."""
 
-    def __init__(self, limit: int = 800_000):
+    def __init__(self, limit: int = MEMO_WORDS):
         self.limit = limit
         self.at: dict[str, int] = {}
         self.fill: list[str] = []
@@ -199,7 +201,7 @@ def _doc_windows(shared):
         canon = Canonical()
         table, widths = shared.value
         table = np.frombuffer(table, np.uint8)
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, chars=MEMO_CHARS):
             out, docs = [], chunk.column(0).to_pylist()
             canon.trim()
             got = [canon.codes(text) for text in chunk.column(1).to_pylist()]

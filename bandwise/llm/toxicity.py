@@ -251,7 +251,8 @@ def weak_categories(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     The table labels toxicity alone; the first two categories are the toxic texts that hold a mark of
     either of ``marker_groups``. A document labelled several times is toxic if any label says so.
     About ``max_fit_docs`` labels are taken, which bounds what is broadcast to meet the texts; a rare class has
-    ``least_class_docs`` of them, or all its rows.
+    ``least_class_docs`` of them, or all its rows. The rows are written, so that the passes that fit a chain
+    run over a table: one Python worker a task, not one for the targets and one for the pass.
     """
     by_doc = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(F.col(label_col).cast("int")).alias("_label")).where("_label is not null")
@@ -268,4 +269,4 @@ def weak_categories(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
                  chunk.column(2)], ["doc_id", "text", "insult", "contempt", "toxic"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(told, f"doc_id {kind}, text string, insult int, contempt int, toxic int")
+    return written(rows.mapInArrow(told, f"doc_id {kind}, text string, insult int, contempt int, toxic int"), "targets")

@@ -2,25 +2,38 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns a DataFrame
 that is written as Parquet and read again as the next one's ``docs``. All but the last return
-the columns of ``docs``. Rows with a null id can't be named by a decision: the filtering stages that
+the columns of ``docs``. Texts go to Python in small Arrow batches (``common.small_batches``, a setting that
+the session keeps, since a stage's frame is evaluated after it has been returned). Rows with a null id can't be named by a decision: the filtering stages that
 decide by id keep them.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.llm import decontam, neardup, packing, pii, toxicity
-from bandwise.llm.common import free_name, table, without_ids, written
+from bandwise.llm.common import free_name, small_batches, table, without_ids, written
 from bandwise.llm.queries import SURROGATE_KEY, tokenizer_path, toxicity_chain
 
 
+def _small(stage):
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+@_small
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain doesn't reject (null and empty texts stay)."""
     return toxicity.keep_accepted(docs, toxicity_chain(docs, table(spark, sf_dir, "labels")))
 
 
+@_small
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id. Of rows
     repeated whole under one id one stays."""
@@ -33,12 +46,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return out.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once)
 
 
+@_small
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
     return without_ids(docs, written(found.select("doc_id").distinct(), "contaminated"), "doc_id")
 
 
+@_small
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data; n_chars follows the text."""
     replaced = free_name(docs.columns, "_replaced")
@@ -48,6 +63,7 @@ def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return out.select(docs.columns)
 
 
+@_small
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in training sequences, with their token ids."""
     return packing.pack_documents(docs, tokenizer_path(), encode_special_tokens=False)

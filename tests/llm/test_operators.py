@@ -338,6 +338,24 @@ def test_toxicity_categories_come_from_the_labels(spark):
         assert (got[i].p_insult > 0.5, got[i].p_contempt > 0.5) == tuple(x == 1 for x in told[i][:2])
 
 
+def test_labelled_rows_are_a_table_for_the_passes_that_fit(spark):
+    """A Python step under each pass would take a second worker, with its memory, for every task."""
+    docs = spark.createDataFrame([(i, f"word{i} " + "vile scum" * (i % 3 == 0), int(i % 3 == 0)) for i in range(60)],
+                                 "doc_id long, text string, toxic int")
+    rows = toxicity.weak_categories(docs, docs.select("doc_id", "toxic"))
+    assert "MapInArrow" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.doc_id, r.text, r.toxic) for r in rows.collect()) == sorted(map(tuple, docs.collect()))
+
+
+def test_words_kept_between_chunks_are_bounded():
+    canon = decontam.Canonical()
+    for start in range(0, 300_000, 50_000):
+        canon.trim()
+        assert len(canon.at) <= decontam.MEMO_WORDS <= 100_000
+        codes, rows, _, _ = canon.codes(" ".join(f"a{i}b" for i in range(start, start + 50_000)))
+        assert len(set(codes.tolist())) == 50_000 and canon.fill[rows[0]] == f"a{start}b"
+
+
 def test_decontamination_finds_reparameterised_questions(spark, empty):
     items = spark.createDataFrame(
         [(1, "If a train leaves at 10 km from here and Anna waits 5 hours before Anna walks 10 km again how far is it"),

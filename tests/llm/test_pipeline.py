@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,6 +105,24 @@ def test_private_data_is_replaced_and_other_columns_stay(spark, tables):
     assert pipeline.replace_private(spark, docs.limit(0), tables[0]).count() == 0
 
 
+def test_every_stage_takes_texts_in_small_batches(spark, tables):
+    key, docs = "spark.sql.execution.arrow.maxRecordsPerBatch", frame(spark, [(200, "a b"), (201, None)])
+
+    def sizes(batches):
+        yield from (b.slice(0, 1).set_column(0, "id", pa.array([b.num_rows])) for b in batches)
+
+    try:
+        for _, stage in pipeline.STAGES:
+            spark.conf.unset(key)
+            stage(spark, docs, tables[0])
+            assert [r.id for r in spark.range(0, 2500, 1, 1).mapInArrow(sizes, "id long").collect()] == [1000, 1000, 500]
+        spark.conf.set(key, "70")
+        pipeline.pack(spark, docs, tables[0])
+        assert spark.conf.get(key) == "70"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_run_chains_the_stages(spark, tables, tmp_path):
     folder, labelled = tables
     rng = random.Random(9)
