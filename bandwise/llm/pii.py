@@ -236,7 +236,12 @@ def _laid_out(mention: Column, values: Column, slot: str) -> Column:
 
 
 def rendered(mention: Column, surrogates: Column) -> Column:
-    """The replacement of a mention: the surrogates of its entities in the mention's own format."""
+    """The replacement of a mention: the surrogates of its entities in the mention's own format. They are
+    bound: the formats name them seven times, and a copy each makes plans that the driver can't hold."""
+    return _bind(surrogates, lambda made: _rendered(mention, made))
+
+
+def _rendered(mention: Column, surrogates: Column) -> Column:
     def cased(first):
         def one(i):
             return _bind(F.substring(mention, i, F.lit(1)), lambda c: F.when(
@@ -383,8 +388,8 @@ def rewrite(docs: DataFrame, key: str, count_col: str = "n_replaced") -> DataFra
         F.transform(entities_of(m), lambda e: made(e["kind"], e["norm"], F.lit("n"))))))
 
     def put_in(between: Column, new: Column) -> Column:
-        return F.concat(between[0], F.array_join(F.zip_with(
-            new, F.slice(between, 2, F.size(new)), lambda r, b: F.concat(r, b)), ""))
+        return _bind(new, lambda put: F.concat(between[0], F.array_join(F.zip_with(
+            put, F.slice(between, 2, F.size(put)), lambda r, b: F.concat(r, b)), "")))
 
     def renamed(part: Column) -> Column:
         """A part between mentions, with the names said there without a title replaced."""

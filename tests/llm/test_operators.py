@@ -504,6 +504,12 @@ def test_one_phone_number_in_many_forms(spark):
     assert all(re.sub(r"\d", "0", got[i]) == re.sub(r"\d", "0", f) for i, f in enumerate(forms))
 
 
+def test_a_surrogate_stands_twice_in_the_plan(spark):
+    texts = spark.createDataFrame([(1, "ask Dr Anna Weber or anna.weber@example.com")], "doc_id long, text string")
+    plan = pii.rewrite(texts, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha2(") == 2  # of a name's word and of another entity; the driver holds and compiles each copy
+
+
 def test_no_text_is_shuffled_for_surrogates(spark):
     texts = spark.range(50).selectExpr("id AS doc_id", "concat('Mrs Kim Weber', id) AS text").unionByName(
         spark.createDataFrame([(99, "Dr Kim Weber1")], "doc_id long, text string"))
