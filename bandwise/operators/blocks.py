@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.operators.resume import TrainingState
-from bandwise.session import spread
+from bandwise.session import cut_lineage, spread
 from bandwise.functions.constants import (
     ADAM_RATE, MC_DRAWS, MEANVAR_LAYERS, MEANVAR_STEPS, MU_INIT, RHO_INIT, SEED,
     VARIATIONAL_LAYERS, VARIATIONAL_STEPS,
@@ -77,8 +77,9 @@ def backward(layers, acts, zs, delta):
     return np.concatenate([np.concatenate([gw.ravel(), gb]) for gw, gb in grads])
 
 
-def _row_losses(kind, out, t):
-    """(sum of loss, dLoss/dout per row, sum of the monitored value)."""
+def _row_losses(kind, out, t, within=0.0, n=1.0):
+    """(sum of loss, dLoss/dout per row, sum of the monitored value). For "gauss" a row may stand for ``n`` rows of the
+    same features: ``t`` is then their truths' mean and ``within`` these truths' variance (population)."""
     if kind == "sse":
         r = out[:, 0] - t
         return float((r * r).sum()), 2.0 * r[:, None], float((r * r).sum())
@@ -86,9 +87,10 @@ def _row_losses(kind, out, t):
         mu, lv = out[:, 0], out[:, 1]
         prec = np.exp(-lv)
         e = t - mu
-        loss = 0.5 * (lv + e * e * prec)
-        delta = np.column_stack([-e * prec, 0.5 * (1.0 - e * e * prec)])
-        return float(loss.sum()), delta, float(np.exp(0.5 * lv).sum())
+        square = e * e + within
+        loss = n * (0.5 * (lv + square * prec))
+        delta = np.column_stack([n * (-e * prec), n * (0.5 * (1.0 - square * prec))])
+        return float(loss.sum()), delta, float((n * np.exp(0.5 * lv)).sum())
     raise ValueError(kind)
 
 
@@ -123,8 +125,9 @@ def few_partitions(blocks):
 
 
 def block_sums(blocks, weights: np.ndarray, sizes, kind: str):
-    """Sum over all blocks of the loss gradient; returns (grad, loss_sum, monitor_sum, n)."""
-    p = n_params(sizes)
+    """Sum over all blocks of the loss gradient; returns (grad, loss_sum, monitor_sum, n). A block's columns are the
+    features and the truth, or the features and what ``alike_blocks`` has of the truth."""
+    p, k = n_params(sizes), sizes[0]
 
     def run(part):
         layers = unflatten(weights, sizes)
@@ -132,10 +135,10 @@ def block_sums(blocks, weights: np.ndarray, sizes, kind: str):
         for m in part:
             for at in range(0, len(m), PASS_ROWS):
                 rows = m[at:at + PASS_ROWS]
-                acts, zs = forward(layers, rows[:, :-1])
-                loss, delta, mon = _row_losses(kind, acts[-1], rows[:, -1])
+                acts, zs = forward(layers, rows[:, :k])
+                loss, delta, mon = _row_losses(kind, acts[-1], *rows[:, k:].T)
                 acc[:p] += backward(layers, acts, zs, delta)
-                acc[p:] += [loss, mon, len(rows)]
+                acc[p:] += [loss, mon, len(rows) if rows.shape[1] == k + 1 else rows[:, -1].sum()]
         yield acc
 
     summed = summed_vectors(blocks.mapPartitions(run))
@@ -178,11 +181,25 @@ def _sigmoid(r):
     return 1.0 / (1.0 + np.exp(-r))
 
 
-def _train_rows(df, features, y, split_col, fit_on):
+def _train_frame(df, features, y, split_col, fit_on):
     src = df.where(F.col(split_col) == fit_on) if split_col else df
-    rows = src.select(*[F.col(c).cast("double").alias(c) for c in features],
+    return src.select(*[F.col(c).cast("double").alias(c) for c in features],
                       F.col(y).cast("double").alias(y)).where(F.col(y).isNotNull())
-    return packed_blocks(spread(rows), features, y)
+
+
+def _train_rows(df, features, y, split_col, fit_on):
+    return packed_blocks(spread(_train_frame(df, features, y, split_col, fit_on)), features, y)
+
+
+def alike_blocks(rows: DataFrame, features, y: str):
+    """``packed_blocks`` with one row for all rows of the same features: the features, then mean, variance (population) and
+    count of their truths. The Gaussian loss and its gradient need no more, so a step costs what the features' distinct
+    combinations cost (documents' words and lines are counts), and at most what the rows did. The rows are dealt out evenly:
+    a step ends with its slowest task."""
+    alike = cut_lineage(rows.groupBy(*features).agg(F.avg(y).alias("_bw_mean"), F.var_pop(y).alias("_bw_within"),
+                                                    F.count(y).cast("double").alias("_bw_n")))
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-alike.count() * len(alike.columns) // PART_NUMBERS))
+    return packed_blocks(alike.repartition(parts), [*features, "_bw_mean", "_bw_within"], "_bw_n")
 
 
 def _with_outputs(df: DataFrame, run, features, names: dict) -> DataFrame:
@@ -321,7 +338,7 @@ def fit_meanvar_net(df: DataFrame, features, y: str = "y", hidden=MEANVAR_LAYERS
         bound = 1.0 / np.sqrt(i)
         parts += [rng.uniform(-bound, bound, o * i), rng.uniform(-bound, bound, o)]
     w = np.concatenate(parts)
-    rows = _train_rows(df, features, y, split_col, fit_on)
+    rows = alike_blocks(_train_frame(df, features, y, split_col, fit_on), features, y)
     opt = Adam(len(w), rate)
     net = MeanVarNet(features, sizes, w)
     kept = TrainingState(df.sparkSession, state_path, save_every, {

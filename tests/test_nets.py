@@ -131,3 +131,51 @@ def test_packed_rows_have_few_partitions(spark):
     finally:
         blocks.unpersist()
     assert sorted(map(tuple, rows)) == sorted(zip(pdf.a, pdf.y))
+
+
+def test_rows_of_the_same_features_cost_a_step_once(spark, monkeypatch):
+    """The mean / log-variance net reads one row for every distinct combination of features, and trains as on all rows."""
+    from bandwise.operators import blocks
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 4, 3000) / 3.0, rng.integers(0, 3, 3000) - 1.0
+    a[0], b[0] = 1.7, 0.4   # one combination with a single row
+    y = 0.6 * a - 0.2 * b + rng.normal(0, 0.1 + 0.2 * a)
+    pdf = pd.DataFrame({"a": a, "b": b, "y": [None if i % 50 == 7 else v for i, v in enumerate(y)],
+                        "split": np.where(np.arange(3000) % 5 == 3, "test", "train")})
+    read, sums = [], blocks.block_sums
+    monkeypatch.setattr(blocks, "block_sums", lambda rows, *rest: (read.append(rows.map(len).sum()), sums(rows, *rest))[1])
+    net = fit_meanvar_net(spark.createDataFrame(pdf).repartition(5), ["a", "b"], hidden=(6, 4), steps=25, rate=0.02)
+    assert set(read) == {13}
+
+    used = pdf[(pdf.split == "train") & pdf.y.notna()]
+    x, t = used[["a", "b"]].to_numpy(), used.y.to_numpy(dtype=float)
+    w = fit_meanvar_net(spark.createDataFrame(pdf), ["a", "b"], hidden=(6, 4), steps=0).weights
+    opt, history = blocks.Adam(len(w), 0.02), []
+    for step in range(25):
+        layers = unflatten(w, net.sizes)
+        acts, zs = forward(layers, x)
+        loss, delta, mon = _row_losses("gauss", acts[-1], t)
+        history.append((step, loss / len(t), mon / len(t)))
+        w = opt.step(w, backward(layers, acts, zs, delta) / len(t))
+    assert np.allclose(net.weights, w, rtol=1e-7, atol=1e-9)
+    assert np.allclose(np.array(net.history), np.array(history), rtol=1e-9)
+
+
+def test_blocks_of_alike_rows_give_the_sums_of_the_rows(spark):
+    """Sums of loss, gradient, monitor and rows, of all rows and of the rows of equal features taken together."""
+    from bandwise.operators import blocks
+    rng = np.random.default_rng(6)
+    sizes, n = [1, 5, 2], 400
+    pdf = pd.DataFrame({"x": rng.integers(0, 9, n) / 4.0, "y": 1e4 + rng.normal(size=n)})   # a spread small beside the mean
+    df, w = spark.createDataFrame(pdf).repartition(3), rng.normal(0, 0.5, n_params([1, 5, 2]))
+    w[-2] = 1e4   # the mean's bias
+    alike = blocks.alike_blocks(df, ["x"], "y")
+    try:
+        got = blocks.block_sums(alike, w, sizes, "gauss")
+        assert alike.map(len).sum() == 9
+    finally:
+        alike.unpersist()
+    want = gradient_sums(df, ["x"], "y", w, sizes, "gauss")
+    assert got[3] == want[3] == n
+    for g, v in zip(got, want):
+        assert np.allclose(g, v, rtol=1e-9, atol=1e-7)
